@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .scans import HEAVY_ROWS, by_weight, latest_value, previous_value, running_sum
+from .scans import (
+    HEAVY_ROWS, by_weight, day_slice, latest_value, number_slice, previous_value, running_sum,
+)
 
 
 def change_sessions(
@@ -55,7 +57,38 @@ def version_history(
         return versions.join(successor, adjacent, "left").drop("__key", "__before")
 
     narrow = df.select(key, at, tiebreak, *attributes)
-    return by_weight(narrow, key, at, build, min_rows)
+    return by_weight(narrow, key, day_slice(at), build, min_rows)
+
+
+def sessions(
+    df: DataFrame, key: str, at: str, tiebreak: str, attributes: Sequence[str], min_rows: int = HEAVY_ROWS
+) -> DataFrame:
+    """Every observation with its change flag and running version number."""
+    narrow = df.select(key, at, tiebreak, *attributes)
+
+    def number(rows: DataFrame, slice_col: str | None) -> DataFrame:
+        return change_sessions(rows, key, at, tiebreak, attributes, slice_col)
+
+    return by_weight(narrow, key, day_slice(at), number, min_rows)
+
+
+def version_gaps(
+    dim: DataFrame, key: str, version: str, min_rows: int = HEAVY_ROWS
+) -> DataFrame:
+    """Add the version's expected number and whether it starts where its predecessor ended."""
+
+    def scan(rows: DataFrame, slice_col: str | None) -> DataFrame:
+        ended = F.struct("valid_to")
+        linked = previous_value(rows, key, [version], ended, "__ended", slice_col)
+        return running_sum(linked, key, [version], "__one", "expected_version", slice_col)
+
+    counted = dim.withColumn("__one", F.lit(1))
+    scanned = by_weight(counted, key, number_slice(version), scan, min_rows)
+    broken = (
+        F.col("__ended").isNotNull() & F.col("valid_from").isNotNull()
+        & ~F.col("valid_from").eqNullSafe(F.col("__ended")["valid_to"])
+    )
+    return scanned.withColumn("breaks_adjacency", broken).drop("__ended", "__one")
 
 
 def inside(at: Column, valid_from: Column, valid_to: Column) -> Column:
@@ -83,7 +116,7 @@ def asof_lookup(
         F.col("valid_from").alias("__at"),
         F.lit(0).alias("__side"),
         F.col(version).alias("__version"),
-        F.struct("valid_from", "valid_to", *payload).alias("__start"),
+        F.struct(*dict.fromkeys(["valid_from", "valid_to", *payload])).alias("__start"),
     )
     arrivals = facts.filter(F.col(key).isNotNull() & F.col(at).isNotNull()).withColumns(
         {"__at": F.col(at), "__side": F.lit(1)}
@@ -94,7 +127,7 @@ def asof_lookup(
     def scan(rows: DataFrame, slice_col: str | None) -> DataFrame:
         return latest_value(rows, key, order, "__start", "__valid", slice_col)
 
-    found = by_weight(merged, key, "__at", scan, min_rows)
+    found = by_weight(merged, key, day_slice("__at"), scan, min_rows)
     valid = F.col("__valid")
     matched = found.filter(
         (F.col("__side") == 1) & inside(F.col(at), valid["valid_from"], valid["valid_to"])
@@ -134,7 +167,7 @@ def match_counts(
     def scan(rows: DataFrame, slice_col: str | None) -> DataFrame:
         return running_sum(rows, key, ["__at", "__side"], "__step", "__balance", slice_col)
 
-    counted = by_weight(merged, key, "__at", scan, min_rows).filter("__side = 1")
+    counted = by_weight(merged, key, day_slice("__at"), scan, min_rows).filter("__side = 1")
     result = counted.select(*facts.columns, F.col("__balance").cast("bigint").alias("matches"))
     unplaced = facts.filter(~placed).withColumn("matches", F.lit(0).cast("bigint"))
     return result.unionByName(unplaced)
@@ -167,7 +200,7 @@ def interval_usage(
     def scan(rows: DataFrame, slice_col: str | None) -> DataFrame:
         return running_sum(rows, key, ["__at", "__side"], "__fact", "__before", slice_col)
 
-    marks = by_weight(merged, key, "__at", scan, min_rows).filter("__side = 0")
+    marks = by_weight(merged, key, day_slice("__at"), scan, min_rows).filter("__side = 0")
     return marks.groupBy(ident).agg(
         F.sum(F.col("__sign") * F.col("__before")).cast("bigint").alias("uses")
     )

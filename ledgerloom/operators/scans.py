@@ -1,6 +1,6 @@
 """Ordered scans within a key that survive a key holding a large share of all rows.
 
-Ordinary keys take one window over the key. A heavy key is cut into time slices: each slice is
+Ordinary keys take one window over the key. A heavy key is cut into slices: each slice is
 scanned on its own task, one summary row per slice is scanned over the key, and the summary is
 added back to the rows of the slice. Both ways give the same result.
 """
@@ -26,28 +26,38 @@ def heavy_keys(df: DataFrame, key: str, min_rows: int = HEAVY_ROWS) -> DataFrame
     return heavy.orderBy(F.desc("__n"), "__heavy").limit(HEAVY_KEYS).select("__heavy")
 
 
+def day_slice(at: str) -> Column:
+    """Slice of a time-ordered scan."""
+    return F.to_date(F.col(at))
+
+
+def number_slice(name: str, width: int = 1_000_000) -> Column:
+    """Slice of a scan ordered by a number."""
+    return F.floor(F.col(name) / width)
+
+
 def split_heavy(
-    df: DataFrame, key: str, at: str, min_rows: int = HEAVY_ROWS, unit: str = "DAY"
+    df: DataFrame, key: str, slice_by: Column, min_rows: int = HEAVY_ROWS
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of heavy keys with their time slice)."""
+    """(rows of ordinary keys, rows of heavy keys with their slice)."""
     heavy = F.broadcast(heavy_keys(df, key, min_rows))
     same = F.col(key).eqNullSafe(F.col("__heavy"))
-    sliced = df.join(heavy, same, "left_semi").withColumn(
-        SLICE, F.date_trunc(unit, F.col(at)).cast("timestamp_ntz")
-    )
+    sliced = df.join(heavy, same, "left_semi").withColumn(SLICE, slice_by)
     return df.join(heavy, same, "left_anti"), sliced
 
 
 def by_weight(
     df: DataFrame,
     key: str,
-    at: str,
+    slice_by: Column,
     scan: Callable[[DataFrame, str | None], DataFrame],
     min_rows: int = HEAVY_ROWS,
-    unit: str = "DAY",
 ) -> DataFrame:
-    """Apply `scan(rows, slice column or None)` to ordinary and heavy keys."""
-    light, heavy = split_heavy(df, key, at, min_rows, unit)
+    """Apply `scan(rows, slice column or None)` to ordinary and heavy keys.
+
+    `slice_by` must not decrease along the order of the scan.
+    """
+    light, heavy = split_heavy(df, key, slice_by, min_rows)
     return scan(light, None).unionByName(scan(heavy, SLICE).drop(SLICE))
 
 

@@ -273,6 +273,8 @@ def with_ctes(body: str, extra: dict[str, str] | None = None) -> str:
                 visit(available[name])
 
     visit(body)
+    if body.lstrip().startswith("WITH"):
+        body = f"SELECT * FROM ({body})"
     used = [f"{n} AS ({sql})" for n, sql in available.items() if n in needed]
     return ("WITH " + ",\n".join(used) + "\n" if used else "") + body
 

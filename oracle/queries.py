@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from .base import CTES, whole_table
+from .quality import quality_sql
+from .reports import report_sql
 
 PIPELINE = [
     n for n in CTES if not n.startswith("raw_") and n not in ("version_assignment", "version_rollup")
@@ -10,4 +12,4 @@ PIPELINE = [
 
 
 def all_sql() -> dict[str, str]:
-    return {n: whole_table(n) for n in PIPELINE}
+    return {**{n: whole_table(n) for n in PIPELINE}, **report_sql(), **quality_sql()}
