@@ -9,9 +9,11 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.history import asof_lookup, sessions
-from ..sources.commerce import raw_entities
+from ..sources.audit_inputs import PIPELINE, STAGE, event_audit, evidence_audit, lifecycle_events
+from ..sources.commerce import ENTITIES, driver_table, raw_entities
 from ..sources.store import shared_root, table_writer
-from . import faults, public, quality, reports, staging, suites
+from . import audit, faults, public, quality, reports, staging, suites
+from .ingest_queries import ingest_queries
 from .marts import GEOGRAPHY, monthly_revenue
 from .model import INTERMEDIATE, MARTS, Model
 
@@ -165,8 +167,34 @@ def suite_queries() -> dict[str, Query]:
     }
 
 
+def audit_queries() -> dict[str, Query]:
+    def tables(spark: SparkSession, sf_dir: str) -> audit.AuditTables:
+        return event_audit(driver_table(spark, sf_dir))
+
+    def attempts(build: Callable[..., DataFrame]) -> Query:
+        return lambda spark, sf_dir: build(*evidence_audit(driver_table(spark, sf_dir)))
+
+    workflow = audit.Workflow(PIPELINE, STAGE, ENTITIES)
+    return {
+        "audit_invariants": lambda s, d: audit.audit_invariants(tables(s, d)),
+        "run_state": lambda s, d: audit.run_state(
+            lifecycle_events(tables(s, d).pipeline_runs), tables(s, d).stage_runs),
+        "stage_attempts": lambda s, d: audit.stage_attempts(tables(s, d).stage_runs),
+        "reconciliation_rows": lambda s, d: tables(s, d).reconciliation,
+        "run_scorecard": lambda s, d: audit.run_scorecard(tables(s, d)),
+        "historical_scorecard": lambda s, d: audit.historical_scorecard(audit.run_scorecard(tables(s, d))),
+        "ingestion_evidence": attempts(
+            lambda t, requests, expected, _: audit.ingestion_evidence(t, requests, expected, ENTITIES)),
+        "recovery_evidence": attempts(
+            lambda t, requests, expected, _: audit.recovery_evidence(t, requests, expected, workflow)),
+        "recoverable_runs": attempts(lambda t, requests, expected, verdicts: audit.recovery_decisions(
+            audit.recovery_evidence(t, requests, expected, workflow), verdicts, t.stage_runs)),
+    }
+
+
 def all_queries() -> dict[str, Query]:
     return {
         **pipeline_queries(), **history_queries(), **public_queries(), **report_queries(),
-        **quality_queries(), **suite_queries(),
+        **quality_queries(), **suite_queries(), **ingest_queries(),
+        **audit_queries(),
     }

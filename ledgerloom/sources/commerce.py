@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.values import MONEY
 from ..operators.dedup import latest_wins
 
+# Fixed value: the order in which RAW tables are checked.
 ENTITIES = (
-    "customers", "geolocation", "order_items", "orders", "payments",
-    "products", "reviews", "sellers", "translation",
+    "customers", "geolocation", "order_items", "payments", "reviews",
+    "orders", "products", "sellers", "translation",
 )
 LINEAGE = ("_source_file", "_file_row_number", "_loaded_at", "_batch_id")
 BATCH = "batch_0001"

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from .audit import audit_sql
 from .base import CTES, whole_table
+from .ingestion import ingestion_sql
 from .quality import quality_sql
 from .reports import report_sql
 
@@ -12,4 +14,4 @@ PIPELINE = [
 
 
 def all_sql() -> dict[str, str]:
-    return {**{n: whole_table(n) for n in PIPELINE}, **report_sql(), **quality_sql()}
+    return {**{n: whole_table(n) for n in PIPELINE}, **report_sql(), **quality_sql(), **ingestion_sql(), **audit_sql()}
