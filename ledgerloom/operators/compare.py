@@ -11,7 +11,12 @@ from ..functions.values import differs
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+    """Union by name, paired up so that analysis stays cheap for many frames."""
+    level = list(frames)
+    while len(level) > 1:
+        pairs = [level[i:i + 2] for i in range(0, len(level), 2)]
+        level = [p[0].unionByName(p[1]) if len(p) == 2 else p[0] for p in pairs]
+    return level[0]
 
 
 def symmetric_diff(expected: DataFrame, actual: DataFrame) -> DataFrame:

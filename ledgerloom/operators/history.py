@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .scans import (
-    HEAVY_ROWS, by_weight, day_slice, latest_value, number_slice, previous_value, running_sum,
+    HEAVY_ROWS, by_weight, time_slice, latest_value, number_slice, previous_value, running_sum,
 )
 
 
@@ -57,7 +57,7 @@ def version_history(
         return versions.join(successor, adjacent, "left").drop("__key", "__before")
 
     narrow = df.select(key, at, tiebreak, *attributes)
-    return by_weight(narrow, key, day_slice(at), build, min_rows)
+    return by_weight(narrow, key, time_slice(at), build, min_rows)
 
 
 def sessions(
@@ -69,7 +69,7 @@ def sessions(
     def number(rows: DataFrame, slice_col: str | None) -> DataFrame:
         return change_sessions(rows, key, at, tiebreak, attributes, slice_col)
 
-    return by_weight(narrow, key, day_slice(at), number, min_rows)
+    return by_weight(narrow, key, time_slice(at), number, min_rows)
 
 
 def version_gaps(
@@ -127,7 +127,7 @@ def asof_lookup(
     def scan(rows: DataFrame, slice_col: str | None) -> DataFrame:
         return latest_value(rows, key, order, "__start", "__valid", slice_col)
 
-    found = by_weight(merged, key, day_slice("__at"), scan, min_rows)
+    found = by_weight(merged, key, time_slice("__at"), scan, min_rows)
     valid = F.col("__valid")
     matched = found.filter(
         (F.col("__side") == 1) & inside(F.col(at), valid["valid_from"], valid["valid_to"])
@@ -167,7 +167,7 @@ def match_counts(
     def scan(rows: DataFrame, slice_col: str | None) -> DataFrame:
         return running_sum(rows, key, ["__at", "__side"], "__step", "__balance", slice_col)
 
-    counted = by_weight(merged, key, day_slice("__at"), scan, min_rows).filter("__side = 1")
+    counted = by_weight(merged, key, time_slice("__at"), scan, min_rows).filter("__side = 1")
     result = counted.select(*facts.columns, F.col("__balance").cast("bigint").alias("matches"))
     unplaced = facts.filter(~placed).withColumn("matches", F.lit(0).cast("bigint"))
     return result.unionByName(unplaced)
@@ -200,7 +200,7 @@ def interval_usage(
     def scan(rows: DataFrame, slice_col: str | None) -> DataFrame:
         return running_sum(rows, key, ["__at", "__side"], "__fact", "__before", slice_col)
 
-    marks = by_weight(merged, key, day_slice("__at"), scan, min_rows).filter("__side = 0")
+    marks = by_weight(merged, key, time_slice("__at"), scan, min_rows).filter("__side = 0")
     return marks.groupBy(ident).agg(
         F.sum(F.col("__sign") * F.col("__before")).cast("bigint").alias("uses")
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 HEAVY_ROWS = 5_000_000
 HEAVY_KEYS = 1024
@@ -17,7 +17,7 @@ SLICE = "__slice"
 
 
 def heavy_keys(df: DataFrame, key: str, min_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Keys with at least `min_rows` rows: never more than HEAVY_KEYS rows, so safe to broadcast.
+    """Keys with at least `min_rows` rows: never more than HEAVY_KEYS, so safe to collect and broadcast.
 
     Heavy keys beyond that number take the ordinary way, which is exact as well.
     """
@@ -26,9 +26,9 @@ def heavy_keys(df: DataFrame, key: str, min_rows: int = HEAVY_ROWS) -> DataFrame
     return heavy.orderBy(F.desc("__n"), "__heavy").limit(HEAVY_KEYS).select("__heavy")
 
 
-def day_slice(at: str) -> Column:
+def time_slice(at: str, unit: str = "HOUR") -> Column:
     """Slice of a time-ordered scan."""
-    return F.to_date(F.col(at))
+    return F.date_trunc(unit, F.col(at)).cast("timestamp_ntz")
 
 
 def number_slice(name: str, width: int = 1_000_000) -> Column:
@@ -36,16 +36,6 @@ def number_slice(name: str, width: int = 1_000_000) -> Column:
     return F.floor(F.col(name) / width)
 
 
-def split_heavy(
-    df: DataFrame, key: str, slice_by: Column, min_rows: int = HEAVY_ROWS
-) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of heavy keys with their slice)."""
-    heavy = F.broadcast(heavy_keys(df, key, min_rows))
-    same = F.col(key).eqNullSafe(F.col("__heavy"))
-    sliced = df.join(heavy, same, "left_semi").withColumn(SLICE, slice_by)
-    return df.join(heavy, same, "left_anti"), sliced
-
-
 def by_weight(
     df: DataFrame,
     key: str,
@@ -55,10 +45,19 @@ def by_weight(
 ) -> DataFrame:
     """Apply `scan(rows, slice column or None)` to ordinary and heavy keys.
 
-    `slice_by` must not decrease along the order of the scan.
+    `slice_by` must not decrease along the order of the scan. Heavy keys are looked up first (one
+    pass over the key column, at most HEAVY_KEYS values back), so data without any keeps the plain
+    plan with one shuffle.
     """
-    light, heavy = split_heavy(df, key, slice_by, min_rows)
-    return scan(light, None).unionByName(scan(heavy, SLICE).drop(SLICE))
+    found = heavy_keys(df, key, min_rows).collect()
+    if not found:
+        return scan(df, None)
+    schema = T.StructType([T.StructField("__heavy", df.schema[key].dataType)])
+    heavy = F.broadcast(df.sparkSession.createDataFrame(found, schema))
+    same = F.col(key).eqNullSafe(F.col("__heavy"))
+    light = scan(df.join(heavy, same, "left_anti"), None)
+    sliced = df.join(heavy, same, "left_semi").withColumn(SLICE, slice_by)
+    return light.unionByName(scan(sliced, SLICE).drop(SLICE))
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.values import rate
 from ..operators.compare import aggregate_metrics, union_all
 from ..operators.history import match_counts
-from ..operators.scans import HEAVY_ROWS, by_weight, day_slice, previous_value, running_sum
+from ..operators.scans import HEAVY_ROWS, by_weight, time_slice, previous_value, running_sum
 
 # Status domains.
 RUN_STATUSES = ("RUNNING", "SUCCESS", "FAILED")
@@ -153,7 +153,7 @@ def transition_violations(events: DataFrame, subject: str, min_rows: int = HEAVY
         .when((F.col("status") != "RUNNING") & before.isNull(), "finished_without_start")
         .when((F.col("status") != "RUNNING") & (before != "RUNNING"), "finished_twice")
     )
-    scanned = by_weight(events, subject, day_slice("event_at"), scan, min_rows)
+    scanned = by_weight(events, subject, time_slice("event_at"), scan, min_rows)
     return scanned.select(subject, "event_at", problem.alias("violation")).filter("violation is not null")
 
 
@@ -182,7 +182,7 @@ def stage_attempts(stages: DataFrame, min_rows: int = HEAVY_ROWS) -> DataFrame:
         linked = previous_value(rows, "__chain", order, F.struct("status"), "__before", slice_col)
         return running_sum(linked, "__chain", order, "__one", "expected_attempt", slice_col)
 
-    scanned = by_weight(keyed, "__chain", day_slice("started_at"), scan, min_rows)
+    scanned = by_weight(keyed, "__chain", time_slice("started_at"), scan, min_rows)
     before = F.col("__before")["status"]
     return scanned.select(
         "run_id", "stage_name", "stage_attempt_id", "attempt_number",

@@ -38,7 +38,7 @@ NODES: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "seller_revenue": (marts.seller_revenue, ("fct_order_items", "dim_seller")),
 }
 # Tables with several consumers downstream; everything else is a view.
-WRITTEN = frozenset({*STAGING, "orders_enriched", *MARTS} - {"stg_geolocation", "dim_seller"})
+WRITTEN = frozenset({*STAGING, *INTERMEDIATE, *MARTS} - {"stg_geolocation", "order_reconciliation", "dim_seller"})
 
 
 class Model:
@@ -66,7 +66,14 @@ class Model:
         return self._built[name]
 
     def replace(self, **tables: DataFrame) -> Model:
-        """The same model with some tables swapped (used to inject faults)."""
-        other = Model(self._raw, self._write, self._written)
-        other._built = {**self._built, **tables}
-        return other
+        """This model with some tables swapped; all others, built or not, stay this model's own."""
+        return _Replaced(self, tables)
+
+
+class _Replaced(Model):
+    def __init__(self, base: Model, tables: dict[str, DataFrame]) -> None:
+        self._base = base
+        self._built = tables
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._built[name] if name in self._built else self._base[name]

@@ -190,27 +190,60 @@ def scan_tests(df: DataFrame, table: str, spec: Mapping[str, object], tests: Seq
     return _result(row.select(F.inline(F.array(*rows))))
 
 
-def unique_test(df: DataFrame, table: str, expression: str) -> DataFrame:
-    """Failures are the distinct non-NULL values that occur more than once."""
-    value = F.expr(expression)
-    repeated = df.filter(value.isNotNull()).groupBy(value.alias("v")).agg(F.count("*").alias("n")).filter("n > 1")
-    return _result(repeated.agg(F.count("*").alias("failures")).select(
-        F.lit(table).alias("table_name"), F.lit(expression).alias("column_name"),
-        F.lit("unique").alias("test_name"), "failures",
-    ))
-
-
-def relationship_test(child: DataFrame, table: str, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Failures are child rows without a parent.
-
-    Child rows are counted per value first, so a value shared by many rows meets the parent once.
+def key_tests(
+    model: Model, tests: Sequence[str], specs: Mapping[str, Mapping[str, object]] = GENERIC_TESTS
+) -> DataFrame | None:
+    """All `unique` and `relationships` tests in one shuffle.
+
+    Every tested key of every table is counted per value, next to the other tables' counts of the
+    same key. `unique` failures are values counted more than once in a table; `relationships`
+    failures are child rows whose value the parent does not have. Counting starts before the
+    shuffle, so a value held by many rows costs no more than any other.
     """
-    values = child.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
-    orphans = values.join(parent.select(F.col(parent_column).alias("p")), F.col("v") == F.col("p"), "left_anti")
-    return _result(orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures")).select(
-        F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
-        F.lit("relationships").alias("test_name"), "failures",
-    ))
+    unique = [(t, e) for t, s in specs.items() if "unique" in tests for e in s.get("unique", [])]
+    related = [
+        (t, c, parent) for t, s in specs.items() if "relationships" in tests
+        for c, parent in s.get("relationships", {}).items()
+    ]
+    members: dict[str, list[str]] = {}
+    for table, key in [*unique, *[(t, c) for t, c, _ in related], *[(p, c) for _, c, p in related]]:
+        listed = members.setdefault(key, [])
+        if table not in listed:
+            listed.append(table)
+    if not members:
+        return None
+    domains = list(members)
+    per_table: dict[str, list[Column]] = {}
+    for d, key in enumerate(domains):
+        for i, table in enumerate(members[key]):
+            per_table.setdefault(table, []).append(F.struct(
+                F.lit(d).alias("domain"), F.expr(key).cast("string").alias("value"), F.lit(i).alias("member")
+            ))
+    keys = union_all([model[t].select(F.inline(F.array(*ks))) for t, ks in per_table.items()])
+    width = max(len(tables) for tables in members.values())
+    counted = keys.filter(F.col("value").isNotNull()).groupBy("domain", "value").agg(
+        *[F.count_if(F.col("member") == i).alias(f"n{i}") for i in range(width)]
+    )
+
+    def rows_of(table: str, key: str) -> Column:
+        return F.col(f"n{members[key].index(table)}")
+
+    measures: list[tuple[str, str, str, Column]] = []
+    for table, key in unique:
+        here = F.col("domain") == domains.index(key)
+        measures.append((table, key, "unique", F.count_if(here & (rows_of(table, key) > 1))))
+    for table, key, parent in related:
+        orphan = (F.col("domain") == domains.index(key)) & (rows_of(parent, key) == 0)
+        measures.append((table, key, "relationships", F.sum(F.when(orphan, rows_of(table, key)).otherwise(0))))
+    row = counted.agg(*[F.coalesce(m, F.lit(0)).alias(f"m{i}") for i, (*_, m) in enumerate(measures)])
+    out = [
+        F.struct(
+            F.lit(t).alias("table_name"), F.lit(k).alias("column_name"), F.lit(test).alias("test_name"),
+            F.col(f"m{i}").alias("failures"),
+        )
+        for i, (t, k, test, _) in enumerate(measures)
+    ]
+    return _result(row.select(F.inline(F.array(*out))))
 
 
 def generic_suite(
@@ -218,19 +251,8 @@ def generic_suite(
     specs: Mapping[str, Mapping[str, object]] = GENERIC_TESTS,
 ) -> DataFrame:
     """One row per assertion."""
-    out = []
-    for table, spec in specs.items():
-        scanned = scan_tests(model[table], table, spec, tests)
-        if scanned is not None:
-            out.append(scanned)
-        if "unique" in tests:
-            out += [unique_test(model[table], table, e) for e in spec.get("unique", [])]
-        if "relationships" in tests:
-            out += [
-                relationship_test(model[table], table, c, model[parent], c)
-                for c, parent in spec.get("relationships", {}).items()
-            ]
-    return union_all(out)
+    scanned = [scan_tests(model[table], table, spec, tests) for table, spec in specs.items()]
+    return union_all([df for df in (*scanned, key_tests(model, tests, specs)) if df is not None])
 
 
 # --- singular checks ------------------------------------------------------------------------

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..operators.scans import by_weight, day_slice, running_sum
+from ..operators.scans import by_weight, time_slice, running_sum
 from ..plans.audit import QUALITY_TEST, AuditTables, reconciliation_rows
 from .commerce import ENTITIES, days, seconds
 
@@ -33,7 +33,7 @@ def numbered_events(events: DataFrame) -> DataFrame:
     def scan(rows: DataFrame, slice_col: str | None) -> DataFrame:
         return running_sum(rows, "__chain", ["ts", "event_id"], "__one", "attempt", slice_col)
 
-    return by_weight(keyed, "__chain", day_slice("ts"), scan).drop("__chain", "__one")
+    return by_weight(keyed, "__chain", time_slice("ts"), scan).drop("__chain", "__one")
 
 
 def event_audit(table: Callable[[str], DataFrame]) -> AuditTables:

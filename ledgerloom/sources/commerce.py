@@ -205,8 +205,25 @@ _BUILDERS = {
 }
 
 
+# Large tables and the column that spreads them.
+SPREAD_BY = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on a source with fewer splits than cores; larger sources stay as they are.
+
+    A file of one row group is one task however many cores there are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def driver_table(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFrame]:
-    return lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    def load(name: str) -> DataFrame:
+        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spread(df, SPREAD_BY[name]) if name in SPREAD_BY else df
+
+    return load
 
 
 def raw_entities(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFrame]:
