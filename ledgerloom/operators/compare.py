@@ -91,10 +91,8 @@ def field_recon(
 
 def metric_rows(df: DataFrame, names: Sequence[str], prefix: str = "") -> DataFrame:
     """Turn a one-row aggregate into (metric, value) rows."""
-    pairs = [
-        F.struct(F.lit(prefix + n).alias("metric"), F.col(f"`{n}`").cast("bigint").alias("value")) for n in names
-    ]
-    return df.select(F.inline(F.array(*pairs)))
+    pairs = [f"named_struct('metric', '{prefix}{n}', 'value', cast(`{n}` as bigint))" for n in names]
+    return df.selectExpr(f"inline(array({', '.join(pairs)}))")
 
 
 def aggregate_metrics(df: DataFrame, metrics: Mapping[str, Column], prefix: str = "") -> DataFrame:

@@ -157,20 +157,32 @@ GENERIC_TESTS: dict[str, dict[str, object]] = {
 SCAN_TESTS = ("not_null", "accepted_values", "nonnegative")
 
 
-def _result(rows: DataFrame) -> DataFrame:
-    status = F.when(F.col("failures") == 0, "PASS").otherwise("FAIL")
-    return rows.select("table_name", "column_name", "test_name", "failures", status.alias("status"))
+def _sql(value: object) -> str:
+    """SQL literal of a string, boolean or integer."""
+    if isinstance(value, bool):
+        return str(value).lower()
+    return str(value) if isinstance(value, int) else "'" + str(value).replace("'", "\\'") + "'"
+
+
+def _as_rows(row: DataFrame, results: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """One row of counters m0, m1, ... to (table_name, column_name, test_name, failures)."""
+    structs = [
+        f"named_struct('table_name', {_sql(t)}, 'column_name', {_sql(c)}, 'test_name', {_sql(k)}, 'failures', m{i})"
+        for i, (t, c, k) in enumerate(results)
+    ]
+    return row.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
-def _scan_checks(spec: Mapping[str, object], tests: Sequence[str]) -> list[tuple[str, str, Column]]:
+def _scan_checks(spec: Mapping[str, object], tests: Sequence[str]) -> list[tuple[str, str, str]]:
     """(column, test, failing-row condition) for the tests that need no other row."""
-    found: list[tuple[str, str, Column]] = []
+    found: list[tuple[str, str, str]] = []
     if "not_null" in tests:
-        found += [(c, "not_null", F.col(c).isNull()) for c in str(spec.get("not_null", "")).split()]
+        found += [(c, "not_null", f"{c} is null") for c in str(spec.get("not_null", "")).split()]
     if "accepted_values" in tests:
-        found += [(c, "accepted_values", ~F.col(c).isin(list(v))) for c, v in spec.get("accepted_values", {}).items()]
+        for c, values in spec.get("accepted_values", {}).items():
+            found.append((c, "accepted_values", f"{c} not in ({', '.join(map(_sql, values))})"))
     if "nonnegative" in tests:
-        found += [(c, "nonnegative", F.col(c) < 0) for c in str(spec.get("nonnegative", "")).split()]
+        found += [(c, "nonnegative", f"{c} < 0") for c in str(spec.get("nonnegative", "")).split()]
     return found
 
 
@@ -179,15 +191,8 @@ def scan_tests(df: DataFrame, table: str, spec: Mapping[str, object], tests: Seq
     checks = _scan_checks(spec, tests)
     if not checks:
         return None
-    row = df.agg(*[F.count_if(cond).alias(f"c{i}") for i, (_, _, cond) in enumerate(checks)])
-    rows = [
-        F.struct(
-            F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), F.lit(t).alias("test_name"),
-            F.col(f"c{i}").alias("failures"),
-        )
-        for i, (c, t, _) in enumerate(checks)
-    ]
-    return _result(row.select(F.inline(F.array(*rows))))
+    row = df.selectExpr(*[f"count_if({cond}) as m{i}" for i, (_, _, cond) in enumerate(checks)])
+    return _as_rows(row, [(table, c, t) for c, t, _ in checks])
 
 
 def key_tests(
@@ -213,37 +218,31 @@ def key_tests(
     if not members:
         return None
     domains = list(members)
-    per_table: dict[str, list[Column]] = {}
+    per_table: dict[str, list[str]] = {}
     for d, key in enumerate(domains):
         for i, table in enumerate(members[key]):
-            per_table.setdefault(table, []).append(F.struct(
-                F.lit(d).alias("domain"), F.expr(key).cast("string").alias("value"), F.lit(i).alias("member")
-            ))
-    keys = union_all([model[t].select(F.inline(F.array(*ks))) for t, ks in per_table.items()])
+            per_table.setdefault(table, []).append(
+                f"named_struct('domain', {d}, 'value', cast({key} as string), 'member', {i})"
+            )
+    keys = union_all([model[t].selectExpr(f"inline(array({', '.join(ks)}))") for t, ks in per_table.items()])
     width = max(len(tables) for tables in members.values())
-    counted = keys.filter(F.col("value").isNotNull()).groupBy("domain", "value").agg(
-        *[F.count_if(F.col("member") == i).alias(f"n{i}") for i in range(width)]
+    counted = keys.filter("value is not null").groupBy("domain", "value").agg(
+        *[F.expr(f"count_if(member = {i})").alias(f"n{i}") for i in range(width)]
     )
 
-    def rows_of(table: str, key: str) -> Column:
-        return F.col(f"n{members[key].index(table)}")
+    def rows_of(table: str, key: str) -> str:
+        return f"n{members[key].index(table)}"
 
-    measures: list[tuple[str, str, str, Column]] = []
+    measures: list[tuple[str, str, str, str]] = []
     for table, key in unique:
-        here = F.col("domain") == domains.index(key)
-        measures.append((table, key, "unique", F.count_if(here & (rows_of(table, key) > 1))))
+        measures.append((
+            table, key, "unique", f"count_if(domain = {domains.index(key)} and {rows_of(table, key)} > 1)"
+        ))
     for table, key, parent in related:
-        orphan = (F.col("domain") == domains.index(key)) & (rows_of(parent, key) == 0)
-        measures.append((table, key, "relationships", F.sum(F.when(orphan, rows_of(table, key)).otherwise(0))))
-    row = counted.agg(*[F.coalesce(m, F.lit(0)).alias(f"m{i}") for i, (*_, m) in enumerate(measures)])
-    out = [
-        F.struct(
-            F.lit(t).alias("table_name"), F.lit(k).alias("column_name"), F.lit(test).alias("test_name"),
-            F.col(f"m{i}").alias("failures"),
-        )
-        for i, (t, k, test, _) in enumerate(measures)
-    ]
-    return _result(row.select(F.inline(F.array(*out))))
+        orphans = f"if(domain = {domains.index(key)} and {rows_of(parent, key)} = 0, {rows_of(table, key)}, 0)"
+        measures.append((table, key, "relationships", f"coalesce(sum({orphans}), 0)"))
+    row = counted.selectExpr(*[f"{m} as m{i}" for i, (*_, m) in enumerate(measures)])
+    return _as_rows(row, [(t, k, test) for t, k, test, _ in measures])
 
 
 def generic_suite(
@@ -252,7 +251,8 @@ def generic_suite(
 ) -> DataFrame:
     """One row per assertion."""
     scanned = [scan_tests(model[table], table, spec, tests) for table, spec in specs.items()]
-    return union_all([df for df in (*scanned, key_tests(model, tests, specs)) if df is not None])
+    results = union_all([df for df in (*scanned, key_tests(model, tests, specs)) if df is not None])
+    return results.selectExpr("*", "if(failures = 0, 'PASS', 'FAIL') as status")
 
 
 # --- singular checks ------------------------------------------------------------------------
