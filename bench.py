@@ -10,7 +10,7 @@ import time
 from pyspark.sql import SparkSession
 
 from ledgerloom.plans import benchmark, catalog
-from ledgerloom.plans.model import NODES, WRITTEN, Model
+from ledgerloom.plans.model import NODES, Model
 from ledgerloom.sources.commerce import raw_entities
 from ledgerloom.sources.store import table_writer
 
@@ -56,9 +56,7 @@ def main() -> None:
     # The whole pipeline, from source files to stored marts, in fresh folders.
     start = time.perf_counter()
     fresh = Model(raw_entities(spark, sf_dir), table_writer(spark))
-    for name in NODES:
-        if name in WRITTEN:
-            fresh[name]
+    fresh.build_all()
     times["pipeline_build"] = round(time.perf_counter() - start, 4)
     for name in FROM_TABLES:
         build, inputs = NODES[name]

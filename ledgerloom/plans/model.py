@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Collection
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -39,6 +40,16 @@ NODES: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
 }
 # Tables with several consumers downstream; everything else is a view.
 WRITTEN = frozenset({*STAGING, *INTERMEDIATE, *MARTS} - {"stg_geolocation", "order_reconciliation", "dim_seller"})
+# Written tables that need only tables of earlier groups; members of a group are independent.
+BUILD_GROUPS = (
+    tuple(n for n in STAGING if n in WRITTEN),
+    ("items_by_order", "payments_by_order", "reviews_by_order", "dim_product"),
+    ("orders_enriched",),
+    ("dim_customer",),
+    ("fct_orders",),
+    ("fct_order_items", "monthly_revenue", "customer_revenue"),
+    ("category_revenue", "seller_revenue"),
+)
 
 
 class Model:
@@ -65,6 +76,12 @@ class Model:
             self._built[name] = self._write(name, df) if name in self._written else df
         return self._built[name]
 
+    def build_all(self, parallel: int = 4) -> None:
+        """Write every table; independent ones at the same time, so small jobs fill idle cores."""
+        with ThreadPoolExecutor(parallel) as pool:
+            for group in BUILD_GROUPS:
+                list(pool.map(self.__getitem__, group))
+
     def replace(self, **tables: DataFrame) -> Model:
         """This model with some tables swapped; all others, built or not, stay this model's own."""
         return _Replaced(self, tables)
