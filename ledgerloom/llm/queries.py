@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import substring
+from ledgerloom.llm import jaccard, substring
 from ledgerloom.llm.common import documents
 
 
@@ -15,8 +15,13 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return jaccard.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_substring_dedup,)}
+    return {f.__name__: f for f in (op5_substring_dedup, op9_ngram_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
