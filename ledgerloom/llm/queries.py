@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import jaccard, substring
+from ledgerloom.llm import jaccard, mixing, substring
 from ledgerloom.llm.common import documents
 
 
@@ -20,9 +20,42 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
 
 
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sources with the same share of characters, at the size of the input."""
+    return mixing.mix(documents(spark, sf_dir)).select("doc_id", "source", "n_copies", "copy_no", "shuffle_key")
+
+
+OP10_SQL = """
+WITH sizes AS (
+    SELECT source, sum(coalesce(length(text), 0))::DOUBLE AS size FROM documents GROUP BY source
+), shares AS (
+    SELECT source, CASE WHEN size > 0 THEN (SELECT sum(size) FROM sizes) / (SELECT count(*) FROM sizes WHERE size > 0) / size ELSE 0 END AS rate FROM sizes
+), means AS (
+    SELECT source, greatest(ceil(rate / 64), 1)::INT AS strands, rate / greatest(ceil(rate / 64), 1) AS mean FROM shares
+), terms AS (
+    SELECT source, strands, k, CASE WHEN mean > 0 THEN exp(k * ln(mean) - mean - lgamma(k + 1)) ELSE (k = 0)::INT END AS p
+    FROM means, LATERAL unnest(range(0, ceil(mean + sqrt(mean) * 12 + 30)::INT + 1)) AS r(k)
+), tables AS (
+    SELECT source, strands, list(c ORDER BY k) AS reached
+    FROM (SELECT source, strands, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM terms) GROUP BY source, strands
+), fixed AS (
+    SELECT d.doc_id, d.source, t.strands, t.reached,
+           '|' || coalesce('=' || d.doc_id, '-') || '|=' || md5(coalesce(d.text, '')) AS rest
+    FROM documents d JOIN tables t ON d.source IS NOT DISTINCT FROM t.source
+), drawn AS (
+    SELECT doc_id, source, rest, list_sum(list_transform(range(1, strands + 1), lambda s:
+        len(list_filter(reached, lambda c: c <= ('0x' || md5('mix-1|=' || s || rest)[1:13])::BIGINT / 4503599627370496.0))))::INT AS n_copies
+    FROM fixed
+)
+SELECT doc_id, source, n_copies, copy_no::INT AS copy_no,
+       ('0x' || md5('mix-1:order|=' || copy_no || rest)[1:13])::BIGINT / 4503599627370496.0 AS shuffle_key
+FROM drawn, LATERAL unnest(range(1, n_copies + 1)) AS c(copy_no)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_substring_dedup, op9_ngram_jaccard_join)}
+    return {f.__name__: f for f in (op5_substring_dedup, op9_ngram_jaccard_join, op10_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_source_mixing": OP10_SQL}
