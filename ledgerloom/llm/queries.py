@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import jaccard, mixing, substring
+from ledgerloom.llm import bpe, jaccard, mixing, substring
 from ledgerloom.llm.common import documents
 
 
+#: Where the public vocabulary files lie; the file that the queries use.
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+VOCABULARY = "word_bpe_49k.json"
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    done = bpe.tokenize(docs, path or os.path.join(TOKENIZERS, VOCABULARY))
+    return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return substring.remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -54,7 +66,7 @@ FROM drawn, LATERAL unnest(range(1, n_copies + 1)) AS c(copy_no)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_substring_dedup, op9_ngram_jaccard_join, op10_source_mixing)}
+    return {f.__name__: f for f in (op4_bpe, op5_substring_dedup, op9_ngram_jaccard_join, op10_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
