@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.llm.arrays import steps
+from ledgerloom.llm.common import held, share
 
 #: Strings between spaces, and words, whose ids a worker keeps at hand: the younger half and the older half.
 KNOWN = 400_000
@@ -244,16 +245,17 @@ def _decoded(packed: list[bytes], offsets: np.ndarray, blob: np.ndarray) -> list
 
 def tokenize(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """`docs` with n_tokens, `ids` (little-endian 32-bit numbers) and `decoded`, the text that the ids decode to."""
-    shared = docs.sparkSession.sparkContext.broadcast(Tables(path))
+    shared = share(docs.sparkSession, Tables(path))
     added = pa.schema([("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
     rest = [c for c in docs.columns if c.lower() not in added.names]
     plain = docs.select(*[F.col(f"`{c}`") for c in rest])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = shared.value.encoder()
+        tables = held(shared)
+        encoder = tables.encoder()
         for part, texts in steps(batches, text):
             packed = [encoder.ids(t.decode()) for t in texts]
-            columns = [[len(p) // 4 for p in packed], packed, _decoded(packed, shared.value.offsets, shared.value.blob)]
+            columns = [[len(p) // 4 for p in packed], packed, _decoded(packed, tables.offsets, tables.blob)]
             yield pa.RecordBatch.from_arrays(
                 [*part.columns, *(pa.array(c, f.type) for c, f in zip(columns, added, strict=True))], names=[*part.schema.names, *added.names])
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import cloudpickle
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerloom.sources.store import shared_root
@@ -38,6 +40,19 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def share(spark: SparkSession, thing: object) -> Broadcast:
+    """Broadcast an object of this folder; its size must be bounded. Tasks get it with `held`."""
+    return spark.sparkContext.broadcast({"code": cloudpickle.dumps(thing)})
+
+
+def held(shared: Broadcast) -> object:
+    """The shared object, unpacked once in each Python worker and kept for its next tasks."""
+    box = shared.value
+    if "thing" not in box:
+        box["thing"] = cloudpickle.loads(box["code"])
+    return box["thing"]
+
+
 def text_key(text: Column | str) -> Column:
     """128-bit key of a whole text; NULL counts as empty."""
     return F.unhex(F.md5(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("binary")))

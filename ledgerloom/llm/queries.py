@@ -5,9 +5,9 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import bpe, jaccard, mixing, substring
+from ledgerloom.llm import bpe, jaccard, language, mixing, substring
 from ledgerloom.llm.common import documents
 
 
@@ -27,6 +27,17 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def fold(doc_id: str, folds: int) -> Column:
+    """Fold of a document: crc32 of its id as text, modulo `folds`; an id that is NULL counts as empty text."""
+    return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(folds))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang").withColumn("held_out", fold("doc_id", 4) == 2)
+    model = language.fit(docs.filter("not held_out"))
+    return language.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return jaccard.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
@@ -66,7 +77,7 @@ FROM drawn, LATERAL unnest(range(1, n_copies + 1)) AS c(copy_no)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_bpe, op5_substring_dedup, op9_ngram_jaccard_join, op10_source_mixing)}
+    return {f.__name__: f for f in (op4_bpe, op5_substring_dedup, op7_language_id, op9_ngram_jaccard_join, op10_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
