@@ -129,3 +129,92 @@ def steps(batches: Iterable[pa.RecordBatch], column: str, limit: int = STEP_BYTE
         for low, high in zip(borders[:-1], borders[1:], strict=True):
             part = batch.slice(low, high - low)
             yield part, [t or b"" for t in texts.slice(low, high - low).to_pylist()]
+
+
+REPLY = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("sizes", pa.binary()), ("values", pa.binary()), ("more", pa.binary())])
+REPLY_DDL = "bucket int, keys binary, sizes binary, values binary, more binary"
+
+
+def reply(keys: list[bytes], owner: np.ndarray, values: np.ndarray, more: np.ndarray, groups: int) -> pa.RecordBatch:
+    """Send 64-bit `values` (none, if empty) and 32-bit `more` back to their owners: one row for each group of owners.
+
+    `owner` numbers the keys. The group of a key follows from the key alone.
+    """
+    group = np.fromiter((int.from_bytes(k[:4]) % groups for k in keys), np.int64, len(keys))
+    rank = np.argsort(group, kind="stable")
+    place = np.empty(len(keys), dtype=np.int64)
+    place[rank] = np.arange(len(keys))
+    own = place[owner]
+    order = np.argsort(own, kind="stable")
+    counts = np.bincount(own, minlength=len(keys))
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    bare = not len(values)
+    values, more = values if bare else values[order].astype("<u8"), more[order].astype("<i4")
+    border = np.searchsorted(group[rank], np.arange(groups + 1))
+    rows: dict[str, list] = {n: [] for n in REPLY.names}
+    for g in np.flatnonzero(ends[border[1:]] > ends[border[:-1]]):
+        low, high = border[g], border[g + 1]
+        filled = np.flatnonzero(counts[low:high]) + low
+        rows["bucket"].append(int(g))
+        rows["keys"].append(b"".join(keys[rank[i]] for i in filled))
+        rows["sizes"].append(counts[filled].astype("<i4").tobytes())
+        rows["values"].append(b"" if bare else values[ends[low]:ends[high]].tobytes())
+        rows["more"].append(more[ends[low]:ends[high]].tobytes())
+    return pa.RecordBatch.from_pydict(rows, schema=REPLY)
+
+
+def replies(batches: Iterable[pa.RecordBatch], key_size: int) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
+    """All replies that one group got, owner by owner: key, values, more."""
+    number: dict[bytes, int] = {}
+    owners, values, more = [], [], []
+    for batch in batches:
+        for keys, sizes, value, rest in zip(*(batch.column(c).to_pylist() for c in ("keys", "sizes", "values", "more")), strict=True):
+            ids = [number.setdefault(keys[i:i + key_size], len(number)) for i in range(0, len(keys), key_size)]
+            owners.append(np.repeat(np.array(ids, dtype=np.int64), np.frombuffer(sizes, dtype="<i4")))
+            values.append(np.frombuffer(value, dtype="<u8"))
+            more.append(np.frombuffer(rest, dtype="<i4"))
+    if not number:
+        return
+    owner = np.concatenate(owners)
+    order = np.argsort(owner, kind="stable")
+    ends = np.searchsorted(owner[order], np.arange(len(number) + 1))
+    value, rest = np.concatenate(values), np.concatenate(more)[order]
+    value = value[order] if len(value) else value
+    for i, key in enumerate(number):
+        yield key, value[ends[i]:ends[i + 1]], rest[ends[i]:ends[i + 1]]
+
+
+def in_rows(rows: Iterable[tuple], schema: pa.Schema, size: int = 2048) -> Iterator[pa.RecordBatch]:
+    """Rows as record batches."""
+    held: list[tuple] = []
+    for row in rows:
+        held.append(row)
+        if len(held) == size:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
+
+
+def one_of_each(keys: list[bytes]) -> tuple[list[int], np.ndarray]:
+    """Where each key comes first, and whether it comes again."""
+    first: dict[bytes, int] = {}
+    again: set[bytes] = set()
+    for i, key in enumerate(keys):
+        if first.setdefault(key, i) != i:
+            again.add(key)
+    return list(first.values()), np.array([k in again for k in first], dtype=bool)
+
+
+def holds(ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of `values` are in `ordered`."""
+    if not len(ordered):
+        return np.zeros(len(values), dtype=bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+
+def repeated(values: np.ndarray) -> np.ndarray:
+    """Values that occur more than once, sorted, once each."""
+    ordered = np.sort(values)
+    twice = ordered[1:][ordered[1:] == ordered[:-1]]
+    return twice[np.concatenate([[True], twice[1:] != twice[:-1]])] if len(twice) else twice

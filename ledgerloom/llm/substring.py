@@ -24,19 +24,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.llm.arrays import (
-    STEP_BYTES, Words, chain, cuts, mix, pack, steps, unpack, window_starts, windows,
+    REPLY_DDL, STEP_BYTES, Words, chain, cuts, holds, in_rows, mix, one_of_each, pack, repeated, replies, reply, steps, unpack, window_starts, windows,
 )
 from ledgerloom.llm.common import bucket_count, fresh, stored, text_key
 
 WINDOW = 35
 _OTHER = np.uint64(0x5851F42D4C957F2D)
+_KEY = 16
 
 
-def _at_most_twice(ordered: np.ndarray) -> np.ndarray:
-    """Of equal neighbours only the first two."""
-    keep = np.ones(len(ordered), dtype=bool)
-    keep[2:] = ordered[2:] != ordered[:-2]
-    return keep
+def _request(rows: dict[str, list], keys: list[bytes], whose: np.ndarray, place: np.ndarray, **columns: object) -> None:
+    """A bucket's part of one step: its own few keys, and for every entry the number of its key and its place."""
+    own, which = np.unique(whose, return_inverse=True)
+    rows["places"].append(which.astype("<i4").tobytes() + place.astype("<i4").tobytes())
+    rows["keys"].append(b"".join(keys[i] for i in own))
+    for name, value in columns.items():
+        rows[name].append(value)
 
 
 def _probes(block: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -45,6 +48,9 @@ def _probes(block: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], It
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in steps(batches, "text"):
+            keys = part.column("key").to_pylist()
+            unique, again = one_of_each(keys)
+            keys, texts = [keys[i] for i in unique], [texts[i] for i in unique]
             words = Words(texts)
             at, owner = window_starts(words.first, block)
             if not len(at):
@@ -53,83 +59,77 @@ def _probes(block: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], It
             offset = at - words.first[owner]
             fixed = np.flatnonzero(offset % block == 0)
             order = fixed[np.argsort(hashes[fixed], kind="stable")]
-            anchors, place, whose = hashes[order], (offset[order] // block).astype("<i4"), owner[order].astype("<i4")
-            rolling = np.sort(hashes)
-            rolling = rolling[_at_most_twice(rolling >> np.uint64(16))]
+            anchors, place, whose = hashes[order], offset[order] // block, owner[order]
+            # A text that comes again here has each window once more.
+            rolling = np.sort(np.concatenate([hashes, hashes[again[owner]]])) >> np.uint64(16) << np.uint64(16)
+            keep = np.ones(len(rolling), dtype=bool)
+            keep[2:] = rolling[2:] != rolling[:-2]  # two of a kind say as much as more
+            rolling = rolling[keep]
             a, r = cuts(anchors, buckets), cuts(rolling, buckets)
-            keys = part.column("key").to_pylist()
             rows: dict[str, list] = {n: [] for n in schema.names}
             for b in np.flatnonzero(np.diff(r)):
-                low, high = a[b], a[b + 1]
-                own, which = np.unique(whose[low:high], return_inverse=True)
-                rows["bucket"].append(int(b))
-                rows["rolling"].append(pack(rolling[r[b]:r[b + 1]], 6))
-                rows["anchors"].append(pack(anchors[low:high], 6))
-                rows["places"].append(which.astype("<i4").tobytes() + place[low:high].tobytes())
-                rows["keys"].append(b"".join(keys[i] for i in own))
+                cut = slice(a[b], a[b + 1])
+                _request(rows, keys, whose[cut], place[cut], bucket=int(b), rolling=pack(rolling[r[b]:r[b + 1]], 6), anchors=pack(anchors[cut], 6))
             yield pa.RecordBatch.from_pydict(rows, schema=schema)
 
     return run
 
 
-def _repeated(values: list[np.ndarray]) -> np.ndarray:
-    """Values that occur more than once, sorted."""
-    ordered = np.sort(np.concatenate(values))
-    return np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-
-
-def _holds(ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
-    if not len(ordered):
-        return np.zeros(len(values), dtype=bool)
-    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
-
-
-def _by_owner(schema: pa.Schema, keys: bytes, whose: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
-    """A row per text with its places as packed integers."""
-    order = np.argsort(whose, kind="stable")
-    whose, place = whose[order], place[order]
-    border = np.concatenate([[0], np.flatnonzero(np.diff(whose)) + 1, [len(whose)]]) if len(whose) else [0]
-    found = [(keys[16 * whose[i]:16 * whose[i] + 16], place[i:j].astype("<i4").tobytes()) for i, j in zip(border[:-1], border[1:], strict=True)]
-    return pa.RecordBatch.from_pydict({"key": [k for k, _ in found], "places": [p for _, p in found]}, schema=schema)
-
+def _answer(rows: list[dict], hits: list[np.ndarray], groups: int) -> Iterator[pa.RecordBatch]:
+    """Places of the entries that were hit, to their texts; several requests of one text get one answer."""
+    number: dict[bytes, int] = {}
+    owners, places = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int32)]
+    for row, hit in zip(rows, hits, strict=True):
+        which, place = np.frombuffer(row["places"], dtype="<i4").reshape(2, -1)
+        own = [row["keys"][i:i + _KEY] for i in range(0, len(row["keys"]), _KEY)]
+        new = np.array([k not in number for k in own], dtype=bool)
+        hit = hit & new[which]
+        ids = np.array([number.setdefault(k, len(number)) for k in own], dtype=np.int64)
+        owners.append(ids[which[hit]])
+        places.append(place[hit])
+    owner, place = np.concatenate(owners), np.concatenate(places)
+    if len(owner):
+        yield reply(list(number), owner, np.empty(0, dtype=np.uint64), place, groups)
+
+
+def _anchors(groups: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """One bucket's blocks that also occur elsewhere."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rolling, rows = [], []
+        for batch in batches:
+            for row in batch.to_pylist():
+                rolling.append(unpack(row.pop("rolling"), 6))
+                rows.append(row)
+        if rows:
+            twice = repeated(np.concatenate(rolling))
+            del rolling
+            yield from _answer(rows, [holds(twice, unpack(r["anchors"], 6)) for r in rows], groups)
 
-_PLACES = pa.schema([("key", pa.binary()), ("places", pa.binary())])
+    return run
 
 
-def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One bucket's blocks that also occur elsewhere."""
-    rolling, rows = [], []
-    for batch in batches:
-        for row in batch.to_pylist():
-            rolling.append(unpack(row.pop("rolling"), 6))
-            rows.append(row)
-    if not rows:
-        return
-    twice = _repeated(rolling)
-    del rolling
-    for row in rows:
-        anchors = unpack(row["anchors"], 6)
-        which, place = np.frombuffer(row["places"], dtype="<i4").reshape(2, -1)
-        hit = _holds(twice, anchors)
-        if hit.any():
-            yield _by_owner(_PLACES, row["keys"], which[hit], place[hit])
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The anchors of each text."""
+    yield from in_rows(((key, np.sort(place).tobytes()) for key, _, place in replies(batches, _KEY)), pa.schema([("key", pa.binary()), ("places", pa.binary())]))
 
 
 def _candidates(window: int, block: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Windows of full length around the anchors, for each bucket."""
-    schema = pa.schema([("bucket", pa.int32()), ("hashes", pa.binary()), ("second", pa.binary()), ("places", pa.binary()), ("keys", pa.binary())])
+    """Windows of full length around the anchors, for each bucket; `often` marks those of texts with copies here."""
+    schema = pa.schema([("bucket", pa.int32()), ("hashes", pa.binary()), ("second", pa.binary()), ("often", pa.binary()), ("places", pa.binary()), ("keys", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in steps(batches, "text", STEP_BYTES // 2):
+            keys, marks = part.column("key").to_pylist(), part.column("places").to_pylist()
+            unique, again = one_of_each(keys)
+            keys, texts, marks = [keys[i] for i in unique], [texts[i] for i in unique], [marks[i] for i in unique]
             words = Words(texts)
             at, owner = window_starts(words.first, window)
             if not len(at):
                 continue
             # A window from `at` holds the block that starts at the next multiple of the block length.
             marked = np.zeros(len(words.hashes) + window, dtype=bool)
-            for i, places in enumerate(part.column("places").to_pylist()):
-                for packed in places:
-                    marked[words.first[i] + np.frombuffer(packed, dtype="<i4").astype(np.int64) * block] = True
+            for i, places in enumerate(marks):
+                marked[words.first[i] + np.frombuffer(places, dtype="<i4").astype(np.int64) * block] = True
             near = np.concatenate([[0], np.cumsum(marked)])
             chosen = near[at + window - block + 1] > near[at]
             at, owner = at[chosen], owner[chosen]
@@ -138,52 +138,46 @@ def _candidates(window: int, block: int, buckets: int) -> Callable[[Iterator[pa.
             full = windows(words.hashes, window)[at]
             second = windows(mix(words.hashes ^ _OTHER), window)[at]
             order = np.argsort(full)
-            full, second, whose = full[order], second[order], owner[order].astype("<i4")
-            place = (at[order] - words.first[owner[order]]).astype("<i4")
-            keys = part.column("key").to_pylist()
+            full, second, whose, place = full[order], second[order], owner[order], at[order] - words.first[owner[order]]
             c = cuts(full, buckets)
             rows: dict[str, list] = {n: [] for n in schema.names}
             for b in np.flatnonzero(np.diff(c)):
-                low, high = c[b], c[b + 1]
-                own, which = np.unique(whose[low:high], return_inverse=True)
-                rows["bucket"].append(int(b))
-                rows["hashes"].append(pack(full[low:high], 8))
-                rows["second"].append(pack(second[low:high], 4))
-                rows["places"].append(which.astype("<i4").tobytes() + place[low:high].tobytes())
-                rows["keys"].append(b"".join(keys[i] for i in own))
+                cut = slice(c[b], c[b + 1])
+                _request(rows, keys, whose[cut], place[cut], bucket=int(b), hashes=pack(full[cut], 8), second=pack(second[cut], 4), often=np.packbits(again[whose[cut]]).tobytes())
             yield pa.RecordBatch.from_pydict(rows, schema=schema)
 
     return run
 
 
-def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _matches(groups: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """One bucket's windows that occur more than once."""
-    full, rows = [], []
-    for batch in batches:
-        for row in batch.to_pylist():
-            full.append(chain(unpack(row.pop("hashes")), unpack(row.pop("second"), 4)))
-            rows.append(row)
-    if not rows:
-        return
-    twice = _repeated(full)
-    for row, hashes in zip(rows, full, strict=True):
-        which, place = np.frombuffer(row["places"], dtype="<i4").reshape(2, -1)
-        hit = _holds(twice, hashes)
-        if hit.any():
-            yield _by_owner(_PLACES, row["keys"], which[hit], place[hit])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        full, often, rows = [], [], []
+        for batch in batches:
+            for row in batch.to_pylist():
+                own = chain(unpack(row.pop("hashes")), unpack(row.pop("second"), 4))
+                full.append(own)
+                often.append(own[np.unpackbits(np.frombuffer(row.pop("often"), dtype=np.uint8), count=len(own)).astype(bool)])
+                rows.append(row)
+        if rows:
+            twice = repeated(np.concatenate([*full, *often, *often]))
+            yield from _answer(rows, [holds(twice, own) for own in full], groups)
 
+    return run
 
-def _spans(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _spans(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Repeats of each text as [from, to) in words: overlapping and touching windows joined."""
-    schema = pa.schema([("key", pa.binary()), ("spans", pa.list_(pa.int32()))])
-    for batch in batches:
-        keys, spans = [], []
-        for key, places in zip(batch.column("key").to_pylist(), batch.column("places").to_pylist(), strict=True):
-            at = np.sort(np.concatenate([np.frombuffer(p, dtype="<i4") for p in places]))
-            gaps = np.flatnonzero(np.diff(at) > window)
-            keys.append(key)
-            spans.append(np.stack([at[np.concatenate([[0], gaps + 1])], at[np.concatenate([gaps, [len(at) - 1]])] + window], axis=1).reshape(-1).astype("i4"))
-        yield pa.RecordBatch.from_pydict({"key": keys, "spans": pa.array(spans, pa.list_(pa.int32()))}, schema=schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def joined() -> Iterator[tuple[bytes, np.ndarray]]:
+            for key, _, place in replies(batches, _KEY):
+                at = np.sort(place)
+                gaps = np.flatnonzero(np.diff(at) > window)
+                yield key, np.stack([at[np.concatenate([[0], gaps + 1])], at[np.concatenate([gaps, [len(at) - 1]])] + window], axis=1).reshape(-1)
+
+        yield from in_rows(joined(), pa.schema([("key", pa.binary()), ("spans", pa.list_(pa.int32()))]))
+
+    return run
 
 
 def repeat_spans(keyed: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -194,13 +188,12 @@ def repeat_spans(keyed: DataFrame, window: int = WINDOW) -> DataFrame:
     block = (window + 1) // 2
     buckets = bucket_count(keyed)
     probes = keyed.mapInArrow(_probes(block, buckets), "bucket int, rolling binary, anchors binary, places binary, keys binary")
-    anchors = probes.repartitionById(buckets, "bucket").mapInArrow(_anchors, "key binary, places binary")
-    anchors = stored(anchors.groupBy("key").agg(F.collect_list("places").alias("places")), "anchors")
+    anchors = probes.repartitionById(buckets, "bucket").mapInArrow(_anchors(buckets), REPLY_DDL)
+    anchors = stored(anchors.repartitionById(buckets, "bucket").mapInArrow(_marks, "key binary, places binary"), "anchors")
     near = keyed.join(anchors, "key").select("key", "text", "places")
-    found = near.mapInArrow(_candidates(window, block, buckets), "bucket int, hashes binary, second binary, places binary, keys binary")
-    found = found.repartitionById(buckets, "bucket").mapInArrow(_matches, "key binary, places binary")
-    found = found.groupBy("key").agg(F.collect_list("places").alias("places"))
-    return stored(found.mapInArrow(lambda batches: _spans(window, batches), "key binary, spans array<int>"), "spans")
+    found = near.mapInArrow(_candidates(window, block, buckets), "bucket int, hashes binary, second binary, often binary, places binary, keys binary")
+    found = found.repartitionById(buckets, "bucket").mapInArrow(_matches(buckets), REPLY_DDL)
+    return stored(found.repartitionById(buckets, "bucket").mapInArrow(_spans(window), "key binary, spans array<int>"), "spans")
 
 
 def _cleaned(text: str, spans: list[int]) -> tuple[int, int, str]:
