@@ -16,7 +16,7 @@ are only probed by binary search, for the candidates that these merged short lis
    counted per pair, those with enough hits are probed. No link is lost: a pair left out is in one
    component already, and components are all that is returned.
 
-Shingles are compared on 48 of 64 hash bits, sets on 96.
+Shingles are compared on 48 of 64 hash bits, sets on 96 bits and their size.
 
 A document without words has an empty set and links with nothing; one with fewer words than a
 shingle has one shingle, the whole sequence. NULL text is empty. Repeated rows are copies. Where ids
@@ -32,7 +32,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.arrays import Words, cuts, pack, steps, unpack, window_starts, windows
+from ledgerloom.llm.arrays import (
+    REPLY_DDL, Words, cuts, holds, in_rows, pack, repeated, replies, reply, steps, unpack, window_starts, windows,
+)
 from ledgerloom.llm.common import bucket_count, components, stored
 
 SIZE = 5
@@ -42,7 +44,7 @@ HITS = 3
 #: Documents of one step of a task that make a list long.
 LONG_LIST = 64
 _LONG = 2**31 - 1
-_KEY = 12
+_KEY = 16
 
 
 def _sets(texts: list[bytes], size: int) -> list[np.ndarray]:
@@ -63,7 +65,8 @@ def _sets(texts: list[bytes], size: int) -> list[np.ndarray]:
 
 
 def _key(own: np.ndarray) -> bytes:
-    return hashlib.blake2b(own.tobytes(), digest_size=_KEY).digest()
+    """Key of a set: 12 bytes of a digest, its last four bytes replaced by the size."""
+    return hashlib.blake2b(own.tobytes(), digest_size=_KEY - 4).digest() + len(own).to_bytes(4, "little")
 
 
 def _identify(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -85,7 +88,7 @@ _REQUEST = pa.schema([("bucket", pa.int32()), ("tokens", pa.binary()), ("whose",
 def _postings(size: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Inverted lists of a few megabytes of text for each bucket.
 
-    A row without `whose` tells one document of its shingles in long lists.
+    A row without `long` tells documents of their shingles in long lists.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in steps(batches, "text"):
@@ -109,11 +112,8 @@ def _postings(size: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], I
             if heavy.any():
                 far, own = tokens[heavy], whose[heavy]
                 long = far[np.concatenate([[True], far[1:] != far[:-1]])]
-                by = np.argsort(own, kind="stable")
-                far, own = far[by], own[by]
-                for i in np.unique(own):
-                    low, high = np.searchsorted(own, [i, i + 1])
-                    add(int.from_bytes(keys[i][:4]) % buckets, pack(far[low:high], 6), None, keys[i], None)
+                present, which = np.unique(own, return_inverse=True)
+                add(int.from_bytes(keys[0][:4]) % buckets, pack(far, 6), which.astype("<u4").tobytes(), b"".join(keys[i] for i in present), None)
                 tokens, whose = tokens[~heavy], whose[~heavy]
             c, d = cuts(tokens, buckets), cuts(long, buckets)
             for b in np.flatnonzero(np.diff(c) + np.diff(d)):
@@ -125,86 +125,65 @@ def _postings(size: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], I
     return run
 
 
-_REPLY = pa.schema([("key", pa.binary()), ("tokens", pa.binary()), ("ranks", pa.binary())])
-
-
-def _replies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _replies(groups: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """One bucket: for each document its shingles that other documents have too, with the lists' lengths."""
-    tokens, owners, long = [], [], []
-    keys: list[bytes] = []
-    for batch in batches:
-        told: dict[str, list] = {n: [] for n in _REPLY.names}
-        for row in batch.to_pylist():
-            own = unpack(row["tokens"], 6)
-            if row["whose"] is None:
-                told["key"].append(row["keys"])
-                told["tokens"].append(row["tokens"])
-                told["ranks"].append(np.full(len(own), _LONG, dtype="<i4").tobytes())
-                continue
-            long.append(unpack(row["long"], 6))
-            if len(own):
-                wide = len(row["whose"]) // len(own)
-                tokens.append(own)
-                owners.append(np.frombuffer(row["whose"], dtype=f"<u{wide}").astype(np.int64) + len(keys))
-                keys += [row["keys"][i:i + _KEY] for i in range(0, len(row["keys"]), _KEY)]
-        if told["key"]:
-            yield pa.RecordBatch.from_pydict(told, schema=_REPLY)
-    if not tokens:
-        return
-    number = {k: i for i, k in enumerate(dict.fromkeys(keys))}
-    same = np.fromiter((number[k] for k in keys), np.int64, len(keys))
-    keys = list(number)
-    token, owner = np.concatenate(tokens), same[np.concatenate(owners)]
-    del tokens, owners, same, number
-    far = np.unique(np.concatenate(long))
-    ordered = np.sort(token)
-    again = np.unique(np.concatenate([ordered[1:][ordered[1:] == ordered[:-1]], far]))
-    if not len(again):
-        return
-    shared = again[np.minimum(np.searchsorted(again, token), len(again) - 1)] == token
-    token, owner = token[shared], owner[shared]
-    order = np.lexsort((owner, token))
-    token, owner = token[order], owner[order]
-    once = np.concatenate([[True], (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])]) if len(token) else np.empty(0, dtype=bool)
-    token, owner = token[once], owner[once]
-    border = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]])) if len(token) else np.zeros(1, dtype=int)
-    length = np.repeat(np.diff(border), np.diff(border)).astype("<i4")
-    if len(far):
-        length[far[np.minimum(np.searchsorted(far, token), len(far) - 1)] == token] = _LONG
-    keep = length > 1
-    token, owner, length = token[keep], owner[keep], length[keep]
-    order = np.argsort(owner, kind="stable")
-    token, owner, length = token[order], owner[order], length[order]
-    border = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1], [True]])) if len(owner) else np.zeros(1, dtype=int)
-    for at in range(0, len(border) - 1, 4096):
-        pairs = list(zip(border[at:at + 4096], border[1:][at:at + 4096], strict=False))
-        yield pa.RecordBatch.from_pydict({
-            "key": [keys[owner[i]] for i, _ in pairs],
-            "tokens": [pack(token[i:j], 6) for i, j in pairs],
-            "ranks": [length[i:j].tobytes() for i, j in pairs],
-        }, schema=_REPLY)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, owners, long = [], [], []
+        number: dict[bytes, int] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                own = unpack(row["tokens"], 6)
+                keys = [row["keys"][i:i + _KEY] for i in range(0, len(row["keys"]), _KEY)]
+                if row["long"] is None:
+                    # Shingles in long lists go straight on to their documents.
+                    whose = np.frombuffer(row["whose"], dtype="<u4").astype(np.int64)
+                    yield reply(keys, whose, own, np.full(len(own), _LONG), groups)
+                    continue
+                long.append(unpack(row["long"], 6))
+                if len(own):
+                    wide = len(row["whose"]) // len(own)
+                    ids = np.array([number.setdefault(k, len(number)) for k in keys], dtype=np.int64)
+                    tokens.append(own)
+                    owners.append(ids[np.frombuffer(row["whose"], dtype=f"<u{wide}")])
+        if not tokens:
+            return
+        token, owner = np.concatenate(tokens), np.concatenate(owners)
+        del tokens, owners
+        far = np.unique(np.concatenate(long))
+        again = repeated(token)
+        keep = holds(again, token) | holds(far, token)
+        token, owner = token[keep], owner[keep]
+        if not len(token):
+            return
+        order = np.lexsort((owner, token))
+        token, owner = token[order], owner[order]
+        once = np.concatenate([[True], (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])])
+        token, owner = token[once], owner[once]
+        border = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]]))
+        length = np.minimum(np.repeat(np.diff(border), np.diff(border)), _LONG - 1)
+        length[holds(far, token)] = _LONG
+        keep = length > 1
+        if keep.any():
+            yield reply(list(number), owner[keep], token[keep], length[keep], groups)
+
+    return run
 
 
 def _prefixes(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Classes that share enough shingles: these, and the lists to be merged."""
-    schema = pa.schema([("key", pa.binary()), ("n", pa.int64()), ("tokens", pa.binary()), ("short", pa.list_(pa.int64()))])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows: dict[str, list] = {n: [] for n in schema.names}
-            for key, n, parts in zip(*(batch.column(c).to_pylist() for c in ("key", "n", "parts")), strict=True):
-                tokens = np.concatenate([unpack(p["tokens"], 6) for p in parts])
+        def rows() -> Iterator[tuple[bytes, int, bytes, np.ndarray]]:
+            for key, tokens, ranks in replies(batches, _KEY):
+                # A document may have been told of its long lists more than once.
+                tokens, first = np.unique(tokens, return_index=True)
+                ranks, n = ranks[first], int.from_bytes(key[-4:], "little")
                 least = -(-n * percent // 100)
-                if len(tokens) < least:
-                    continue
-                ranks = np.concatenate([np.frombuffer(p["ranks"], dtype="<i4") for p in parts])
-                merged = n - least + min(HITS, least) - (n - len(tokens))
-                order = np.lexsort((tokens, ranks))[:max(merged, 0)]
-                rows["key"].append(key)
-                rows["n"].append(n)
-                rows["tokens"].append(pack(np.sort(tokens), 6))
-                rows["short"].append((tokens[order] >> np.uint64(16)).astype(np.int64))
-            yield pa.RecordBatch.from_pydict(rows, schema=schema)
+                if len(tokens) >= least:
+                    merged = n - least + min(HITS, least) - (n - len(tokens))
+                    order = np.lexsort((tokens, ranks))[:max(merged, 0)]
+                    yield key, n, pack(tokens, 6), (tokens[order] >> np.uint64(16)).astype(np.int64)
+
+        yield from in_rows(rows(), pa.schema([("key", pa.binary()), ("n", pa.int64()), ("tokens", pa.binary()), ("short", pa.list_(pa.int64()))]), 256)
 
     return run
 
@@ -237,19 +216,12 @@ def _alike(percent: int) -> object:
     return F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
 
 
-def class_components(texts: DataFrame, classes: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """(node, component) of the classes that link with others. texts: text; classes: key, n."""
+def class_components(texts: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """(node, component) of the classes of `texts` (text) that link with others."""
     buckets = bucket_count(texts)
-    told = (
-        texts.select("text").mapInArrow(_postings(size, buckets), "bucket int, tokens binary, whose binary, keys binary, long binary")
-        .repartitionById(buckets, "bucket").mapInArrow(_replies, "key binary, tokens binary, ranks binary")
-    )
-    # A document in several steps of a task has been told of its long lists more than once.
-    told = told.groupBy("key").agg(F.collect_set(F.struct("tokens", "ranks")).alias("parts"))
-    sets = stored(
-        told.join(classes, "key").select("key", "n", "parts").mapInArrow(_prefixes(percent), "key binary, n long, tokens binary, short array<bigint>"),
-        "sets",
-    )
+    asked = texts.select("text").mapInArrow(_postings(size, buckets), "bucket int, tokens binary, whose binary, keys binary, long binary")
+    told = asked.repartitionById(buckets, "bucket").mapInArrow(_replies(buckets), REPLY_DDL)
+    sets = stored(told.repartitionById(buckets, "bucket").mapInArrow(_prefixes(percent), "key binary, n long, tokens binary, short array<bigint>"), "sets")
     lists = sets.select("key", "n", F.explode("short").alias("token"))
     leads = lists.groupBy("token").agg(
         F.min(F.struct("key", "n")).alias("first"), F.min(F.struct(F.xxhash64("token", "key"), "key", "n")).alias("second"), F.count("*").alias("c"),
@@ -286,7 +258,7 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, t
     plain = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     known = stored(plain.mapInArrow(_identify(size), f"doc_id {kind}, n long, key binary"), "known")
     classes = stored(known.filter("n > 0").groupBy("key", "n").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")), "classes")
-    found = class_components(plain, classes.select("key", "n"), size, percent)
+    found = class_components(plain, size, percent)
     named = classes.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("group", F.coalesce("component", "key"))
     smallest = named.groupBy("group").agg(F.min("least").alias("component_id"))
     named = stored(named.join(smallest, "group").select("key", "copies", "group", "component_id"), "named")
