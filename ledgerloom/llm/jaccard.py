@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerloom.llm.arrays import (
     REPLY_DDL, Words, cuts, holds, in_rows, pack, repeated, replies, reply, steps, unpack, window_starts, windows,
 )
-from ledgerloom.llm.common import bucket_count, components, stored
+from ledgerloom.llm.common import bucket_count, components, fresh, stored, text_key
 
 SIZE = 5
 PERCENT = 75
@@ -266,3 +266,22 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, t
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.coalesce("copies", F.lit(1)).alias("copies"), "key", "group",
     )
+
+
+def keep_one(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """`docs` with one document of each group of near duplicates: the one with the smallest doc_id.
+
+    A NULL id comes last; among rows with the same id the smaller hash of the text stays, and one of
+    rows that have both in common. Documents without words are no duplicates of anything and stay.
+    """
+    at, group, first = (fresh(docs, n) for n in ("at", "group", "first"))
+    known = docs.withColumn(at, F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), text_key("text").alias("key")))
+    found = near_duplicates(known.select(at, "text"), size, percent, doc_id=at)
+    winners = found.filter("group is not null").groupBy("group").agg(F.min("doc_id").alias(first))
+    # Only rows that a winner shares its id and text with need to be told apart.
+    same = found.filter("group is not null").groupBy("doc_id").agg(F.count("*").alias("rows")).withColumnRenamed("doc_id", first)
+    winners = stored(winners.join(same, first).select(F.col(first), F.col("rows").alias(group)), "winners")
+    alone = known.join(winners.filter(F.col(group) == 1), F.col(at) == F.col(first), "left_semi")
+    several = known.join(winners.filter(F.col(group) > 1), F.col(at) == F.col(first), "left_semi").dropDuplicates([at])
+    empty = known.filter(~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^ \t-\r]"))
+    return alone.unionByName(several).unionByName(empty).drop(at)
