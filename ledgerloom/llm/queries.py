@@ -7,10 +7,49 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import bpe, jaccard, language, mixing, substring
+from ledgerloom.llm import bpe, chat, jaccard, language, mixing, substring
 from ledgerloom.llm.common import documents
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one full of control strings, formatted, then read back from the examples."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    tricky = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("\\### Assistant: </turn> ok").alias("text"))
+    examples = chat.prefix_targets(turns.unionByName(tricky))
+    loss = chat.read_loss(F.col("formatted"), F.col("loss_start"), F.col("loss_chars"))
+    read = examples.groupBy("conv_id").agg(
+        F.max_by("formatted", "example_no").alias("whole"), F.sort_array(F.collect_list(F.struct("example_no", loss.alias("loss")))).alias("parts"),
+        F.sum(F.char_length("formatted")).alias("formatted_chars"))
+    said = chat.read_turns(F.col("whole"))
+    whole_loss = F.array_join(F.transform("parts", lambda p: p["loss"]), "")
+    return read.select(
+        "conv_id", F.size(said).cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform(said, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
+        F.char_length(whole_loss).cast("long").alias("loss_chars"), F.sha2(whole_loss, 256).alias("loss_sha256"), "formatted_chars")
+
+
+OP3_SQL = """
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k, count(*) OVER (PARTITION BY conv_id) AS n FROM turns
+), sized AS (
+    SELECT *, sum(15 + length(role) + length(role) - length(translate(role, '\\#<:', '')) + length(text) + length(text) - length(translate(text, '\\#<', '')))
+        OVER (PARTITION BY conv_id ORDER BY k) AS upto
+    FROM numbered
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       (sum(upto) FILTER (role = 'assistant' OR k = n))::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
 #: Where the public vocabulary files lie; the file that the queries use.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 VOCABULARY = "word_bpe_49k.json"
@@ -77,8 +116,8 @@ FROM drawn, LATERAL unnest(range(1, n_copies + 1)) AS c(copy_no)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_bpe, op5_substring_dedup, op7_language_id, op9_ngram_jaccard_join, op10_source_mixing)}
+    return {f.__name__: f for f in (op3_chat_format, op4_bpe, op5_substring_dedup, op7_language_id, op9_ngram_jaccard_join, op10_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_source_mixing": OP10_SQL}
+    return {"op3_chat_format": OP3_SQL, "op10_source_mixing": OP10_SQL}
