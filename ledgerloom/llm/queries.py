@@ -7,10 +7,14 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import bpe, chat, jaccard, language, mixing, substring
+from ledgerloom.llm import bpe, chat, jaccard, language, mixing, substring, vectors
 from ledgerloom.llm.common import documents
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one full of control strings, formatted, then read back from the examples."""
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
@@ -116,7 +120,7 @@ FROM drawn, LATERAL unnest(range(1, n_copies + 1)) AS c(copy_no)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_chat_format, op4_bpe, op5_substring_dedup, op7_language_id, op9_ngram_jaccard_join, op10_source_mixing)}
+    return {f.__name__: f for f in (op1_embedding_near_dedup, op3_chat_format, op4_bpe, op5_substring_dedup, op7_language_id, op9_ngram_jaccard_join, op10_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
