@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import bpe, chat, jaccard, language, mixing, substring, vectors
+from ledgerloom.llm import bpe, chat, jaccard, language, mixing, substring, topk, vectors
 from ledgerloom.llm.common import documents
 
 
@@ -15,6 +15,23 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op2_voronoi_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return topk.search(rows, F.col("vec_id") % 100 == 0)
+
+
+OP2_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, d.vec_id, list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * d.e[i]))::BIGINT AS score
+    FROM v q JOIN v d ON q.vec_id <> d.vec_id AND len(q.e) = len(d.e) WHERE q.vec_id % 100 = 0
+)
+SELECT * FROM (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s) WHERE rank <= 10
+"""
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one full of control strings, formatted, then read back from the examples."""
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
@@ -120,8 +137,8 @@ FROM drawn, LATERAL unnest(range(1, n_copies + 1)) AS c(copy_no)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_embedding_near_dedup, op3_chat_format, op4_bpe, op5_substring_dedup, op7_language_id, op9_ngram_jaccard_join, op10_source_mixing)}
+    return {f.__name__: f for f in (op1_embedding_near_dedup, op2_voronoi_topk, op3_chat_format, op4_bpe, op5_substring_dedup, op7_language_id, op9_ngram_jaccard_join, op10_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_format": OP3_SQL, "op10_source_mixing": OP10_SQL}
+    return {"op2_voronoi_topk": OP2_SQL, "op3_chat_format": OP3_SQL, "op10_source_mixing": OP10_SQL}
