@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import bpe, chat, jaccard, language, mixing, substring, topk, vectors
+from ledgerloom.llm import bpe, chat, jaccard, language, mixing, scoring, substring, topk, vectors
 from ledgerloom.llm.common import documents
 
 
@@ -98,6 +98,13 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fold 0 of 10 is held out; fold 1, which is training text too, settles the weights."""
+    docs = documents(spark, sf_dir).select("doc_id", "text").withColumn("held_out", fold("doc_id", 10) == 0)
+    scored = scoring.score(docs, ~F.col("held_out"), fold("doc_id", 10) == 1)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return jaccard.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
@@ -137,7 +144,7 @@ FROM drawn, LATERAL unnest(range(1, n_copies + 1)) AS c(copy_no)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_embedding_near_dedup, op2_voronoi_topk, op3_chat_format, op4_bpe, op5_substring_dedup, op7_language_id, op9_ngram_jaccard_join, op10_source_mixing)}
+    return {f.__name__: f for f in (op1_embedding_near_dedup, op2_voronoi_topk, op3_chat_format, op4_bpe, op5_substring_dedup, op7_language_id, op8_lm_scoring, op9_ngram_jaccard_join, op10_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
