@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import bpe, chat, jaccard, language, mixing, scoring, substring, topk, vectors
+from ledgerloom.llm import bpe, chat, jaccard, language, mixing, scoring, substring, topk, vectors, webtext
 from ledgerloom.llm.common import documents
 
 
@@ -87,6 +87,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return webtext.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def fold(doc_id: str, folds: int) -> Column:
     """Fold of a document: crc32 of its id as text, modulo `folds`; an id that is NULL counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(folds))
@@ -144,7 +148,7 @@ FROM drawn, LATERAL unnest(range(1, n_copies + 1)) AS c(copy_no)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_embedding_near_dedup, op2_voronoi_topk, op3_chat_format, op4_bpe, op5_substring_dedup, op7_language_id, op8_lm_scoring, op9_ngram_jaccard_join, op10_source_mixing)}
+    return {f.__name__: f for f in (op1_embedding_near_dedup, op2_voronoi_topk, op3_chat_format, op4_bpe, op5_substring_dedup, op6_html_extraction, op7_language_id, op8_lm_scoring, op9_ngram_jaccard_join, op10_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
