@@ -12,9 +12,10 @@ are only probed by binary search, for the candidates that these merged short lis
    shares fewer than T of them is done.
 3. Every short list links its members with two of them, its leaders, instead of with each other; both
    differ from list to list, so even thousands of near copies become one component without all pairs.
-4. Lists that still hold several components are merged for all pairs across components; hits are
-   counted per pair, those with enough hits are probed. No link is lost: a pair left out is in one
-   component already, and components are all that is returned.
+4. Lists that still hold several components are searched for links across components: those with few
+   members pair by pair; the members of longer ones go into tiles of bounded size, and two tiles meet
+   in one task, which merges its own short lists and probes its long ones for every member. No link
+   is lost: a pair left out is in one component already, and components are all that is returned.
 
 Shingles are compared on 48 of 64 hash bits, sets on 96 bits and their size.
 
@@ -43,6 +44,9 @@ PERCENT = 75
 HITS = 3
 #: Documents of one step of a task that make a list long.
 LONG_LIST = 64
+#: Members up to which a list that holds several components is searched pair by pair; longer ones go in tiles.
+FEW = 32
+TILE = 1024
 _LONG = 2**31 - 1
 _KEY = 16
 
@@ -205,6 +209,94 @@ def _probe(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     return run
 
 
+def search(queries: list[tuple[int, np.ndarray]], data: list[tuple[int, np.ndarray]], percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """T-occurrence search in memory: for each query (size, sorted shingles) the numbers of the data it links with."""
+    sizes = np.array([n for n, _ in data])
+    tokens = np.concatenate([t for _, t in data])
+    whose = np.repeat(np.arange(len(data)), [len(t) for _, t in data])
+    order = np.argsort(tokens, kind="stable")
+    tokens, whose = tokens[order], whose[order]
+    start = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1], [True]]))
+    lists = tokens[start[:-1]]
+    for n, own in queries:
+        least = -(-n * percent // 100)
+        at = np.searchsorted(lists, own)
+        at = at[lists[np.minimum(at, len(lists) - 1)] == own]
+        if len(at) < least:
+            yield n, np.empty(0, dtype=np.int64)
+            continue
+        length = start[at + 1] - start[at]
+        at = at[np.argsort(length, kind="stable")]
+        # As many long lists are put aside as balances merging against probing.
+        aside = min(least - 1, int(least / (0.5 * np.log2(length.max() + 1) + 1)))
+        short, long = at[:len(at) - aside], at[len(at) - aside:]
+        size = start[short + 1] - start[short]
+        merged = whose[np.arange(size.sum()) + np.repeat(start[short] - np.concatenate([[0], np.cumsum(size)[:-1]]), size)]
+        hits = np.bincount(merged, minlength=len(data))
+        found = np.flatnonzero(hits >= least - aside)
+        hits = hits[found]
+        for k in long:
+            members = whose[start[k]:start[k + 1]]
+            hits = hits + (members[np.minimum(np.searchsorted(members, found), len(members) - 1)] == found)
+        yield n, found[100 * hits >= percent * (n + sizes[found] - hits)]
+
+
+def _compare(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """Links between the components of two tiles: as few as join them."""
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        left, right = ([r for r in rows if r["second"] == side] for side in (False, True))
+        right = right or left
+        if not left:
+            return schema.empty_table()
+        top: dict[bytes, bytes] = {}
+
+        def root(c: bytes) -> bytes:
+            while top.get(c, c) != c:
+                top[c] = top.get(top[c], top[c])
+                c = top[c]
+            return c
+
+        found = []
+        one, two = ([(r["n"], unpack(r["tokens"], 6)) for r in side] for side in (left, right))
+        for row, (_, hits) in zip(left, search(one, two, percent), strict=True):
+            for k in hits:
+                x, y = root(row["component"]), root(right[k]["component"])
+                if x != y:
+                    top[max(x, y)] = min(x, y)
+                    found.append((row["key"], right[k]["key"]))
+        return pa.table([pa.array([x for x, _ in found], pa.binary()), pa.array([y for _, y in found], pa.binary())], schema=schema)
+
+    return run
+
+
+def _tiled(lists: DataFrame, sets: DataFrame, percent: int, tile: int) -> DataFrame:
+    """Links across components among the members of long lists (token, key, component).
+
+    Lists that overlap are one area. An area is cut into tiles of bounded size, a component that is
+    larger than a tile into tiles of its own, which need not be compared with each other.
+    """
+    first = lists.groupBy("token").agg(F.min("key").alias("first"))
+    areas = components(lists.join(first, "token").select(F.col("key").alias("a"), F.col("first").alias("b")))
+    members = stored(areas.select(F.col("node").alias("key"), F.col("component").alias("area")).join(lists.select("key", "component").distinct(), "key"), "members")
+    size = members.groupBy("area", "component").agg(F.count("*").alias("c"))
+    large = F.col("c") > tile
+    rest = size.groupBy("area").agg(F.sum(F.when(~large, F.col("c"))).alias("rest"))
+    size = size.join(rest, "area").select("area", "component", F.when(large, F.col("component")).alias("alone"), F.ceil(F.when(large, F.col("c")).otherwise(F.col("rest")) / tile).alias("tiles"))
+    spread = F.pmod(F.when(F.col("alone").isNull(), F.xxhash64("component")).otherwise(F.xxhash64("key")), F.col("tiles"))
+    placed = stored(
+        members.join(size, ["area", "component"]).select("key", "area", "component", "alone", F.concat_ws(":", F.hex("alone"), spread).alias("tile")), "placed")
+    tiles = placed.select("area", "alone", "tile").distinct()
+    a, b = (tiles.select("area", F.col("alone").alias(f"{s}_alone"), F.col("tile").alias(s)) for s in "ab")
+    pairs = a.join(b, "area").filter("a <= b and not coalesce(a_alone = b_alone, false)").select("area", "a", "b")
+    full = placed.join(sets.select("key", "n", "tokens"), "key").select("area", "tile", "key", "n", "tokens", "component")
+    left = full.join(pairs, (full["area"] == pairs["area"]) & (full["tile"] == pairs["a"])).drop(full["area"]).withColumn("second", F.lit(False))
+    right = full.join(pairs.filter("a <> b"), (full["area"] == pairs["area"]) & (full["tile"] == pairs["b"])).drop(full["area"]).withColumn("second", F.lit(True))
+    return left.unionByName(right).drop("tile").groupBy("area", "a", "b").applyInArrow(_compare(percent), "a binary, b binary")
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     for side in ("a", "b"):
         pairs = pairs.join(sets.select(F.col("key").alias(side), F.col("n").alias(f"n_{side}"), F.col("tokens").alias(f"tokens_{side}")), side)
@@ -236,16 +328,21 @@ def class_components(texts: DataFrame, size: int = SIZE, percent: int = PERCENT)
     parts = components(stars)
 
     lists = lists.join(parts.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    mixed = lists.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("token")
+    mixed = lists.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("c")).filter("low <> high").select("token", "c")
     lists = stored(lists.join(mixed, "token"), "lists")
-    left, right = (lists.select("token", F.col("key").alias(s), F.col("n").alias(f"n_{s}"), F.col("component").alias(f"c_{s}")) for s in ("a", "b"))
+    few = F.col("c") <= FEW
+    left, right = (lists.filter(few).select("token", F.col("key").alias(s), F.col("n").alias(f"n_{s}"), F.col("component").alias(f"c_{s}")) for s in ("a", "b"))
+    # A pair with too few hits here has others in longer lists, and is found there.
     needed = F.least(F.lit(HITS), F.ceil(F.least("n_a", "n_b") * percent / 100))
     rest = (
         left.join(right, "token").filter("a < b and c_a <> c_b").filter(_alike(percent))
         .groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("hits")).filter(F.col("hits") >= needed).select("a", "b")
     )
-    links = stored(_linked(rest, sets, percent), "rest")
-    return components(stars.unionByName(links)) if not links.isEmpty() else parts
+    links = stars.unionByName(stored(_linked(rest, sets, percent), "rest"))
+    many = lists.filter(~few)
+    if not many.isEmpty():
+        links = links.unionByName(stored(_tiled(many, sets, percent, TILE), "tiled"))
+    return components(links)
 
 
 def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
