@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .scans import (
-    HEAVY_ROWS, by_weight, time_slice, latest_value, number_slice, previous_value, running_sum,
+    PIECES, Order, latest_value, previous_value, running_sum, scan_in_order,
 )
 
 
 def change_sessions(
-    df: DataFrame, key: str, at: str, tiebreak: str, attributes: Sequence[str], slice_col: str | None
+    df: DataFrame, key: str, at: str, tiebreak: str, attributes: Sequence[str], slice_col: str
 ) -> DataFrame:
     """Add `starts_new_version` and `version` to every observation of the key."""
     order = [at, tiebreak]
@@ -32,7 +32,7 @@ def version_history(
     at: str,
     tiebreak: str,
     attributes: Sequence[str],
-    min_rows: int = HEAVY_ROWS,
+    pieces: int = PIECES,
 ) -> DataFrame:
     """One row per run of equal attributes: half-open [valid_from, valid_to) and row count.
 
@@ -40,50 +40,49 @@ def version_history(
     so they are grouping columns and the rollup stays a hash aggregate.
     """
 
-    def build(rows: DataFrame, slice_col: str | None) -> DataFrame:
+    def build(rows: DataFrame, slice_col: str) -> DataFrame:
         numbered = change_sessions(rows, key, at, tiebreak, attributes, slice_col)
         versions = numbered.groupBy(key, "version", *attributes).agg(
             F.min(at).alias("valid_from"), F.count("*").alias("observations")
         )
-        if slice_col is None:
-            following = F.lead("valid_from").over(Window.partitionBy(key).orderBy("version"))
-            return versions.withColumn("valid_to", following)
-        successor = versions.select(
-            F.col(key).alias("__key"),
-            (F.col("version") - 1).alias("__before"),
-            F.col("valid_from").alias("valid_to"),
-        )
-        adjacent = F.col(key).eqNullSafe(F.col("__key")) & (F.col("version") == F.col("__before"))
-        return versions.join(successor, adjacent, "left").drop("__key", "__before")
+        # The start of the next version is this one's end: each version tells its predecessor.
+        names = [*attributes, "valid_from", "observations"]
+        own = F.struct("version", *names, F.lit(None).cast(versions.schema["valid_from"].dataType).alias("valid_to"))
+        told = F.struct(
+            (F.col("version") - 1).alias("version"), *[F.lit(None).cast(versions.schema[n].dataType).alias(n) for n in names], F.col("valid_from").alias("valid_to"))
+        both = versions.select(key, F.inline(F.array(own, told)))
+        # At most one of the rows of a version has each value, or has the same.
+        joined = both.groupBy(key, "version").agg(*[F.max(n).alias(n) for n in (*names, "valid_to")])
+        return joined.filter("version > 0")
 
     narrow = df.select(key, at, tiebreak, *attributes)
-    return by_weight(narrow, key, time_slice(at), build, min_rows)
+    return scan_in_order(narrow, Order(at, tiebreak), build, pieces)
 
 
 def sessions(
-    df: DataFrame, key: str, at: str, tiebreak: str, attributes: Sequence[str], min_rows: int = HEAVY_ROWS
+    df: DataFrame, key: str, at: str, tiebreak: str, attributes: Sequence[str], pieces: int = PIECES
 ) -> DataFrame:
     """Every observation with its change flag and running version number."""
     narrow = df.select(key, at, tiebreak, *attributes)
 
-    def number(rows: DataFrame, slice_col: str | None) -> DataFrame:
+    def number(rows: DataFrame, slice_col: str) -> DataFrame:
         return change_sessions(rows, key, at, tiebreak, attributes, slice_col)
 
-    return by_weight(narrow, key, time_slice(at), number, min_rows)
+    return scan_in_order(narrow, Order(at, tiebreak), number, pieces)
 
 
 def version_gaps(
-    dim: DataFrame, key: str, version: str, min_rows: int = HEAVY_ROWS
+    dim: DataFrame, key: str, version: str, pieces: int = PIECES
 ) -> DataFrame:
     """Add the version's expected number and whether it starts where its predecessor ended."""
 
-    def scan(rows: DataFrame, slice_col: str | None) -> DataFrame:
+    def scan(rows: DataFrame, slice_col: str) -> DataFrame:
         ended = F.struct("valid_to")
         linked = previous_value(rows, key, [version], ended, "__ended", slice_col)
         return running_sum(linked, key, [version], "__one", "expected_version", slice_col)
 
     counted = dim.withColumn("__one", F.lit(1))
-    scanned = by_weight(counted, key, number_slice(version), scan, min_rows)
+    scanned = scan_in_order(counted, Order(version), scan, pieces)
     broken = (
         F.col("__ended").isNotNull() & F.col("valid_from").isNotNull()
         & ~F.col("valid_from").eqNullSafe(F.col("__ended")["valid_to"])
@@ -103,7 +102,7 @@ def asof_lookup(
     at: str,
     payload: Sequence[str],
     version: str,
-    min_rows: int = HEAVY_ROWS,
+    pieces: int = PIECES,
 ) -> DataFrame:
     """Attach `payload` of the version valid at `at`; facts without one are dropped.
 
@@ -124,10 +123,10 @@ def asof_lookup(
     merged = arrivals.unionByName(starts, allowMissingColumns=True)
     order = ["__at", "__side", "__version"]
 
-    def scan(rows: DataFrame, slice_col: str | None) -> DataFrame:
+    def scan(rows: DataFrame, slice_col: str) -> DataFrame:
         return latest_value(rows, key, order, "__start", "__valid", slice_col)
 
-    found = by_weight(merged, key, time_slice("__at"), scan, min_rows)
+    found = scan_in_order(merged, Order("__at"), scan, pieces)
     valid = F.col("__valid")
     matched = found.filter(
         (F.col("__side") == 1) & inside(F.col(at), valid["valid_from"], valid["valid_to"])
@@ -145,7 +144,7 @@ def _proper(dim: DataFrame, key: str) -> DataFrame:
 
 
 def match_counts(
-    facts: DataFrame, dim: DataFrame, key: str, at: str, min_rows: int = HEAVY_ROWS
+    facts: DataFrame, dim: DataFrame, key: str, at: str, pieces: int = PIECES
 ) -> DataFrame:
     """Add `matches`, the number of intervals of the key that contain `at`.
 
@@ -164,17 +163,17 @@ def match_counts(
     )
     merged = points.unionByName(steps, allowMissingColumns=True)
 
-    def scan(rows: DataFrame, slice_col: str | None) -> DataFrame:
+    def scan(rows: DataFrame, slice_col: str) -> DataFrame:
         return running_sum(rows, key, ["__at", "__side"], "__step", "__balance", slice_col)
 
-    counted = by_weight(merged, key, time_slice("__at"), scan, min_rows).filter("__side = 1")
+    counted = scan_in_order(merged, Order("__at"), scan, pieces).filter("__side = 1")
     result = counted.select(*facts.columns, F.col("__balance").cast("bigint").alias("matches"))
     unplaced = facts.filter(~placed).withColumn("matches", F.lit(0).cast("bigint"))
     return result.unionByName(unplaced)
 
 
 def interval_usage(
-    facts: DataFrame, dim: DataFrame, key: str, at: str, ident: str, min_rows: int = HEAVY_ROWS
+    facts: DataFrame, dim: DataFrame, key: str, at: str, ident: str, pieces: int = PIECES
 ) -> DataFrame:
     """(ident, uses): facts inside each interval of `dim`; intervals without facts give 0.
 
@@ -197,10 +196,10 @@ def interval_usage(
     )
     merged = before.unionByName(after).unionByName(points, allowMissingColumns=True)
 
-    def scan(rows: DataFrame, slice_col: str | None) -> DataFrame:
+    def scan(rows: DataFrame, slice_col: str) -> DataFrame:
         return running_sum(rows, key, ["__at", "__side"], "__fact", "__before", slice_col)
 
-    marks = by_weight(merged, key, time_slice("__at"), scan, min_rows).filter("__side = 0")
+    marks = scan_in_order(merged, Order("__at"), scan, pieces).filter("__side = 0")
     return marks.groupBy(ident).agg(
         F.sum(F.col("__sign") * F.col("__before")).cast("bigint").alias("uses")
     )

@@ -1,63 +1,58 @@
 """Ordered scans within a key that survive a key holding a large share of all rows.
 
-Ordinary keys take one window over the key. A heavy key is cut into slices: each slice is
-scanned on its own task, one summary row per slice is scanned over the key, and the summary is
-added back to the rows of the slice. Both ways give the same result.
+The order is cut into pieces that hold about equally many rows of the whole table, so no key has more
+than one such share in a piece. Each (key, piece) is scanned on its own; one summary row of it is
+scanned over the key, and the result is added back to its rows. There is one plan, whatever the data,
+and no job runs before it does.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-HEAVY_ROWS = 5_000_000
-HEAVY_KEYS = 1024
+PIECES = 1024
 SLICE = "__slice"
 
 
-def heavy_keys(df: DataFrame, key: str, min_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Keys with at least `min_rows` rows: never more than HEAVY_KEYS, so safe to collect and broadcast.
+@dataclass(frozen=True)
+class Order:
+    """What a scan is ordered by: `at`, then, if given, the text `tie`."""
 
-    Heavy keys beyond that number take the ordinary way, which is exact as well.
-    """
-    counts = df.groupBy(F.col(key).alias("__heavy")).agg(F.count("*").alias("__n"))
-    heavy = counts.filter(F.col("__n") >= min_rows)
-    return heavy.orderBy(F.desc("__n"), "__heavy").limit(HEAVY_KEYS).select("__heavy")
+    at: str
+    tie: str | None = None
 
+    def cut(self, rows: DataFrame, pieces: int) -> DataFrame:
+        """Add SLICE, which never decreases along the order: approximate quantiles of `at` over all rows.
 
-def time_slice(at: str, unit: str = "HOUR") -> Column:
-    """Slice of a time-ordered scan."""
-    return F.date_trunc(unit, F.col(at)).cast("timestamp_ntz")
+        A value that alone fills a piece is cut further by the first letters of `tie`.
+        """
+        at, parts = F.col(self.at), [F.col(self.at).isNull().alias("none")]
+        if pieces > 1:
+            shares = F.array(*[F.lit(k / pieces) for k in range(1, pieces)])
+            found = F.coalesce(rows.agg(F.percentile_approx(self.at, shares)).scalar(), F.array().cast(f"array<{rows.schema[self.at].dataType.simpleString()}>"))
+            rows, cuts = rows.withColumn("__cuts", found), F.col("__cuts")
+            steps = [1 << k for k in reversed(range((pieces - 1).bit_length()))]
 
+            def below(reached: Callable[[Column], Column]) -> Column:
+                """How many of the ascending cuts are reached, by halving steps."""
+                return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda n, step: F.when(reached(F.get(cuts, n + step - 1)), n + step).otherwise(n))
 
-def number_slice(name: str, width: int = 1_000_000) -> Column:
-    """Slice of a scan ordered by a number."""
-    return F.floor(F.col(name) / width)
+            upto, before = below(lambda c: c <= at), below(lambda c: c < at)
+            # Rows on a cut are a piece of their own, between those before and after it.
+            parts.append((upto + before).alias("piece"))
+            if self.tie is not None:
+                parts.append(F.when(upto - before > 1, F.substring(F.col(self.tie), 1, 4)).alias("tie"))
+        return rows.withColumn(SLICE, F.struct(*parts)).drop("__cuts")
 
 
-def by_weight(
-    df: DataFrame,
-    key: str,
-    slice_by: Column,
-    scan: Callable[[DataFrame, str | None], DataFrame],
-    min_rows: int = HEAVY_ROWS,
+def scan_in_order(
+    df: DataFrame, order: Order, scan: Callable[[DataFrame, str], DataFrame], pieces: int = PIECES
 ) -> DataFrame:
-    """Apply `scan(rows, slice column or None)` to ordinary and heavy keys.
-
-    `slice_by` must not decrease along the order of the scan. Heavy keys are looked up first (one
-    pass over the key column, at most HEAVY_KEYS values back), so data without any keeps the plain
-    plan with one shuffle.
-    """
-    found = heavy_keys(df, key, min_rows).collect()
-    if not found:
-        return scan(df, None)
-    schema = T.StructType([T.StructField("__heavy", df.schema[key].dataType)])
-    heavy = F.broadcast(df.sparkSession.createDataFrame(found, schema))
-    same = F.col(key).eqNullSafe(F.col("__heavy"))
-    light = scan(df.join(heavy, same, "left_anti"), None)
-    sliced = df.join(heavy, same, "left_semi").withColumn(SLICE, slice_by)
-    return light.unionByName(scan(sliced, SLICE).drop(SLICE))
+    """Apply `scan(rows, slice column)` to rows cut into pieces of their order."""
+    return scan(order.cut(df, pieces), SLICE).drop(SLICE)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -86,13 +81,10 @@ def _with_carry(
 
 
 def previous_value(
-    df: DataFrame, key: str, order: Sequence[str], value: Column, out: str, slice_col: str | None
+    df: DataFrame, key: str, order: Sequence[str], value: Column, out: str, slice_col: str
 ) -> DataFrame:
     """Value of the preceding row of the key (NULL on its first row); `value` is never NULL."""
-    parts = [key] if slice_col is None else [key, slice_col]
-    local = F.lag(value).over(Window.partitionBy(*parts).orderBy(*_ascending(order)))
-    if slice_col is None:
-        return df.withColumn(out, local)
+    local = F.lag(value).over(Window.partitionBy(key, slice_col).orderBy(*_ascending(order)))
     rank = F.struct(*order)
     linked = _with_carry(
         df, key, slice_col, F.max_by(value, rank), lambda last, over: F.lag(last).over(over)
@@ -101,14 +93,11 @@ def previous_value(
 
 
 def running_sum(
-    df: DataFrame, key: str, order: Sequence[str], value: str, out: str, slice_col: str | None
+    df: DataFrame, key: str, order: Sequence[str], value: str, out: str, slice_col: str
 ) -> DataFrame:
     """Sum of `value` from the key's first row up to and including this one."""
-    parts = [key] if slice_col is None else [key, slice_col]
-    upto = Window.partitionBy(*parts).orderBy(*_ascending(order))
+    upto = Window.partitionBy(key, slice_col).orderBy(*_ascending(order))
     local = F.sum(value).over(upto.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    if slice_col is None:
-        return df.withColumn(out, local)
     linked = _with_carry(
         df, key, slice_col, F.sum(value),
         lambda total, over: F.sum(total).over(over.rowsBetween(Window.unboundedPreceding, -1)),
@@ -117,16 +106,13 @@ def running_sum(
 
 
 def latest_value(
-    df: DataFrame, key: str, order: Sequence[str], value: str, out: str, slice_col: str | None
+    df: DataFrame, key: str, order: Sequence[str], value: str, out: str, slice_col: str
 ) -> DataFrame:
     """Last non-NULL `value` of the key up to and including this row."""
-    parts = [key] if slice_col is None else [key, slice_col]
-    upto = Window.partitionBy(*parts).orderBy(*_ascending(order))
+    upto = Window.partitionBy(key, slice_col).orderBy(*_ascending(order))
     local = F.last(value, ignorenulls=True).over(
         upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    if slice_col is None:
-        return df.withColumn(out, local)
     rank = F.when(F.col(value).isNotNull(), F.struct(*order))
     linked = _with_carry(
         df, key, slice_col, F.max_by(F.col(value), rank),

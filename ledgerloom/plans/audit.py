@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.values import rate
 from ..operators.compare import aggregate_metrics, union_all
 from ..operators.history import match_counts
-from ..operators.scans import HEAVY_ROWS, by_weight, time_slice, previous_value, running_sum
+from ..operators.scans import PIECES, Order, previous_value, running_sum, scan_in_order
 
 # Status domains.
 RUN_STATUSES = ("RUNNING", "SUCCESS", "FAILED")
@@ -139,10 +139,10 @@ def current_state(events: DataFrame, subject: str) -> DataFrame:
     )
 
 
-def transition_violations(events: DataFrame, subject: str, min_rows: int = HEAVY_ROWS) -> DataFrame:
+def transition_violations(events: DataFrame, subject: str, pieces: int = PIECES) -> DataFrame:
     """(subject, event_at, violation): only START then FINISH is allowed."""
 
-    def scan(rows: DataFrame, slice_col: str | None) -> DataFrame:
+    def scan(rows: DataFrame, slice_col: str) -> DataFrame:
         return previous_value(
             rows, subject, ["event_at", "sequence"], F.struct("status"), "__previous", slice_col
         )
@@ -153,24 +153,24 @@ def transition_violations(events: DataFrame, subject: str, min_rows: int = HEAVY
         .when((F.col("status") != "RUNNING") & before.isNull(), "finished_without_start")
         .when((F.col("status") != "RUNNING") & (before != "RUNNING"), "finished_twice")
     )
-    scanned = by_weight(events, subject, time_slice("event_at"), scan, min_rows)
+    scanned = scan_in_order(events, Order("event_at"), scan, pieces)
     return scanned.select(subject, "event_at", problem.alias("violation")).filter("violation is not null")
 
 
-def run_state(runs_events: DataFrame, stages: DataFrame, min_rows: int = HEAVY_ROWS) -> DataFrame:
+def run_state(runs_events: DataFrame, stages: DataFrame, pieces: int = PIECES) -> DataFrame:
     """Current run state and the stages still active when the run finished."""
     state = current_state(runs_events, "run_id")
     intervals = stages.select(
         "run_id", F.col("started_at").alias("valid_from"), F.col("ended_at").alias("valid_to")
     )
-    counted = match_counts(state, intervals, "run_id", "ended_at", min_rows)
+    counted = match_counts(state, intervals, "run_id", "ended_at", pieces)
     return counted.select(
         "run_id", "status", "started_at", "ended_at", F.col("matches").alias("active_stages"),
         ((F.col("status") == "RUNNING") | (F.col("matches") == 0)).alias("valid_finish"),
     )
 
 
-def stage_attempts(stages: DataFrame, min_rows: int = HEAVY_ROWS) -> DataFrame:
+def stage_attempts(stages: DataFrame, pieces: int = PIECES) -> DataFrame:
     """Expected attempt number and whether the attempt was allowed (first, or after a failure)."""
     keyed = stages.select(
         "run_id", "stage_name", "stage_attempt_id", "attempt_number", "started_at", "status",
@@ -178,11 +178,11 @@ def stage_attempts(stages: DataFrame, min_rows: int = HEAVY_ROWS) -> DataFrame:
     )
     order = ["started_at", "attempt_number"]
 
-    def scan(rows: DataFrame, slice_col: str | None) -> DataFrame:
+    def scan(rows: DataFrame, slice_col: str) -> DataFrame:
         linked = previous_value(rows, "__chain", order, F.struct("status"), "__before", slice_col)
         return running_sum(linked, "__chain", order, "__one", "expected_attempt", slice_col)
 
-    scanned = by_weight(keyed, "__chain", time_slice("started_at"), scan, min_rows)
+    scanned = scan_in_order(keyed, Order("started_at"), scan, pieces)
     before = F.col("__before")["status"]
     return scanned.select(
         "run_id", "stage_name", "stage_attempt_id", "attempt_number",
@@ -223,7 +223,13 @@ def run_scorecard(t: AuditTables) -> DataFrame:
     card = t.pipeline_runs
     for part in (stages, quality, reconciliation, faults):
         card = card.join(part, "run_id", "left")
-    millis = F.unix_millis(F.col("ended_at").cast("timestamp")) - F.unix_millis(F.col("started_at").cast("timestamp"))
+    # The times have no zone, and neither has their distance: whole days and the time within them.
+    def millis_of(name: str) -> Column:
+        at, day = F.col(name), F.to_date(name)
+        clock = (F.hour(at) * 3600 + F.minute(at) * 60) * 1000 + F.floor(F.extract(F.lit("SECOND"), at) * 1000)
+        return F.unix_date(day).cast("bigint") * 86_400_000 + clock
+
+    millis = millis_of("ended_at") - millis_of("started_at")
     counters = [c for part in (stages, quality, reconciliation, faults) for c in part.columns if c != "run_id"]
     return card.select(
         "run_id", "pipeline_name", "environment", "batch_id", "status", "started_at", "ended_at",

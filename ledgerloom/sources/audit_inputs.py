@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..operators.scans import by_weight, time_slice, running_sum
+from ..operators.scans import Order, running_sum, scan_in_order
 from ..plans.audit import QUALITY_TEST, AuditTables, reconciliation_rows
 from .commerce import ENTITIES, days, seconds
 
@@ -30,10 +30,10 @@ def numbered_events(events: DataFrame) -> DataFrame:
     """Events with their attempt number within (user, type)."""
     keyed = events.withColumns({"__chain": F.concat_ws("|", "user_id", "event_type"), "__one": F.lit(1)})
 
-    def scan(rows: DataFrame, slice_col: str | None) -> DataFrame:
+    def scan(rows: DataFrame, slice_col: str) -> DataFrame:
         return running_sum(rows, "__chain", ["ts", "event_id"], "__one", "attempt", slice_col)
 
-    return by_weight(keyed, "__chain", time_slice("ts"), scan).drop("__chain", "__one")
+    return scan_in_order(keyed, Order("ts"), scan).drop("__chain", "__one")
 
 
 def event_audit(table: Callable[[str], DataFrame]) -> AuditTables:

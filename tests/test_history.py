@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators.history import (
     asof_lookup, interval_usage, match_counts, sessions, version_gaps, version_history,
 )
+from ledgerloom.operators.scans import SLICE, Order
 
 START = datetime(2025, 1, 1)
 
@@ -44,18 +45,40 @@ def brute_history(rows):
     return out
 
 
-@pytest.mark.parametrize("min_rows", [1, 60, 10_000])
-def test_version_history(spark, min_rows):
-    rows = observations(min_rows)
-    got = version_history(spark.createDataFrame(rows, SCHEMA), "k", "at", "id", ["zip", "city"], min_rows)
+@pytest.mark.parametrize("pieces", [1, 8, 64])
+def test_version_history(spark, pieces):
+    rows = observations(pieces)
+    got = version_history(spark.createDataFrame(rows, SCHEMA), "k", "at", "id", ["zip", "city"], pieces)
     found = {(r.k, r.version, r.zip, r.city, r.valid_from, r.valid_to, r.observations) for r in got.collect()}
     assert found == brute_history(rows)
 
 
-@pytest.mark.parametrize("min_rows", [1, 10_000])
-def test_sessions_cover_every_row(spark, min_rows):
+def test_hot_keys_in_one_hour_and_many_of_them(spark):
+    rng, rows = random.Random(2), []
+    for i in range(400):
+        key = "bulk" if i % 2 else f"k{rng.randrange(40)}"
+        at = START if i % 4 == 1 else START + timedelta(seconds=rng.randrange(90), microseconds=rng.randrange(3))
+        rows.append((key, at, f"{rng.randrange(10**6):06d}{i:04d}", rng.choice([1, 2, None]), rng.choice(["x", "y"])))
+    got = version_history(spark.createDataFrame(rows, SCHEMA), "k", "at", "id", ["zip", "city"], 64)
+    found = {(r.k, r.version, r.zip, r.city, r.valid_from, r.valid_to, r.observations) for r in got.collect()}
+    assert found == brute_history(rows)
+    cut = Order("at", "id").cut(spark.createDataFrame(rows, SCHEMA).filter("k = 'bulk'"), 64)
+    assert cut.groupBy(SLICE).count().agg(F.max("count")).first()[0] <= 12
+
+
+def test_no_job_before_the_plan_runs(spark):
+    df = spark.createDataFrame(observations(7), SCHEMA)
+    spark.sparkContext.setJobGroup("planning", "none expected")
+    version_history(df, "k", "at", "id", ["zip", "city"])
+    sessions(df, "k", "at", "id", ["zip", "city"])
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("pieces", [1, 16])
+def test_sessions_cover_every_row(spark, pieces):
     rows = observations(5)
-    got = sessions(spark.createDataFrame(rows, SCHEMA), "k", "at", "id", ["zip", "city"], min_rows)
+    got = sessions(spark.createDataFrame(rows, SCHEMA), "k", "at", "id", ["zip", "city"], pieces)
     per_version = got.groupBy("k", "version").agg(F.count("*").alias("n"), F.sum("starts_new_version").alias("s"))
     assert {(r.k, r.version, r.n) for r in per_version.collect()} == {(b[0], b[1], b[6]) for b in brute_history(rows)}
     assert per_version.filter("s <> 1").count() == 0
@@ -72,8 +95,8 @@ def intervals(seed: int):
     return rows
 
 
-@pytest.mark.parametrize("min_rows", [1, 10_000])
-def test_counts_in_malformed_intervals(spark, min_rows):
+@pytest.mark.parametrize("pieces", [1, 16])
+def test_counts_in_malformed_intervals(spark, pieces):
     facts, dims = observations(7, 120), intervals(8)
     f = spark.createDataFrame(facts, SCHEMA)
     d = spark.createDataFrame(dims, "k string, sk string, valid_from timestamp_ntz, valid_to timestamp_ntz")
@@ -81,20 +104,20 @@ def test_counts_in_malformed_intervals(spark, min_rows):
     def contains(fact, dim):
         return fact[0] is not None and fact[0] == dim[0] and dim[2] <= fact[1] and (dim[3] is None or fact[1] < dim[3])
 
-    got = {r.id: r.matches for r in match_counts(f.select("k", "at", "id"), d, "k", "at", min_rows).collect()}
+    got = {r.id: r.matches for r in match_counts(f.select("k", "at", "id"), d, "k", "at", pieces).collect()}
     assert got == {x[2]: sum(contains(x, y) for y in dims) for x in facts}
-    used = {r.sk: r.uses for r in interval_usage(f, d, "k", "at", "sk", min_rows).collect()}
+    used = {r.sk: r.uses for r in interval_usage(f, d, "k", "at", "sk", pieces).collect()}
     for y in dims:
         assert used.get(y[1], 0) == sum(contains(x, y) for x in facts)
 
 
-@pytest.mark.parametrize("min_rows", [1, 10_000])
-def test_asof_lookup(spark, min_rows):
+@pytest.mark.parametrize("pieces", [1, 16])
+def test_asof_lookup(spark, pieces):
     rows = observations(11)
     history = version_history(spark.createDataFrame(rows, SCHEMA), "k", "at", "id", ["zip", "city"])
     facts = observations(12)
     got = asof_lookup(
-        spark.createDataFrame(facts, SCHEMA).select("k", "at", "id"), history, "k", "at", ["version"], "version", min_rows
+        spark.createDataFrame(facts, SCHEMA).select("k", "at", "id"), history, "k", "at", ["version"], "version", pieces
     )
     brute = {
         (x[2], v[1]) for x in facts for v in brute_history(rows)
@@ -103,16 +126,16 @@ def test_asof_lookup(spark, min_rows):
     assert {(r.id, r.version) for r in got.collect()} == brute
 
 
-@pytest.mark.parametrize("min_rows", [1, 10_000])
-def test_version_gaps(spark, min_rows):
+@pytest.mark.parametrize("pieces", [1, 16])
+def test_version_gaps(spark, pieces):
     t = [START + timedelta(days=i) for i in range(4)]
     rows = [("a", 1, t[0], t[1]), ("a", 2, t[2], t[3]), ("a", 4, t[3], None), ("b", 1, t[0], None)]
     d = spark.createDataFrame(rows, "k string, v bigint, valid_from timestamp_ntz, valid_to timestamp_ntz")
-    got = {(r.k, r.v): (r.expected_version, r.breaks_adjacency) for r in version_gaps(d, "k", "v", min_rows).collect()}
+    got = {(r.k, r.v): (r.expected_version, r.breaks_adjacency) for r in version_gaps(d, "k", "v", pieces).collect()}
     assert got == {("a", 1): (1, False), ("a", 2): (2, True), ("a", 4): (3, False), ("b", 1): (1, False)}
 
 
-def test_plain_plan_has_one_shuffle(spark):
+def test_rows_are_shuffled_once_for_all_scans(spark):
     df = spark.createDataFrame(observations(3), SCHEMA)
-    plan = version_history(df, "k", "at", "id", ["zip", "city"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+    plan = sessions(df, "k", "at", "id", ["zip", "city"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") <= 8 and "Cartesian" not in plan
