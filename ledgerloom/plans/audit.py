@@ -191,14 +191,6 @@ def stage_attempts(stages: DataFrame, pieces: int = PIECES) -> DataFrame:
     )
 
 
-def next_attempts(stages: DataFrame) -> DataFrame:
-    """(run_id, stage_name, next_attempt, may_start) from the last attempt of each stage."""
-    last = F.max_by("status", "attempt_number")
-    return stages.groupBy("run_id", "stage_name").agg(
-        (F.max("attempt_number") + 1).cast("bigint").alias("next_attempt"), (last == "FAILED").alias("may_start")
-    )
-
-
 def run_scorecard(t: AuditTables) -> DataFrame:
     """One row per run with stage, quality, reconciliation and fault metrics."""
     status = F.col("status")

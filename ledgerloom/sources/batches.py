@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,30 +15,36 @@ MISMATCH = "REMOTE_CONTENT_MISMATCH"
 
 LEDGER_SCHEMA = "event_time timestamp_ntz, operation string, outcome string, dataset string, batch_id string, fingerprint string"
 LEDGER_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-REQUIRED = ("event_time", "operation", "outcome", "dataset", "batch_id")
+REQUIRED = ("event_time", "operation", "outcome", "dataset", "batch_id", "fingerprint")
+ENVIRONMENTS = ("dev", "ci", "prod")
 
 
 def batch_path(root: str, environment: str, source: str, entity: str) -> str:
     """`<root>/<environment>/raw/<source>/<entity>`."""
-    for part in (environment, source, entity):
+    if environment not in ENVIRONMENTS:
+        raise ValueError(f"{environment!r} is no environment; it is one of {ENVIRONMENTS}")
+    for part in (source, entity):
         if not re.fullmatch(r"[A-Za-z0-9_-]+", part):
             raise ValueError(f"Invalid path part: {part!r}")
     return f"{root}/{environment}/raw/{source}/{entity}"
 
 
 def require_date(text: str) -> str:
-    """An ISO calendar date, or an error."""
+    """A calendar date written as yyyy-mm-dd, or an error."""
     if not re.fullmatch(r"\d{4}-\d{2}-\d{2}", text):
-        raise ValueError(f"Invalid ingest date: {text!r}")
+        raise ValueError(f"{text!r} is no date written as yyyy-mm-dd")
+    date.fromisoformat(text)
     return text
 
 
-def write_partitioned(df: DataFrame, path: str) -> None:
-    """Write by ingest_date and batch_id.
+def write_partitioned(df: DataFrame, path: str, ingest_date: str | None = None) -> None:
+    """Write by ingest_date and batch_id; `ingest_date`, if given, is checked and put into every row.
 
     The rebalance hint joins small partitions and splits large ones, so one big batch is written
     by many tasks and a small one does not leave a file per task.
     """
+    if ingest_date is not None:
+        df = df.withColumn("ingest_date", F.lit(require_date(ingest_date)))
     spread = df.hint("rebalance", "ingest_date", "batch_id")
     spread.write.partitionBy("ingest_date", "batch_id").mode("append").parquet(path)
 

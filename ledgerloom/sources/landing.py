@@ -7,6 +7,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from .store import remove_folder, swap_folder
+
 # Tokens that mean "missing" in the source files.
 NA_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -92,20 +94,13 @@ def publish(spark: SparkSession, tables: Mapping[str, DataFrame], target: str) -
 
     Tables are written to a folder beside the target, which is swapped in only after the last one.
     """
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path
-    final = path(target)
-    staged = path(f"{target}.tmp-{uuid.uuid4().hex}")
-    fs = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    staged = f"{target}.tmp-{uuid.uuid4().hex}"
     try:
         for name, df in tables.items():
-            df.write.parquet(f"{staged.toString()}/{name}", compression="snappy")
-        if fs.exists(final):
-            fs.delete(final, True)
-        if not fs.rename(staged, final):
-            raise RuntimeError(f"Could not publish {target}")
+            df.write.parquet(f"{staged}/{name}", compression="snappy")
+        swap_folder(spark, staged, target)
     except Exception:
-        fs.delete(staged, True)
+        remove_folder(spark, staged)
         raise
 
 

@@ -34,3 +34,29 @@ def table_writer(spark: SparkSession, root: str | None = None) -> Callable[[str,
         return spark.read.schema(df.schema).parquet(path)
 
     return write
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def swap_folder(spark: SparkSession, fresh: str, target: str) -> None:
+    """Put the folder `fresh` in the place of `target`; the old one goes last, and comes back on an error."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    new, place, aside = path(fresh), path(target), path(f"{target}-old-{uuid.uuid4().hex}")
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    had = files.exists(place)
+    if had and not files.rename(place, aside):
+        raise OSError(f"{target} cannot be set aside; it is unchanged")
+    files.mkdirs(place.getParent())
+    moved = False
+    try:
+        moved = files.rename(new, place)
+    finally:
+        if not moved and had:
+            files.rename(aside, place)
+    if not moved:
+        raise OSError(f"{fresh} could not be put in place; the former folder is back")
+    if had:
+        files.delete(aside, True)

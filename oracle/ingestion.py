@@ -7,17 +7,33 @@ from .base import with_ctes
 ENTITIES = ["customers", "geolocation", "order_items", "payments", "reviews", "orders", "products", "sellers", "translation"]
 WIDTH = {"customers": 5, "geolocation": 5, "order_items": 7, "orders": 8, "payments": 5, "products": 9,
          "reviews": 7, "sellers": 4, "translation": 2}
-IDENTITY = {
-    "customers": "customer_id, customer_unique_id, customer_state",
-    "geolocation": "geolocation_city, geolocation_state",
-    "order_items": "order_id, product_id, seller_id",
-    "orders": "order_id, customer_id, order_status",
-    "payments": "order_id, payment_type",
-    "products": "product_id",
-    "reviews": "review_id, order_id, review_comment_title",
-    "sellers": "seller_id, seller_city, seller_state",
-    "translation": "product_category_name",
+# All columns of the entities, in alphabetical order; * marks amounts and measures, @ times.
+COLUMNS = {
+    "customers": ["customer_city", "customer_id", "customer_state", "customer_unique_id", "customer_zip_code_prefix"],
+    "geolocation": ["geolocation_city", "*geolocation_lat", "*geolocation_lng", "geolocation_state", "geolocation_zip_code_prefix"],
+    "order_items": ["*freight_value", "order_id", "order_item_id", "*price", "product_id", "seller_id", "@shipping_limit_date"],
+    "orders": ["customer_id", "@order_approved_at", "@order_delivered_carrier_date", "@order_delivered_customer_date",
+               "@order_estimated_delivery_date", "order_id", "@order_purchase_timestamp", "order_status"],
+    "payments": ["order_id", "payment_installments", "payment_sequential", "payment_type", "*payment_value"],
+    "products": ["product_category_name", "*product_description_lenght", "*product_height_cm", "product_id", "*product_length_cm",
+                 "*product_name_lenght", "*product_photos_qty", "*product_weight_g", "*product_width_cm"],
+    "reviews": ["order_id", "@review_answer_timestamp", "review_comment_message", "review_comment_title", "@review_creation_date",
+                "review_id", "review_score"],
+    "sellers": ["seller_city", "seller_id", "seller_state", "seller_zip_code_prefix"],
+    "translation": ["product_category_name", "product_category_name_english"],
 }
+
+
+def _as_text(column: str) -> str:
+    name = column.strip("*@")
+    text = f"CAST({name} AS VARCHAR)"
+    if column[0] == "*":
+        text = f"CAST(CAST({name} AS DECIMAL(38,4)) AS VARCHAR)"
+    elif column[0] == "@":
+        text = f"strftime({name}, '%Y-%m-%d %H:%M:%S.%f')"
+    return f"coalesce('=' || {text}, '-')"
+
+
 TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
           "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
@@ -51,8 +67,8 @@ VERIFY = f"""
 
 def ingestion_sql() -> dict[str, str]:
     entries = "\nUNION ALL ".join(
-        f"SELECT '{e}.csv' AS f, sha256(count(*) || ':' || CAST(sum(CAST('0x' || substr(md5(concat_ws('|', {c})), 1, 8) "
-        f"AS BIGINT)) AS VARCHAR)) AS s FROM raw_{e}" for e, c in IDENTITY.items())
+        f"SELECT '{e}.csv' AS f, sha256(count(*) || ':' || CAST(coalesce(sum(CAST('0x' || substr(md5(concat_ws('|', {', '.join(map(_as_text, c))})), 1, 15) "
+        f"AS BIGINT)), 0) AS VARCHAR)) AS s FROM raw_{e}" for e, c in COLUMNS.items())
     names = [f"{e}.csv" for e in ENTITIES]
     intact = [n for n in names if n != "geolocation.csv"]
     return {

@@ -17,27 +17,27 @@ def test_lifecycle_rules(spark, tmp_path):
     log = AuditLog(spark, str(tmp_path))
     run = log.start_run("p", "dev", "b")
     first = log.start_stage(run, "load")
-    with pytest.raises(AuditError, match="active stage"):
+    with pytest.raises(AuditError, match="at work"):
         log.finish_run(run, "SUCCESS")
-    with pytest.raises(AuditError, match="only after a failed"):
+    with pytest.raises(AuditError, match="the stage is RUNNING"):
         log.start_stage(run, "load")
-    with pytest.raises(AuditError, match="failure details"):
+    with pytest.raises(AuditError, match="only a failure"):
         log.finish_stage(run, first, "SUCCESS", "Boom")
     log.finish_stage(run, first, "FAILED", "Boom", "it broke")
     second = log.start_stage(run, "load")
     attempts = {r.stage_attempt_id: r.attempt_number for r in log.stages(run).collect()}
     assert attempts == {first: 1, second: 2}
-    with pytest.raises(AuditError, match="undetected"):
+    with pytest.raises(AuditError, match="missed"):
         log.record_fault(run, second, "loss", "load", "count", False, "load")
     log.record_fault(run, second, "loss", "load", "count", True, "load")
     log.record_fault(run, second, "dup", "load", "count", False)
     log.finish_stage(run, second, "SUCCESS")
     log.finish_run(run, "SUCCESS")
-    with pytest.raises(AuditError, match="not RUNNING"):
+    with pytest.raises(AuditError, match="the run is SUCCESS"):
         log.finish_run(run, "FAILED")
-    with pytest.raises(AuditError, match="must be RUNNING"):
+    with pytest.raises(AuditError, match="the run is SUCCESS"):
         log.start_stage(run, "other")
-    with pytest.raises(AuditError, match="active pipeline"):
+    with pytest.raises(AuditError, match="stage_id"):
         log.record_quality(run, None, "t", "PASS")
     assert audit.audit_invariants(log.tables()).filter("violations <> 0").count() == 0
     card = audit.run_scorecard(log.tables())
@@ -46,6 +46,24 @@ def test_lifecycle_rules(spark, tmp_path):
     assert audit.historical_scorecard(card).first().fault_detection_rate == 0.5
 
 
+def test_opening_a_log_writes_nothing(spark, tmp_path):
+    for _ in range(2):
+        log = AuditLog(spark, str(tmp_path / "log"))
+        assert log.runs().count() == 0 and log.tables("some run").quality.count() == 0
+    assert not (tmp_path / "log").exists()
+
+
+def test_a_run_reads_and_compacts_its_own_folder(spark, tmp_path):
+    log = AuditLog(spark, str(tmp_path))
+    runs = [log.start_run("p", "dev") for _ in range(2)]
+    stage = log.start_stage(runs[0], "s")
+    log.finish_stage(runs[0], stage, "FAILED", "E", "x" * 5000)
+    assert {f.split("of_run=")[1].split("/")[0] for f in log.read("run_events", runs[1]).inputFiles()} == {runs[1]}
+    log.compact("stage_events", runs[0])
+    assert len(log.read("stage_events").inputFiles()) == 1
+    assert log.stages(runs[0]).first().error_message == "x" * 5000
+
+
 def test_state_from_events(spark):
     events = spark.createDataFrame(
         [("a", 1, 1, "RUNNING"), ("a", 5, 2, "SUCCESS"), ("b", 2, 1, "RUNNING"), ("c", 3, 2, "FAILED"),
@@ -86,7 +104,7 @@ def test_failed_load_is_recorded(spark, loaded):
 def test_audit_failure_after_publish_stays_running_and_recovers(spark, loaded, monkeypatch):
     root, log, raw, _ = loaded
     monkeypatch.setattr(log, "finish_run", lambda *a: (_ for _ in ()).throw(OSError("audit store lost")))
-    with pytest.raises(governed.PostCommitAuditError):
+    with pytest.raises(governed.UnfinishedAudit):
         governed.governed_load(spark, raw, str(root / "raw2"), log, BATCH, WORKFLOW)
     monkeypatch.undo()
     run = log.runs().filter("status = 'RUNNING'").first().run_id
@@ -104,7 +122,7 @@ def test_audit_failure_after_publish_stays_running_and_recovers(spark, loaded, m
 def test_measure(spark):
     timing = benchmark.measure(lambda: spark.range(3), 2)
     assert timing["repetitions"] == 2 and timing["min_ms"] <= timing["median_ms"] <= timing["max_ms"]
-    with pytest.raises(RuntimeError, match="Nonrepeatable"):
+    with pytest.raises(benchmark.UnstableResult):
         benchmark.measure(lambda: spark.range(1).select(F.rand()), 2)
     with pytest.raises(ValueError):
         benchmark.measure(lambda: spark.range(1), 0)
