@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerloom.llm.arrays import Words, chain, cuts, pack, unpack
 from ledgerloom.llm.common import held, share, stored
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 ROUNDS = 50
 STEPS = 8
 _LIMIT = 60 * STEPS
@@ -46,14 +46,15 @@ class Tokens:
         words = Words([t.lower() for t in texts])
         sizes = np.diff(words.first) + 1
         self.first = np.concatenate([[0], np.cumsum(sizes)])
-        self.tokens = np.full(self.first[-1], _END, dtype=np.uint64)
-        inside = np.ones(len(self.tokens), dtype=bool)
+        tokens = np.full(self.first[-1], _END, dtype=np.uint64)
+        inside = np.ones(len(tokens), dtype=bool)
         inside[self.first[1:] - 1] = False
-        self.tokens[inside] = words.hashes[:words.first[-1]]
-        self.before = np.concatenate([[_START], self.tokens[:-1]])
-        self.before[self.first[:-1]] = _START
-        self.words, self.word = np.unique(self.tokens, return_inverse=True)
-        self.pairs, self.pair = np.unique(chain(self.before, self.tokens), return_inverse=True)
+        tokens[inside] = words.hashes[:words.first[-1]]
+        del words, inside
+        before = np.concatenate([[_START], tokens[:-1]])
+        before[self.first[:-1]] = _START
+        self.words, self.word = np.unique(tokens, return_inverse=True)
+        self.pairs, self.pair = np.unique(chain(before, tokens), return_inverse=True)
         # The context's number among the words, or one beyond for a start.
         self.context = np.concatenate([[len(self.words)], self.word[:-1]])
         self.context[self.first[:-1]] = len(self.words)
@@ -198,8 +199,11 @@ def _scored(totals: dict[str, int], mixture: object) -> Callable[[Iterator[pa.Re
             return
         t, n, v = Tokens(texts), totals["n"], totals["v"]
         word, pair, context = _looked_up(t, answers, False, totals["ends"])
-        bucket, parts = estimates(word, pair, context, n, v)
-        score = np.log10((parts * held(mixture)[bucket]).sum(axis=1))
+        score = np.empty(len(word))
+        for low in range(0, len(word), 1 << 18):
+            cut = slice(low, low + (1 << 18))
+            bucket, parts = estimates(word[cut], pair[cut], context[cut], n, v)
+            score[cut] = np.log10((parts * held(mixture)[bucket]).sum(axis=1))
         base = np.log10((word + 0.1) / (n + 0.1 * (v + 1)))
         at = t.first[:-1]
         columns = [np.diff(t.first), np.add.reduceat((word > 0).astype(np.int64), at), np.full(len(texts), n), np.add.reduceat(base, at), np.add.reduceat(score, at)]
