@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,7 +119,7 @@ def test_public_validation(spark, golden):
     short = {**data, "revenue_periods": data["revenue_periods"].filter("reporting_period <> '2025-03'")}
     bad = {r.rule for r in public.validation(spark, short, RULES).filter("violations <> 0").collect()}
     assert {"period_set", "order_parity", "money_parity"} <= bad
-    with pytest.raises(ValueError, match="unexpected or missing column"):
+    with pytest.raises(ValueError, match="the columns of customer_states"):
         public.validation(spark, {**data, "customer_states": data["customer_states"].drop("gross")}, RULES)
 
 
@@ -134,19 +136,50 @@ def test_folding(small, spark):
 
 def test_export_and_strict_load(spark, golden, tmp_path):
     data = _public(golden)
-    rows = public.csv_roundtrip(spark, data, str(tmp_path)).collect()
+    rows = public.csv_roundtrip(spark, data, str(tmp_path), RULES).collect()
     assert all(r.value == 0 for r in rows if r.metric == "differing_rows")
     folder = str(tmp_path / "export")
-    public.export_csv(data, folder)
-    with pytest.raises(Exception, match="already exists"):
-        public.export_csv(data, folder)
-    assert public.strict_load(spark, folder)["repeat_customers"].schema["is_repeat_customer"].dataType.simpleString() == "boolean"
+    public.export_csv(data, folder, RULES)
+    with pytest.raises(public.PublicationError, match="already exists"):
+        public.export_csv(data, folder, RULES)
+    assert public.strict_load(spark, folder, RULES)["repeat_customers"].schema["is_repeat_customer"].dataType.simpleString() == "boolean"
     cases = {"SP,x,1.00,1.00,2.00": "invalid_integer", "SP,1,1.005,1.00,2.00": "invalid_money",
              "SP,1,,1.00,2.00": "empty_field", f"{'S' * 5000},1,1.00,1.00,2.00": "oversized_field"}
     for i, (line, rule) in enumerate(cases.items()):
         bad = tmp_path / f"bad{i}"
-        public.export_csv({k: v for k, v in data.items() if k != "customer_states"}, str(bad))
-        (bad / "customer_states.csv").mkdir()
-        (bad / "customer_states.csv" / "part-0.csv").write_text("customer_state,delivered_orders,merchandise,freight,gross\n" + line + "\n")
+        _copy_with(tmp_path / "export", bad, "customer_states", line)
         with pytest.raises(public.PublicationError, match=rule):
-            public.strict_load(spark, str(bad))
+            public.strict_load(spark, str(bad), RULES)
+
+
+def _copy_with(folder, to, name, *lines):
+    """A copy of an export with other lines below the header of one dataset."""
+    shutil.copytree(folder, to, ignore=shutil.ignore_patterns("*.crc", "_SUCCESS"))
+    (file,) = (to / f"{name}.csv").glob("part-*")
+    file.write_text("\n".join([file.read_text().splitlines()[0], *lines, ""]))
+
+
+def test_publication_is_gated(spark, golden, tmp_path):
+    data = _public(golden)
+    wrong = {**data, "customer_states": data["customer_states"].withColumn("gross", F.col("gross") + F.lit(1).cast("decimal(38,2)"))}
+    with pytest.raises(public.PublicationError, match="money_balance"):
+        public.export_csv(wrong, str(tmp_path / "wrong"), RULES)
+    assert list(tmp_path.iterdir()) == []
+    (tmp_path / "taken").mkdir()
+    with pytest.raises(public.PublicationError, match="already exists"):
+        public.export_csv(data, str(tmp_path / "taken"), RULES)
+    good = tmp_path / "good"
+    public.export_csv(data, str(good), RULES)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["good", "taken"]
+    shutil.copytree(good, tmp_path / "more")
+    shutil.copytree(good / "customer_states.csv", tmp_path / "more" / "extra.csv")
+    with pytest.raises(public.PublicationError, match="inventory"):
+        public.strict_load(spark, str(tmp_path / "more"), RULES)
+    (file,) = (good / "repeat_customers.csv").glob("part-*")
+    _copy_with(good, tmp_path / "yes", "repeat_customers", *[x.replace("True", "yes") for x in file.read_text().splitlines()[1:]])
+    with pytest.raises(public.PublicationError, match="invalid_boolean"):
+        public.strict_load(spark, str(tmp_path / "yes"), RULES)
+    (file,) = (good / "customer_states.csv").glob("part-*")
+    _copy_with(good, tmp_path / "less", "customer_states", *file.read_text().splitlines()[1:-1])
+    with pytest.raises(public.PublicationError, match="order_parity"):
+        public.strict_load(spark, str(tmp_path / "less"), RULES)
