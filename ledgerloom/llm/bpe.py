@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerloom.llm.arrays import steps
 from ledgerloom.llm.common import held, share
 
-#: Strings between spaces, and words, whose ids a worker keeps at hand: the younger half and the older half.
-KNOWN = 400_000
+#: Strings between spaces whose ids a worker keeps at hand: the younger half and the older half. Of words, a quarter as many.
+KNOWN = 160_000
 #: Fixed values of the tokenizer: what counts as one word, and its word end mark.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
 END = "</w>"
@@ -107,14 +107,14 @@ class Tables:
 
 
 class _Memory(dict):
-    """Answers of `make`: at most KNOWN in two generations, the older one dropped as the younger one fills."""
+    """Answers of `make`: at most `size` in two generations, the older one dropped as the younger one fills."""
 
-    def __init__(self, make: Callable[[str], bytes]) -> None:
+    def __init__(self, make: Callable[[str], bytes], size: int) -> None:
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.size, self.old = make, size, {}
 
     def __missing__(self, key: str) -> bytes:
-        if len(self) >= KNOWN // 2:
+        if len(self) >= self.size // 2:
             self.old = dict(self)
             self.clear()
         got = self.old.get(key)
@@ -135,7 +135,7 @@ class Encoder:
             self.machine.add_word(tables.strings[i], i)
         self.machine.make_automaton()
         self.compatible: dict[int, bool] = {}
-        self.words, self.runs = _Memory(self._word), _Memory(self._run)
+        self.words, self.runs = _Memory(self._word, KNOWN // 4), _Memory(self._run, KNOWN)
         self.find = regex.compile(WORD).findall
         self.marks = regex.compile("|".join(regex.escape(s) for s in sorted(tables.special, key=len, reverse=True))) if tables.special else None
         # Spaces to Python but not to the tokenizer.
@@ -143,7 +143,7 @@ class Encoder:
 
     def beside(self, left: int, right: int) -> bool:
         """Whether merging leaves the two tokens next to each other."""
-        if len(self.compatible) >= 2 * KNOWN:
+        if len(self.compatible) >= KNOWN:
             self.compatible.clear()
         found = self.compatible[left << 32 | right] = self._undo(left, right)
         return found

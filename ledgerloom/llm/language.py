@@ -37,7 +37,8 @@ UNKNOWN = "und"
 #: Below this score the two nearest codewords are about as near.
 AMBIGUOUS = 0.6
 _SMOOTH = 0.5
-_STEP = 2 << 20
+_STEP = 512 << 10
+_SLICE = 1 << 19
 
 
 def _letter_table() -> np.ndarray:
@@ -73,11 +74,11 @@ class Grams:
             inside = owner[:size] == owner[n - 1:]
             if n == 1:
                 inside &= code != 32
-            parts.append((h[inside] >> np.uint64(20)).astype(np.int64) % CLASSES + (n - 1) * CLASSES)
-            owners.append(owner[:size][inside])
-        whose = np.concatenate(owners) if owners else np.empty(0, dtype=np.int64)
+            parts.append(((h[inside] >> np.uint64(20)) % np.uint64(CLASSES)).astype(np.int32) + np.int32((n - 1) * CLASSES))
+            owners.append(owner[:size][inside].astype(np.int32))
+        whose = np.concatenate(owners) if owners else np.empty(0, dtype=np.int32)
         order = np.argsort(whose, kind="stable")
-        self.classes = np.concatenate(parts)[order] if parts else np.empty(0, dtype=np.int64)
+        self.classes = np.concatenate(parts)[order] if parts else np.empty(0, dtype=np.int32)
         self.first = np.searchsorted(whose[order], np.arange(len(texts) + 1))
 
 
@@ -111,11 +112,13 @@ class Model:
 
     def margins(self, grams: Grams) -> np.ndarray:
         """Summed log odds of each text, per position; every length of n-grams counts as one view of the text."""
-        sums = np.zeros((len(grams.first), self.code.shape[1]), dtype=np.float64)
-        if len(grams.classes) and self.code.shape[1]:
-            filled = np.flatnonzero(np.diff(grams.first))
-            sums[filled] = np.add.reduceat(self.odds[grams.classes], grams.first[filled], axis=0)
-        return sums[:-1] / ORDERS
+        sums = np.zeros((len(grams.first) - 1, self.code.shape[1]))
+        for low in range(0, len(grams.classes) if self.code.shape[1] else 0, _SLICE):
+            part = self.odds[grams.classes[low:low + _SLICE]]
+            starts = grams.first[(grams.first > low) & (grams.first < low + len(part))]
+            starts = np.unique(np.concatenate([[low], starts]))
+            sums[np.searchsorted(grams.first, starts, "right") - 1] += np.add.reduceat(part, starts - low, axis=0)
+        return sums / ORDERS
 
     def nearest(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Number of the nearest codeword of each text, and its share of exp(-distance)."""
