@@ -80,8 +80,8 @@ RULES = public.PublicRules(
     expected_statuses={"exact_match": 4919},
     expected_customers={True: 1248, False: 174},
 )
-#: For publications of any size: nothing is compared with values known beforehand.
-OPEN_RULES = public.PublicRules(RULES.launch_label, RULES.launch_start, RULES.launch_end, RULES.last_month)
+#: For data of any size: nothing is compared with values known beforehand, and these data have groups below ten.
+OPEN_RULES = public.PublicRules(RULES.launch_label, RULES.launch_start, RULES.launch_end, minimum_group=1)
 STATES = ("NATION_1", "NATION_2", "NATION_3", "NATION_5", "NATION_8")
 
 

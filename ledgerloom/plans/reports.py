@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -29,13 +30,25 @@ def filtered_orders(
     kept = orders.filter("is_delivered").withColumn("purchase_month", month_of("order_purchased_at"))
     state = F.col("customer_state")
     kept = kept.filter(state.isNotNull() if states is None else state.isin(list(states)))
+    # A half-open range on the stored column reaches the scan; a condition on the month would not.
+    at = F.col("order_purchased_at")
     if first_month:
-        kept = kept.filter(F.col("purchase_month") >= F.lit(first_month).cast("date"))
+        kept = kept.filter(at >= F.lit(_month_from(first_month)).cast("timestamp_ntz"))
     if last_month:
-        kept = kept.filter(F.col("purchase_month") <= F.lit(last_month).cast("date"))
+        kept = kept.filter(at < F.lit(_next_month(date.fromisoformat(last_month))).cast("timestamp_ntz"))
     return kept
 
 
+def _next_month(day: date) -> date:
+    return date(day.year + day.month // 12, day.month % 12 + 1, 1)
+
+
+def _month_from(text: str) -> date:
+    """The first month that begins on or after a day."""
+    day = date.fromisoformat(text)
+    return day if day.day == 1 else _next_month(day)
+
+
 def filtered_kpis(orders: DataFrame) -> DataFrame:
     sums = orders.agg(
         F.count("*").alias("delivered_orders"),
