@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerloom.llm.arrays import steps
 from ledgerloom.llm.common import held, share
 
+#: Text of one step: decoding it takes some fifty times as much memory.
+STEP = 512 << 10
 #: Strings between spaces whose ids a worker keeps at hand: the younger half and the older half. Of words, a quarter as many.
 KNOWN = 160_000
 #: Fixed values of the tokenizer: what counts as one word, and its word end mark.
@@ -253,7 +255,7 @@ def tokenize(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = held(shared)
         encoder = tables.encoder()
-        for part, texts in steps(batches, text):
+        for part, texts in steps(batches, text, STEP):
             packed = [encoder.ids(t.decode()) for t in texts]
             columns = [[len(p) // 4 for p in packed], packed, _decoded(packed, tables.offsets, tables.blob)]
             yield pa.RecordBatch.from_arrays(

@@ -49,7 +49,7 @@ def held(shared: Broadcast) -> object:
     """The shared object, unpacked once in each Python worker and kept for its next tasks."""
     box = shared.value
     if "thing" not in box:
-        box["thing"] = cloudpickle.loads(box["code"])
+        box["thing"] = cloudpickle.loads(box.pop("code"))
     return box["thing"]
 
 
