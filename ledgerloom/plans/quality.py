@@ -35,123 +35,147 @@ BOTH = (True, False)
 # Per table, columns under each generic test.
 GENERIC_TESTS: dict[str, dict[str, object]] = {
     "stg_customers": {
-        "not_null": "customer_id customer_unique_id _batch_id _loaded_at",
+        "not_null": ("customer_id", "customer_unique_id", "_batch_id", "_loaded_at"),
         "unique": ["customer_id"],
     },
     "stg_geolocation": {
-        "not_null": "geolocation_zip_code_prefix geolocation_latitude geolocation_longitude _batch_id _loaded_at",
+        "not_null": ("geolocation_zip_code_prefix", "geolocation_latitude", "geolocation_longitude", "_batch_id", "_loaded_at"),
     },
     "stg_order_items": {
-        "not_null": "order_id order_item_id product_id seller_id shipping_limit_at _batch_id _loaded_at",
+        "not_null": ("order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_at", "_batch_id", "_loaded_at"),
         "unique": ["order_id || '-' || cast(order_item_id as string)"],
         "relationships": {
             "order_id": "stg_orders", "product_id": "stg_products", "seller_id": "stg_sellers",
         },
-        "nonnegative": "price freight_value",
+        "nonnegative": ("price", "freight_value"),
     },
     "stg_orders": {
-        "not_null": "order_id customer_id order_status order_purchased_at estimated_delivery_at _batch_id _loaded_at",
+        "not_null": ("order_id", "customer_id", "order_status", "order_purchased_at", "estimated_delivery_at", "_batch_id", "_loaded_at"),
         "unique": ["order_id"],
         "relationships": {"customer_id": "stg_customers"},
         "accepted_values": {"order_status": ORDER_STATUSES},
     },
     "stg_payments": {
-        "not_null": "order_id payment_sequence payment_type payment_installments payment_value _batch_id _loaded_at",
+        "not_null": ("order_id", "payment_sequence", "payment_type", "payment_installments", "payment_value", "_batch_id", "_loaded_at"),
         "unique": ["order_id || '-' || cast(payment_sequence as string)"],
         "relationships": {"order_id": "stg_orders"},
-        "nonnegative": "payment_value",
+        "nonnegative": ("payment_value",),
     },
-    "stg_products": {"not_null": "product_id _batch_id _loaded_at", "unique": ["product_id"]},
+    "stg_products": {"not_null": ("product_id", "_batch_id", "_loaded_at"), "unique": ["product_id"]},
     "stg_reviews": {
-        "not_null": "review_id order_id review_score review_created_at review_answered_at _batch_id _loaded_at",
+        "not_null": ("review_id", "order_id", "review_score", "review_created_at", "review_answered_at", "_batch_id", "_loaded_at"),
         "unique": ["review_id || '-' || order_id"],
         "relationships": {"order_id": "stg_orders"},
         "accepted_values": {"review_score": (1, 2, 3, 4, 5)},
     },
-    "stg_sellers": {"not_null": "seller_id _batch_id _loaded_at", "unique": ["seller_id"]},
+    "stg_sellers": {"not_null": ("seller_id", "_batch_id", "_loaded_at"), "unique": ["seller_id"]},
     "stg_translation": {
-        "not_null": "product_category_name product_category_name_english _batch_id _loaded_at",
+        "not_null": ("product_category_name", "product_category_name_english", "_batch_id", "_loaded_at"),
         "unique": ["product_category_name"],
     },
     "items_by_order": {
-        "not_null": "order_id item_count distinct_product_count distinct_seller_count item_revenue freight_revenue item_plus_freight",
+        "not_null": (
+            "order_id", "item_count", "distinct_product_count", "distinct_seller_count", "item_revenue", "freight_revenue",
+            "item_plus_freight",
+        ),
         "unique": ["order_id"],
         "relationships": {"order_id": "stg_orders"},
-        "nonnegative": "item_revenue freight_revenue item_plus_freight",
+        "nonnegative": ("item_revenue", "freight_revenue", "item_plus_freight"),
     },
     "payments_by_order": {
-        "not_null": "order_id payment_record_count payment_type_count payment_value",
+        "not_null": ("order_id", "payment_record_count", "payment_type_count", "payment_value"),
         "unique": ["order_id"],
         "relationships": {"order_id": "stg_orders"},
-        "nonnegative": "payment_value",
+        "nonnegative": ("payment_value",),
     },
     "reviews_by_order": {
-        "not_null": "order_id review_record_count distinct_review_count minimum_review_score maximum_review_score average_review_score",
+        "not_null": (
+            "order_id", "review_record_count", "distinct_review_count", "minimum_review_score", "maximum_review_score",
+            "average_review_score",
+        ),
         "unique": ["order_id"],
         "relationships": {"order_id": "stg_orders"},
     },
     "orders_enriched": {
-        "not_null": "order_id customer_id customer_unique_id order_status order_purchased_at",
+        "not_null": ("order_id", "customer_id", "customer_unique_id", "order_status", "order_purchased_at"),
         "unique": ["order_id"],
         "relationships": {"customer_id": "stg_customers"},
     },
     "order_reconciliation": {
-        "not_null": "order_id customer_id customer_unique_id order_status reconciliation_status",
+        "not_null": ("order_id", "customer_id", "customer_unique_id", "order_status", "reconciliation_status"),
         "unique": ["order_id"],
         "relationships": {"order_id": "orders_enriched"},
         "accepted_values": {"reconciliation_status": RECONCILIATION_STATUSES},
     },
     "fct_orders": {
-        "not_null": "order_id customer_id customer_unique_id customer_sk order_status order_purchased_at reconciliation_status is_delivered is_delivery_timestamp_exception",
+        "not_null": (
+            "order_id", "customer_id", "customer_unique_id", "customer_sk", "order_status", "order_purchased_at",
+            "reconciliation_status", "is_delivered", "is_delivery_timestamp_exception",
+        ),
         "unique": ["order_id"],
         "relationships": {"customer_sk": "dim_customer"},
         "accepted_values": {
             "reconciliation_status": RECONCILIATION_STATUSES,
             "is_delivered": BOTH, "is_delivery_timestamp_exception": BOTH,
         },
-        "nonnegative": "merchandise_value freight_value gross_order_value payment_value",
+        "nonnegative": ("merchandise_value", "freight_value", "gross_order_value", "payment_value"),
     },
     "dim_customer": {
-        "not_null": "customer_sk customer_unique_id customer_version valid_from is_current orders_in_version",
+        "not_null": ("customer_sk", "customer_unique_id", "customer_version", "valid_from", "is_current", "orders_in_version"),
         "unique": ["customer_sk"],
         "accepted_values": {"is_current": BOTH},
     },
     "fct_order_items": {
-        "not_null": "order_id order_item_id product_id seller_id order_purchased_at order_status is_delivered",
+        "not_null": ("order_id", "order_item_id", "product_id", "seller_id", "order_purchased_at", "order_status", "is_delivered"),
         "relationships": {"order_id": "fct_orders", "product_id": "dim_product", "seller_id": "dim_seller"},
         "accepted_values": {"is_delivered": BOTH},
-        "nonnegative": "merchandise_value freight_value item_gross_value",
+        "nonnegative": ("merchandise_value", "freight_value", "item_gross_value"),
     },
     "dim_product": {
-        "not_null": "product_id category_translation_status",
+        "not_null": ("product_id", "category_translation_status"),
         "unique": ["product_id"],
         "relationships": {"product_id": "stg_products"},
         "accepted_values": {"category_translation_status": TRANSLATION_STATUSES},
     },
     "dim_seller": {
-        "not_null": "seller_id seller_city seller_state",
+        "not_null": ("seller_id", "seller_city", "seller_state"),
         "unique": ["seller_id"],
         "relationships": {"seller_id": "stg_sellers"},
     },
     "customer_revenue": {
-        "not_null": "customer_unique_id customer_city customer_state customer_zip_code_prefix delivered_orders is_repeat_customer first_delivered_purchase_at last_delivered_purchase_at purchase_span_days gross_merchandise_revenue freight_value gross_order_value",
+        "not_null": (
+            "customer_unique_id", "customer_city", "customer_state", "customer_zip_code_prefix", "delivered_orders",
+            "is_repeat_customer", "first_delivered_purchase_at", "last_delivered_purchase_at", "purchase_span_days",
+            "gross_merchandise_revenue", "freight_value", "gross_order_value",
+        ),
         "unique": ["customer_unique_id"],
-        "nonnegative": "delivered_orders purchase_span_days",
+        "nonnegative": ("delivered_orders", "purchase_span_days"),
     },
     "category_revenue": {
-        "not_null": "category_translation_status delivered_item_rows distinct_delivered_orders gross_merchandise_revenue freight_value gross_order_value",
+        "not_null": (
+            "category_translation_status", "delivered_item_rows", "distinct_delivered_orders", "gross_merchandise_revenue",
+            "freight_value", "gross_order_value",
+        ),
         "accepted_values": {"category_translation_status": MART_TRANSLATION_STATUSES},
-        "nonnegative": "delivered_item_rows distinct_delivered_orders gross_merchandise_revenue freight_value gross_order_value",
+        "nonnegative": (
+            "delivered_item_rows", "distinct_delivered_orders", "gross_merchandise_revenue", "freight_value", "gross_order_value",
+        ),
     },
     "monthly_revenue": {
-        "not_null": "purchase_month delivered_orders gross_merchandise_revenue freight_value gross_order_value average_gross_order_value",
+        "not_null": (
+            "purchase_month", "delivered_orders", "gross_merchandise_revenue", "freight_value", "gross_order_value",
+            "average_gross_order_value",
+        ),
         "unique": ["purchase_month"],
-        "nonnegative": "delivered_orders gross_merchandise_revenue freight_value gross_order_value average_gross_order_value",
+        "nonnegative": ("delivered_orders", "gross_merchandise_revenue", "freight_value", "gross_order_value", "average_gross_order_value"),
     },
     "seller_revenue": {
-        "not_null": "seller_id seller_city seller_state seller_zip_code_prefix delivered_item_rows distinct_delivered_orders gross_merchandise_revenue freight_value gross_order_value",
+        "not_null": (
+            "seller_id", "seller_city", "seller_state", "seller_zip_code_prefix", "delivered_item_rows",
+            "distinct_delivered_orders", "gross_merchandise_revenue", "freight_value", "gross_order_value",
+        ),
         "unique": ["seller_id"],
-        "nonnegative": "delivered_item_rows distinct_delivered_orders",
+        "nonnegative": ("delivered_item_rows", "distinct_delivered_orders"),
     },
 }
 SCAN_TESTS = ("not_null", "accepted_values", "nonnegative")
@@ -177,12 +201,12 @@ def _scan_checks(spec: Mapping[str, object], tests: Sequence[str]) -> list[tuple
     """(column, test, failing-row condition) for the tests that need no other row."""
     found: list[tuple[str, str, str]] = []
     if "not_null" in tests:
-        found += [(c, "not_null", f"{c} is null") for c in str(spec.get("not_null", "")).split()]
+        found += [(c, "not_null", f"{c} is null") for c in spec.get("not_null", ())]
     if "accepted_values" in tests:
         for c, values in spec.get("accepted_values", {}).items():
             found.append((c, "accepted_values", f"{c} not in ({', '.join(map(_sql, values))})"))
     if "nonnegative" in tests:
-        found += [(c, "nonnegative", f"{c} < 0") for c in str(spec.get("nonnegative", "")).split()]
+        found += [(c, "nonnegative", f"{c} < 0") for c in spec.get("nonnegative", ())]
     return found
 
 

@@ -183,3 +183,10 @@ def test_publication_is_gated(spark, golden, tmp_path):
     _copy_with(good, tmp_path / "less", "customer_states", *file.read_text().splitlines()[1:-1])
     with pytest.raises(public.PublicationError, match="order_parity"):
         public.strict_load(spark, str(tmp_path / "less"), RULES)
+
+
+def test_number_of_generic_assertions():
+    """The oracle takes the list from the engine, so a lost assertion would change both sides."""
+    count = {kind: sum(len(spec.get(kind, ())) for spec in quality.GENERIC_TESTS.values()) for kind in (
+        "not_null", "unique", "relationships", "accepted_values", "nonnegative")}
+    assert count == {"not_null": 134, "unique": 20, "relationships": 17, "accepted_values": 10, "nonnegative": 28}
