@@ -18,8 +18,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Send rows to Python at most 4 MB at a time: texts are long, and each batch is held several times over."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write as Parquet into the cluster's shared folder and read back: the lineage ends here."""
+    small_batches(df.sparkSession)
     path = f"{shared_root(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -42,15 +48,13 @@ def fresh(df: DataFrame, name: str) -> str:
 
 def share(spark: SparkSession, thing: object) -> Broadcast:
     """Broadcast an object of this folder; its size must be bounded. Tasks get it with `held`."""
+    small_batches(spark)
     return spark.sparkContext.broadcast({"code": cloudpickle.dumps(thing)})
 
 
 def held(shared: Broadcast) -> object:
-    """The shared object, unpacked once in each Python worker and kept for its next tasks."""
-    box = shared.value
-    if "thing" not in box:
-        box["thing"] = cloudpickle.loads(box.pop("code"))
-    return box["thing"]
+    """The shared object, unpacked for one task: nothing of it stays in the worker when that ends."""
+    return cloudpickle.loads(shared.value["code"])
 
 
 def text_key(text: Column | str) -> Column:
