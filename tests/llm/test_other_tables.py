@@ -141,3 +141,17 @@ def test_style_tree_removes_what_a_host_repeats(spark):
     # Copies of one page have nothing of their own: all of it stays.
     assert all(found[30 + k] == [whole.format("copy")] for k in range(5))
     assert webtext.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+@pytest.mark.parametrize("pages", [30, 300, 3000])
+def test_share_of_pages_decides_at_every_size(spark, pages):
+    def page(k):
+        some, most = "<p>some</p>" * (k % 10 == 0), "<p>most</p>" * (k % 20 != 0)
+        return f"<body><p>own {k}</p>{some}{most}<p>all</p></body>"
+
+    marks = {"article": "<article>{}</article>", "main": "<main>{}</main>", "role": "<div role=main>{}</div>", "none": "{}"}
+    rows = [(k, f"http://{name}.example/{k}", mark.format(page(k))) for name, mark in marks.items() for k in range(pages)]
+    texts = {(r.url.split(".")[0][7:], r.page_id): r.text for r in webtext.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    for (name, k), text in texts.items():
+        some, most = ["some"] * (k % 10 == 0), ["most"] * (k % 20 != 0)
+        assert text.split() == ["own", str(k), *some, *((*most, "all") if name != "none" else ())]
