@@ -4,7 +4,12 @@ Every language has a codeword of +1 and -1. One binary classifier per position t
 whether a text belongs to the languages with +1 there: it sums log odds, smoothed n-gram frequencies
 of the one group of languages against the other. The nearest codeword wins, by logistic loss of each
 position, weighted by how well that classifier did on texts of that language that it has not seen
-(loss-weighted decoding). A text whose two nearest codewords are about as near is flagged.
+(loss-weighted decoding).
+
+The score is decoded from log odds per n-gram, so it means the same for a short and a long text. Their
+scale is set for each language on the texts kept for the weights: a text of which a quarter is in the
+language that is taken for it most easily scores AMBIGUOUS. A text below is flagged: about as much of
+two languages, or of none. Of a few words, clean texts vary much and some of them are flagged too.
 
 n-grams of one to three letters are taken from the whole lower-cased text, with every run of other
 characters as one space, and hashed into 2**15 classes for each length.
@@ -36,9 +41,13 @@ CLASSES = 1 << 15
 UNKNOWN = "und"
 #: Below this score the two nearest codewords are about as near.
 AMBIGUOUS = 0.6
+#: Part of another language in a text that scores AMBIGUOUS.
+FOREIGN = 0.25
 _SMOOTH = 0.5
 _STEP = 512 << 10
 _SLICE = 1 << 19
+#: Log odds are summed over texts as whole numbers of this part, so that their order does not matter.
+_UNIT = float(1 << 32)
 
 
 def _letter_table() -> np.ndarray:
@@ -109,6 +118,8 @@ class Model:
     odds: np.ndarray
     #: For each language and position, how far the classifier can be trusted; rows have mean one.
     trust: np.ndarray
+    #: For each language, what log odds per n-gram are multiplied with for the score.
+    scale: np.ndarray
 
     def margins(self, grams: Grams) -> np.ndarray:
         """Summed log odds of each text, per position; every length of n-grams counts as one view of the text."""
@@ -120,11 +131,37 @@ class Model:
             sums[np.searchsorted(grams.first, starts, "right") - 1] += np.add.reduceat(part, starts - low, axis=0)
         return sums / ORDERS
 
-    def nearest(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Number of the nearest codeword of each text, and its share of exp(-distance)."""
-        loss = np.stack([(np.logaddexp(0, -margins * word) * trust).sum(axis=1) for word, trust in zip(self.code, self.trust, strict=True)], axis=1)
-        best = loss.argmin(axis=1)
-        return best, 1 / np.exp(loss.min(axis=1, keepdims=True) - loss).sum(axis=1)
+    def per_gram(self, margins: np.ndarray, grams: Grams) -> np.ndarray:
+        return margins / np.maximum(np.diff(grams.first), 1)[:, None]
+
+    def loss(self, margins: np.ndarray) -> np.ndarray:
+        """Distance of each text to each codeword."""
+        return np.stack([(np.logaddexp(0, -margins * word) * trust).sum(axis=1) for word, trust in zip(self.code, self.trust, strict=True)], axis=1)
+
+    def score(self, margins: np.ndarray, language: np.ndarray) -> np.ndarray:
+        """The share of exp(-distance) that each text's language has; margins: per n-gram."""
+        loss = self.loss(margins * self.scale[language][:, None])
+        return 1 / np.exp(np.take_along_axis(loss, language[:, None], axis=1) - loss).sum(axis=1)
+
+    def nearest(self, grams: Grams) -> tuple[np.ndarray, np.ndarray]:
+        """Number of the nearest codeword of each text, and its score."""
+        margins = self.margins(grams)
+        best = self.loss(margins).argmin(axis=1)
+        return best, self.score(self.per_gram(margins, grams), best)
+
+    def calibrate(self, usual: np.ndarray) -> None:
+        """Set the scales; usual: log odds per n-gram of a clean text of each language, per position."""
+        own = np.arange(len(self.languages))
+        loss = self.loss(usual)
+        loss[own, own] = np.inf
+        blend = (1 - FOREIGN) * usual + FOREIGN * usual[loss.argmin(axis=1)]
+        low, high = np.full(len(own), -20.0), np.full(len(own), 20.0)
+        for _ in range(50):
+            middle = (low + high) / 2
+            self.scale = np.exp2(middle)
+            enough = self.score(blend, own) >= AMBIGUOUS
+            low, high = np.where(enough, low, middle), np.where(enough, middle, high)
+        self.scale = np.exp2(high)
 
 
 def _counted(labelled: DataFrame) -> DataFrame:
@@ -145,23 +182,25 @@ def _counted(labelled: DataFrame) -> DataFrame:
 
 
 def _right(labelled: DataFrame, model: Model) -> DataFrame:
-    """How many texts of each language each classifier gets right: (language, position, right, texts)."""
+    """How many texts of each language each classifier gets right, and the sum of their log odds per n-gram in _UNIT: (language, position, right, odds, texts)."""
     shared = share(labelled.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model_ = held(shared)
         for part, texts in steps(batches, "text", _STEP):
-            language, right = np.asarray(part.column("language")), None
-            right = np.sign(model_.margins(Grams(texts))) == model_.code[language]
+            language, grams = np.asarray(part.column("language")), Grams(texts)
+            margins = model_.margins(grams)
+            right = np.sign(margins) == model_.code[language]
+            odds = np.rint(model_.per_gram(margins, grams) * _UNIT).astype(np.int64)
             for k in np.unique(language):
                 own = right[language == k]
                 wide = own.shape[1]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(wide, k, dtype=np.int32)), pa.array(np.arange(wide, dtype=np.int32)), pa.array(own.sum(axis=0).astype(np.int64)), pa.array(np.full(wide, len(own), dtype=np.int64))],
-                    names=["language", "position", "right", "texts"])
+                    [pa.array(np.full(wide, k, dtype=np.int32)), pa.array(np.arange(wide, dtype=np.int32)), pa.array(own.sum(axis=0).astype(np.int64)), pa.array(odds[language == k].sum(axis=0)), pa.array(np.full(wide, len(own), dtype=np.int64))],
+                    names=["language", "position", "right", "odds", "texts"])
 
-    found = labelled.mapInArrow(run, "language int, position int, right long, texts long")
-    return found.groupBy("language", "position").agg(F.sum("right").alias("right"), F.sum("texts").alias("texts"))
+    found = labelled.mapInArrow(run, "language int, position int, right long, odds long, texts long")
+    return found.groupBy("language", "position").agg(F.sum("right").alias("right"), F.sum("odds").alias("odds"), F.sum("texts").alias("texts"))
 
 
 def fit(labelled: DataFrame, bound: int = BOUND) -> Model:
@@ -171,7 +210,7 @@ def fit(labelled: DataFrame, bound: int = BOUND) -> Model:
     languages = sorted(sizes)
     code = codebook(len(languages))
     if len(languages) < 2:
-        return Model(languages, code, np.zeros((ORDERS * CLASSES, 0), dtype=np.float32), np.ones((len(languages), 0)))
+        return Model(languages, code, np.zeros((ORDERS * CLASSES, 0), dtype=np.float32), np.ones((len(languages), 0)), np.ones(len(languages)))
     spark = labelled.sparkSession
     table = spark.createDataFrame([(name, k, min(1.0, bound / sizes[name])) for k, name in enumerate(languages)], "lang string, language int, share double")
     draw = F.pmod(F.xxhash64(F.lit("language"), "text"), F.lit(1 << 30)) / float(1 << 30)
@@ -182,11 +221,16 @@ def fit(labelled: DataFrame, bound: int = BOUND) -> Model:
     frequency = (counts + _SMOOTH) / (counts.sum(axis=2, keepdims=True) + _SMOOTH * CLASSES)
     frequency = frequency.reshape(len(languages), -1)
     odds = np.stack([np.log(frequency[code[:, j] > 0].mean(axis=0) / frequency[code[:, j] < 0].mean(axis=0)) for j in range(code.shape[1])], axis=1)
-    model = Model(languages, code, odds.astype(np.float32), np.ones(code.shape))
+    model = Model(languages, code, odds.astype(np.float32), np.ones(code.shape), np.ones(len(languages)))
     trust = np.ones(code.shape)
+    # A language that has no text left for the weights is judged by those that it was learned from.
+    counts = counts.reshape(len(languages), -1)
+    usual = counts @ odds / np.maximum(counts.sum(axis=1, keepdims=True), 1) / ORDERS
     for r in _right(chosen.filter("draw >= 0.8 * share").select("language", "text"), model).collect():
         trust[r["language"], r["position"]] = max(r["right"] / r["texts"], 0.01)
+        usual[r["language"], r["position"]] = r["odds"] / _UNIT / r["texts"]
     model.trust = trust / trust.mean(axis=1, keepdims=True)
+    model.calibrate(usual)
     return model
 
 
@@ -202,7 +246,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         for part, texts in steps(batches, text, _STEP):
             grams = Grams(texts)
             if model_.languages:
-                best, score = model_.nearest(model_.margins(grams))
+                best, score = model_.nearest(grams)
             else:
                 best, score = np.zeros(len(texts), dtype=np.int64), np.zeros(len(texts))
             empty = grams.letters == 0

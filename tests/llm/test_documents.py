@@ -122,6 +122,33 @@ def test_language(spark):
     assert all(0 <= r.score <= 1 for r in found.values())
 
 
+def test_language_flags_mixed_and_random_texts(spark):
+    rng = random.Random(5)
+    known = list(sentences(3, 1500))
+    said = {g: " ".join(t for _, t, h in known[1000:] if h == g).split() for g in ("aa", "bb", "cc")}
+    model = language.fit(frame(spark, [(t, g) for _, t, g in known[:1000]], "text string, lang string"))
+
+    def piece(g, n):
+        at = rng.randrange(len(said[g]) - n)
+        return " ".join(said[g][at:at + n])
+
+    rows = []
+    for n in (20, 100, 400):
+        for k in range(60):
+            a, b = rng.sample(sorted(said), 2)
+            rows.append((f"clean {n}", piece(a, n), a))
+            rows.append((f"mixed {n}", f"{piece(a, n)} {piece(b, n)}", None))
+            rows.append((f"random {n}", " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9))) for _ in range(n)), None))
+    flagged, score = Counter(), {}
+    for r in language.predict(frame(spark, rows, "kind string, text string, lang string"), model).collect():
+        flagged[r.kind] += r.ambiguous
+        score.setdefault(r.kind, []).append(r.score)
+        assert r.lang in (None, r.lang_pred)
+    for n in (20, 100, 400):
+        assert flagged[f"clean {n}"] == 0 and flagged[f"mixed {n}"] >= 57 and flagged[f"random {n}"] >= 57
+    assert abs(np.median(score["clean 20"]) - np.median(score["clean 400"])) < 0.05
+
+
 @pytest.mark.parametrize("labels", [[], ["aa"]])
 def test_language_with_few_labels(spark, labels):
     model = language.fit(frame(spark, [("some text", x) for x in labels], "text string, lang string"))
