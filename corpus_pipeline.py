@@ -3,37 +3,51 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.llm import bpe, jaccard, language, mixing, substring
-from ledgerloom.llm.common import documents, stored
+from ledgerloom.llm.common import documents, fresh, stored
 from ledgerloom.llm.queries import TOKENIZERS, VOCABULARY
 
+#: Columns of the given tables; others pass through all stages but the last.
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def passing(docs: DataFrame, added: tuple[str, ...], step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The columns of `docs` out of `step`, also those that have the name of a column it adds."""
+    aside = {c: fresh(docs, f"{c}_") for c in docs.columns if c.lower() in added}
+    done = step(docs.withColumnsRenamed(aside))
+    return done.select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the corpus's languages; those without a letter or between two languages go."""
-    found = language.predict(docs, language.fit(docs))
-    return found.filter((F.col("lang_pred") != language.UNKNOWN) & ~F.col("ambiguous")).select(*COLUMNS)
+    model = language.fit(docs)
+    sure = (F.col("lang_pred") != language.UNKNOWN) & ~F.col("ambiguous")
+    return passing(docs, ("lang_pred", "score", "ambiguous"), lambda own: language.predict(own, model).filter(sure))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose word 5-grams agree by 75 percent or more."""
-    return jaccard.keep_one(docs).select(*COLUMNS)
+    return passing(docs, (), jaccard.keep_one)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the words in windows of 35 words that occur elsewhere too; a text of nothing else goes."""
-    cleaned = substring.remove_repeats(docs).filter("n_removed = 0 or n_removed < n_words")
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    return cleaned.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+
+    def step(own: DataFrame) -> DataFrame:
+        cleaned = substring.remove_repeats(own).filter("n_removed = 0 or n_removed < n_words")
+        return cleaned.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long"))
+
+    return passing(docs, ("n_words", "n_removed", "kept_text"), step)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All sources with the same share of characters, copies drawn per document, in random order."""
-    return mixing.mix(docs).select(*COLUMNS)
+    return passing(docs, ("copy_no", "n_copies", "shuffle_key"), mixing.mix)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -261,3 +261,15 @@ def test_pipeline(spark, tmp_path):
     assert {r.doc_id for r in seen["source_mixing"].collect()} <= set(texts)
     assert seen["bpe"].count() == seen["source_mixing"].count()
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == seen["bpe"].count()
+
+
+def test_pipeline_passes_further_columns(spark, tmp_path):
+    further = ("url", "Score", "n_words", "kept_text", "copy_no")
+    rows = [(k, t, g, f"s{k % 3}", len(t), f"u{k}", f"score {k}", -k, f"kept {k}", k + 0.5) for k, t, g in sentences(2, 60)]
+    docs = frame(spark, rows, "doc_id long, text string, lang string, source string, n_chars long, url string, Score string, n_words long, kept_text string, copy_no double")
+    want = {r[0]: r[5:] for r in rows}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = common.stored(stage(spark, docs, str(tmp_path)), "stage")
+        assert docs.columns == [*corpus_pipeline.COLUMNS, *further], name
+        found = docs.select("doc_id", *further).collect()
+        assert found and all(tuple(r)[1:] == want[r.doc_id] for r in found), name
