@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerloom.llm import bpe, chat, jaccard, language, mixing, scoring, substring, topk, vectors, webtext
-from ledgerloom.llm.common import documents
+from ledgerloom.llm.common import documents, stored
 
 
 def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,8 +115,8 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All sources with the same share of characters, at the size of the input."""
-    return mixing.mix(documents(spark, sf_dir)).select("doc_id", "source", "n_copies", "copy_no", "shuffle_key")
+    """All sources with the same share of characters, at the size of the input: the whole mixture is shuffled and written, its copies are returned."""
+    return stored(mixing.mix(documents(spark, sf_dir)), "mixture").select("doc_id", "source", "n_copies", "copy_no", "shuffle_key")
 
 
 OP10_SQL = """

@@ -273,3 +273,14 @@ def test_pipeline_passes_further_columns(spark, tmp_path):
         assert docs.columns == [*corpus_pipeline.COLUMNS, *further], name
         found = docs.select("doc_id", *further).collect()
         assert found and all(tuple(r)[1:] == want[r.doc_id] for r in found), name
+
+
+def test_mixing_query_shuffles_whole_documents(spark, tmp_path):
+    rows = [(k, t, g, f"s{k % 3}", len(t)) for k, t, g in sentences(2, 60)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    returned = queries.op10_source_mixing(spark, str(tmp_path))
+    mixture = spark.read.parquet(*returned.inputFiles())
+    assert mixture.columns == ["doc_id", "text", "lang", "source", "n_chars", "n_copies", "copy_no", "shuffle_key"]
+    assert got(mixture, *returned.columns) == got(returned, *returned.columns)
+    texts = {r[0]: r[1] for r in rows}
+    assert all(texts[r.doc_id] == r.text for r in mixture.collect())
