@@ -155,3 +155,10 @@ def test_share_of_pages_decides_at_every_size(spark, pages):
     for (name, k), text in texts.items():
         some, most = ["some"] * (k % 10 == 0), ["most"] * (k % 20 != 0)
         assert text.split() == ["own", str(k), *some, *((*most, "all") if name != "none" else ())]
+
+
+def test_page_counts_once_for_a_node_with_several_layouts(spark):
+    lines = "<div><p>all</p></div><div><h2>own {0} b</h2><p>own {0} c</p></div><div><ul><li>own {0} d</ul></div>"
+    rows = [(k, "http://layouts.example/", f"<body>{lines.format(k)}<div>note<p>own {k} e</p></div></body>") for k in range(4)]
+    for r in webtext.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect():
+        assert r.text == " ".join(f"own {r.page_id} {x}" for x in "bcde")
