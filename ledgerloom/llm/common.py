@@ -23,10 +23,15 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder of the cluster's shared one."""
+    return f"{shared_root(spark)}/llm-{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write as Parquet into the cluster's shared folder and read back: the lineage ends here."""
     small_batches(df.sparkSession)
-    path = f"{shared_root(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

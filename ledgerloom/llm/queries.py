@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import bpe, chat, jaccard, language, mixing, scoring, substring, topk, vectors, webtext
-from ledgerloom.llm.common import documents, stored
+from ledgerloom.llm import bpe, chat, infill, jaccard, language, mixing, scoring, sharding, substring, topk, vectors, webtext
+from ledgerloom.llm.common import documents, scratch, stored
 
 
 def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,9 +147,51 @@ FROM drawn, LATERAL unnest(range(1, n_copies + 1)) AS c(copy_no)
 """
 
 
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written into eight shards by their id, and read back from there."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    text = F.coalesce("text", F.lit(""))
+    return sharding.write_shards(docs, scratch(spark, "shards"), 8).select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the documents in another order, and what is read back from them."""
+    done = infill.fill_in_middle(documents(spark, sf_dir).select("doc_id", "text"))
+    return done.select(
+        "doc_id", F.col("n_units").alias("n"), "form", "prefix_chars", "middle_chars", F.sha2("infilled", 256).alias("output_sha256"),
+        F.sha2(infill.restore(F.col("infilled"), F.col("form")), 256).alias("restored_sha256"))
+
+
+OP13_SQL = r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS hex,
+           regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+    FROM documents
+), drawn AS (
+    SELECT *, len(units)::BIGINT AS n, list_transform(range(0, 4), lambda k: ('0x' || hex[8 * k + 1:8 * k + 8])::BIGINT) AS h FROM texts
+), cut AS (
+    SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS low, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS high,
+           CASE WHEN text = '' OR h[3] % 100 >= 50 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+                WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn
+), parts AS (
+    SELECT *, coalesce(array_to_string(units[1:low], ''), '') AS prefix, coalesce(array_to_string(units[low + 1:high], ''), '') AS middle,
+           coalesce(array_to_string(units[high + 1:n], ''), '') AS suffix
+    FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_embedding_near_dedup, op2_voronoi_topk, op3_chat_format, op4_bpe, op5_substring_dedup, op6_html_extraction, op7_language_id, op8_lm_scoring, op9_ngram_jaccard_join, op10_source_mixing)}
+    return {f.__name__: f for f in (op1_embedding_near_dedup, op2_voronoi_topk, op3_chat_format, op4_bpe, op5_substring_dedup, op6_html_extraction, op7_language_id, op8_lm_scoring, op9_ngram_jaccard_join, op10_source_mixing, op12_sharding, op13_fill_in_middle)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_voronoi_topk": OP2_SQL, "op3_chat_format": OP3_SQL, "op10_source_mixing": OP10_SQL}
+    return {"op2_voronoi_topk": OP2_SQL, "op3_chat_format": OP3_SQL, "op10_source_mixing": OP10_SQL, "op13_fill_in_middle": OP13_SQL}
