@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import bpe, chat, infill, jaccard, language, mixing, scoring, sharding, substring, topk, vectors, webtext
+from ledgerloom.llm import bpe, chat, infill, jaccard, language, mixing, phrases, scoring, sharding, substring, topk, vectors, webtext
 from ledgerloom.llm.common import documents, scratch, stored
 
 
@@ -147,6 +147,41 @@ FROM drawn, LATERAL unnest(range(1, n_copies + 1)) AS c(copy_no)
 """
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
+OP11_SQL = r"""
+WITH pieces AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+    FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), grams AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+    FROM pieces, (VALUES (1), (2), (3), (4)) AS sizes(k), LATERAL unnest(range(1, len(w) - k + 2)) AS places(i)
+), f AS (
+    SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY lang, k, phrase HAVING k = 1 OR count(*) >= 30
+), totals AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
+), candidates AS (
+    SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1
+), cuts AS (
+    SELECT c.lang, c.k, c.phrase, c.a, j, l.f AS l, r.f AS r, ((2000000::HUGEINT * c.a) // (l.f + r.f))::BIGINT AS score
+    FROM (SELECT *, array_to_string(w[1:j], ' ') AS head, array_to_string(w[j + 1:k], ' ') AS tail FROM candidates, LATERAL unnest(range(1, k)) AS places(j)) c
+    JOIN f l ON l.lang = c.lang AND l.phrase = c.head AND l.k = c.j JOIN f r ON r.lang = c.lang AND r.phrase = c.tail AND r.k = c.k - c.j
+), weakest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), inner_phrases AS (
+    SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, max(a) AS longer
+    FROM candidates, LATERAL unnest(range(2, k)) AS sizes(size), LATERAL unnest(range(1, k - size + 2)) AS places(i) GROUP BY ALL
+), ranked AS (
+    SELECT w.*, row_number() OVER (PARTITION BY w.lang ORDER BY w.score DESC, w.a DESC, w.phrase) AS rank
+    FROM weakest w LEFT JOIN inner_phrases i ON i.lang = w.lang AND i.phrase = w.phrase WHERE i.longer IS NULL OR 100 * i.longer < 80 * w.a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written into eight shards by their id, and read back from there."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -190,8 +225,8 @@ FROM parts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_embedding_near_dedup, op2_voronoi_topk, op3_chat_format, op4_bpe, op5_substring_dedup, op6_html_extraction, op7_language_id, op8_lm_scoring, op9_ngram_jaccard_join, op10_source_mixing, op12_sharding, op13_fill_in_middle)}
+    return {f.__name__: f for f in (op1_embedding_near_dedup, op2_voronoi_topk, op3_chat_format, op4_bpe, op5_substring_dedup, op6_html_extraction, op7_language_id, op8_lm_scoring, op9_ngram_jaccard_join, op10_source_mixing, op11_phrase_collocations, op12_sharding, op13_fill_in_middle)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_voronoi_topk": OP2_SQL, "op3_chat_format": OP3_SQL, "op10_source_mixing": OP10_SQL, "op13_fill_in_middle": OP13_SQL}
+    return {"op2_voronoi_topk": OP2_SQL, "op3_chat_format": OP3_SQL, "op10_source_mixing": OP10_SQL, "op11_phrase_collocations": OP11_SQL, "op13_fill_in_middle": OP13_SQL}
