@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
-from ledgerloom.llm.common import fresh
+from ledgerloom.llm.common import fresh, stored
 
 #: Text of one file of a shard, on average.
 FILE_BYTES = 256 << 20
@@ -82,4 +82,6 @@ def read_shards(spark: SparkSession, folder: str, schema: StructType) -> DataFra
     placed = rows.select("*", at["file_name"].alias(file), at["row_index"].alias(row))
     earlier = Window.partitionBy("shard").orderBy(file).rowsBetween(Window.unboundedPreceding, -1)
     counts = placed.groupBy("shard", file).agg(F.count("*").alias(upto)).withColumn(upto, F.coalesce(F.sum(upto).over(earlier), F.lit(0)))
+    # A row per file. As a table its size is known before the join, so the texts need not move for it.
+    counts = stored(counts, "slots")
     return placed.join(counts, ["shard", file]).select(*rows.columns, (F.col(upto) + F.col(row)).alias("slot"))
