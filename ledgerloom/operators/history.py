@@ -4,90 +4,85 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from .scans import (
-    PIECES, Order, latest_value, previous_value, running_sum, scan_in_order,
-)
+from .scans import KEY, POSITION, ROWS, SLICE, before, in_order, scan, with_carry
 
 
-def change_sessions(
-    df: DataFrame, key: str, at: str, tiebreak: str, attributes: Sequence[str], slice_col: str
+def sessions(
+    df: DataFrame, key: str, at: str, tiebreak: str, attributes: Sequence[str], rows: int = ROWS
 ) -> DataFrame:
-    """Add `starts_new_version` and `version` to every observation of the key."""
-    order = [at, tiebreak]
-    seen = F.struct(*attributes)
-    chained = previous_value(df, key, order, seen, "__previous", slice_col)
-    changed = F.col("__previous").isNull()
-    for name in attributes:
-        changed = changed | ~F.col(name).eqNullSafe(F.col("__previous")[name])
-    flagged = chained.withColumn("starts_new_version", F.when(changed, 1).otherwise(0))
-    numbered = running_sum(flagged, key, order, "starts_new_version", "version", slice_col)
-    return numbered.withColumn("version", F.col("version").cast("bigint")).drop("__previous")
+    """Every observation with `starts_new_version` and its running `version` number.
 
-
-def version_history(
-    df: DataFrame,
-    key: str,
-    at: str,
-    tiebreak: str,
-    attributes: Sequence[str],
-    pieces: int = PIECES,
-) -> DataFrame:
-    """One row per run of equal attributes: half-open [valid_from, valid_to) and row count.
-
-    Returning to an earlier state opens a new version. Attributes are constant inside a version,
-    so they are grouping columns and the rollup stays a hash aggregate.
+    Within a slice a row's attributes are compared with those of the row before. A slice of a longer key
+    hands over its first and last attributes and its number of changes; from these follow, over the
+    slices of the key, whether a slice opens with a new version and how many there were before.
     """
+    ordered = in_order(df.select(key, at, tiebreak, *attributes), key, [at, tiebreak], rows)
+    seen = F.struct(*attributes)
 
-    def build(rows: DataFrame, slice_col: str) -> DataFrame:
-        numbered = change_sessions(rows, key, at, tiebreak, attributes, slice_col)
-        versions = numbered.groupBy(key, "version", *attributes).agg(
-            F.min(at).alias("valid_from"), F.count("*").alias("observations")
-        )
-        # The start of the next version is this one's end: each version tells its predecessor.
-        names = [*attributes, "valid_from", "observations"]
-        own = F.struct("version", *names, F.lit(None).cast(versions.schema["valid_from"].dataType).alias("valid_to"))
-        told = F.struct(
-            (F.col("version") - 1).alias("version"), *[F.lit(None).cast(versions.schema[n].dataType).alias(n) for n in names], F.col("valid_from").alias("valid_to"))
-        both = versions.select(key, F.inline(F.array(own, told)))
-        # At most one of the rows of a version has each value, or has the same.
-        joined = both.groupBy(key, "version").agg(*[F.max(n).alias(n) for n in (*names, "valid_to")])
-        return joined.filter("version > 0")
-
-    narrow = df.select(key, at, tiebreak, *attributes)
-    return scan_in_order(narrow, Order(at, tiebreak), build, pieces)
+    def differs(one: Column, other: Column) -> Column:
+        unequal = F.lit(False)
+        for name in attributes:
+            unequal = unequal | ~one[name].eqNullSafe(other[name])
+        return unequal
 
+    def local(part: DataFrame) -> DataFrame:
+        linked = part.withColumns({"__seen": seen, "__previous": F.lag(seen).over(ordered.along)})
+        first = F.col("__previous").isNull()
+        changed = F.when(first, 0).otherwise(differs(F.col("__seen"), F.col("__previous")).cast("int"))
+        marked = linked.withColumns({"__first": first, "__changed": changed})
+        return marked.withColumn("__changes", F.sum("__changed").over(ordered.along.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
 
-def sessions(
-    df: DataFrame, key: str, at: str, tiebreak: str, attributes: Sequence[str], pieces: int = PIECES
-) -> DataFrame:
-    """Every observation with its change flag and running version number."""
-    narrow = df.select(key, at, tiebreak, *attributes)
+    summary = [
+        F.first(F.when(F.col("__first"), F.col("__seen")), ignorenulls=True).alias("head"),
+        F.max_by("__seen", POSITION).alias("tail"), F.sum("__changed").alias("inner"),
+    ]
 
-    def number(rows: DataFrame, slice_col: str) -> DataFrame:
-        return change_sessions(rows, key, at, tiebreak, attributes, slice_col)
+    def carry(slices: DataFrame, across: WindowSpec) -> DataFrame:
+        linked = slices.withColumn("before", F.lag("tail").over(across))
+        opened = linked.withColumn("__opens", F.when(F.col("before").isNull() | differs(F.col("head"), F.col("before")), 1).otherwise(0))
+        return opened.select(KEY, SLICE, "__opens", F.sum(F.col("inner") + F.col("__opens")).over(before(across)).alias("__earlier"))
 
-    return scan_in_order(narrow, Order(at, tiebreak), number, pieces)
+    carried = with_carry(ordered, local, summary, carry)
+    opens = F.coalesce("__opens", F.lit(1))
+    return carried.select(
+        key, at, tiebreak, *attributes, F.when(F.col("__first"), opens).otherwise(F.col("__changed")).alias("starts_new_version"),
+        (F.coalesce("__earlier", F.lit(0)) + opens + F.col("__changes")).cast("bigint").alias("version"))
 
 
-def version_gaps(
-    dim: DataFrame, key: str, version: str, pieces: int = PIECES
+def version_history(
+    df: DataFrame, key: str, at: str, tiebreak: str, attributes: Sequence[str], rows: int = ROWS
 ) -> DataFrame:
-    """Add the version's expected number and whether it starts where its predecessor ended."""
-
-    def scan(rows: DataFrame, slice_col: str) -> DataFrame:
-        ended = F.struct("valid_to")
-        linked = previous_value(rows, key, [version], ended, "__ended", slice_col)
-        return running_sum(linked, key, [version], "__one", "expected_version", slice_col)
+    """One row per run of equal attributes: half-open [valid_from, valid_to) and row count.
 
-    counted = dim.withColumn("__one", F.lit(1))
-    scanned = scan_in_order(counted, Order(version), scan, pieces)
+    Returning to an earlier state opens a new version. Attributes are constant inside a version,
+    so they are grouping columns and the rollup stays a hash aggregate.
+    """
+    numbered = sessions(df, key, at, tiebreak, attributes, rows)
+    versions = numbered.groupBy(key, "version", *attributes).agg(
+        F.min(at).alias("valid_from"), F.count("*").alias("observations")
+    )
+    # The start of the next version is this one's end: each version tells its predecessor.
+    names = [*attributes, "valid_from", "observations"]
+    own = F.struct("version", *names, F.lit(None).cast(versions.schema["valid_from"].dataType).alias("valid_to"))
+    told = F.struct(
+        (F.col("version") - 1).alias("version"), *[F.lit(None).cast(versions.schema[n].dataType).alias(n) for n in names], F.col("valid_from").alias("valid_to"))
+    both = versions.select(key, F.inline(F.array(own, told)))
+    # At most one of the rows of a version has each value, or has the same.
+    joined = both.groupBy(key, "version").agg(*[F.max(n).alias(n) for n in (*names, "valid_to")])
+    return joined.filter("version > 0")
+
+
+def version_gaps(dim: DataFrame, key: str, version: str, rows: int = ROWS) -> DataFrame:
+    """Add the version's expected number and whether it starts where its predecessor ended."""
+    scanned = scan(
+        in_order(dim, key, [version], rows), previous={"__ended": F.struct("valid_to")}, running={"expected_version": F.lit(1)})
     broken = (
         F.col("__ended").isNotNull() & F.col("valid_from").isNotNull()
         & ~F.col("valid_from").eqNullSafe(F.col("__ended")["valid_to"])
     )
-    return scanned.withColumn("breaks_adjacency", broken).drop("__ended", "__one")
+    return scanned.withColumn("breaks_adjacency", broken).drop("__ended")
 
 
 def inside(at: Column, valid_from: Column, valid_to: Column) -> Column:
@@ -102,7 +97,7 @@ def asof_lookup(
     at: str,
     payload: Sequence[str],
     version: str,
-    pieces: int = PIECES,
+    rows: int = ROWS,
 ) -> DataFrame:
     """Attach `payload` of the version valid at `at`; facts without one are dropped.
 
@@ -121,12 +116,7 @@ def asof_lookup(
         {"__at": F.col(at), "__side": F.lit(1)}
     )
     merged = arrivals.unionByName(starts, allowMissingColumns=True)
-    order = ["__at", "__side", "__version"]
-
-    def scan(rows: DataFrame, slice_col: str) -> DataFrame:
-        return latest_value(rows, key, order, "__start", "__valid", slice_col)
-
-    found = scan_in_order(merged, Order("__at"), scan, pieces)
+    found = scan(in_order(merged, key, ["__at", "__side", "__version"], rows), latest={"__valid": F.col("__start")})
     valid = F.col("__valid")
     matched = found.filter(
         (F.col("__side") == 1) & inside(F.col(at), valid["valid_from"], valid["valid_to"])
@@ -144,7 +134,7 @@ def _proper(dim: DataFrame, key: str) -> DataFrame:
 
 
 def match_counts(
-    facts: DataFrame, dim: DataFrame, key: str, at: str, pieces: int = PIECES
+    facts: DataFrame, dim: DataFrame, key: str, at: str, rows: int = ROWS
 ) -> DataFrame:
     """Add `matches`, the number of intervals of the key that contain `at`.
 
@@ -162,18 +152,14 @@ def match_counts(
         {"__at": F.col(at), "__step": F.lit(0), "__side": F.lit(1)}
     )
     merged = points.unionByName(steps, allowMissingColumns=True)
-
-    def scan(rows: DataFrame, slice_col: str) -> DataFrame:
-        return running_sum(rows, key, ["__at", "__side"], "__step", "__balance", slice_col)
-
-    counted = scan_in_order(merged, Order("__at"), scan, pieces).filter("__side = 1")
+    counted = scan(in_order(merged, key, ["__at", "__side"], rows), running={"__balance": F.col("__step")}).filter("__side = 1")
     result = counted.select(*facts.columns, F.col("__balance").cast("bigint").alias("matches"))
     unplaced = facts.filter(~placed).withColumn("matches", F.lit(0).cast("bigint"))
     return result.unionByName(unplaced)
 
 
 def interval_usage(
-    facts: DataFrame, dim: DataFrame, key: str, at: str, ident: str, pieces: int = PIECES
+    facts: DataFrame, dim: DataFrame, key: str, at: str, ident: str, rows: int = ROWS
 ) -> DataFrame:
     """(ident, uses): facts inside each interval of `dim`; intervals without facts give 0.
 
@@ -195,11 +181,7 @@ def interval_usage(
         F.col(key), F.col(at).alias("__at"), F.lit(1).alias("__side"), F.lit(1).alias("__fact")
     )
     merged = before.unionByName(after).unionByName(points, allowMissingColumns=True)
-
-    def scan(rows: DataFrame, slice_col: str) -> DataFrame:
-        return running_sum(rows, key, ["__at", "__side"], "__fact", "__before", slice_col)
-
-    marks = scan_in_order(merged, Order("__at"), scan, pieces).filter("__side = 0")
+    marks = scan(in_order(merged, key, ["__at", "__side"], rows), running={"__before": F.col("__fact")}).filter("__side = 0")
     return marks.groupBy(ident).agg(
         F.sum(F.col("__sign") * F.col("__before")).cast("bigint").alias("uses")
     )

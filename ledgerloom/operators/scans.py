@@ -1,58 +1,124 @@
 """Ordered scans within a key that survive a key holding a large share of all rows.
 
-The order is cut into pieces that hold about equally many rows of the whole table, so no key has more
-than one such share in a piece. Each (key, piece) is scanned on its own; one summary row of it is
-scanned over the key, and the result is added back to its rows. There is one plan, whatever the data,
-and no job runs before it does.
+Rows are dealt by range over the key and the whole order, ties included, and written down in that
+order. A row's place in the files is its POSITION, and so many rows in a row are a SLICE: a key of
+any size, and rows of one moment too, are cut by their number. Each slice of a key is scanned on its own.
+Only keys that reach over a border of slices, at most one per border, need more: one summary row for
+each of their slices is scanned over the key, and what earlier slices hand over is joined back.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-PIECES = 1024
-SLICE = "__slice"
+from ..sources.store import shared_root
+
+#: Rows of a slice.
+ROWS = 1 << 16
+KEY, SLICE, POSITION = "__key", "__slice", "__position"
+_FILE_BITS = 36
 
 
 @dataclass(frozen=True)
-class Order:
-    """What a scan is ordered by: `at`, then, if given, the text `tie`."""
-
-    at: str
-    tie: str | None = None
-
-    def cut(self, rows: DataFrame, pieces: int) -> DataFrame:
-        """Add SLICE, which never decreases along the order: approximate quantiles of `at` over all rows.
-
-        A value that alone fills a piece is cut further by the first letters of `tie`.
-        """
-        at, parts = F.col(self.at), [F.col(self.at).isNull().alias("none")]
-        if pieces > 1:
-            shares = F.array(*[F.lit(k / pieces) for k in range(1, pieces)])
-            found = F.coalesce(rows.agg(F.percentile_approx(self.at, shares)).scalar(), F.array().cast(f"array<{rows.schema[self.at].dataType.simpleString()}>"))
-            rows, cuts = rows.withColumn("__cuts", found), F.col("__cuts")
-            steps = [1 << k for k in reversed(range((pieces - 1).bit_length()))]
-
-            def below(reached: Callable[[Column], Column]) -> Column:
-                """How many of the ascending cuts are reached, by halving steps."""
-                return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda n, step: F.when(reached(F.get(cuts, n + step - 1)), n + step).otherwise(n))
-
-            upto, before = below(lambda c: c <= at), below(lambda c: c < at)
-            # Rows on a cut are a piece of their own, between those before and after it.
-            parts.append((upto + before).alias("piece"))
-            if self.tie is not None:
-                parts.append(F.when(upto - before > 1, F.substring(F.col(self.tie), 1, 4)).alias("tie"))
-        return rows.withColumn(SLICE, F.struct(*parts)).drop("__cuts")
-
-
-def scan_in_order(
-    df: DataFrame, order: Order, scan: Callable[[DataFrame, str], DataFrame], pieces: int = PIECES
+class Ordered:
+    """Rows with KEY, SLICE and POSITION, and the keys that begin a slice."""
+
+    rows: DataFrame
+    shared: DataFrame
+
+    @property
+    def along(self) -> WindowSpec:
+        return Window.partitionBy(KEY, SLICE).orderBy(POSITION)
+
+    def finish(self, scanned: DataFrame) -> DataFrame:
+        return scanned.drop(KEY, SLICE, POSITION)
+
+
+def in_order(df: DataFrame, key: str, order: Sequence[str], rows: int = ROWS) -> Ordered:
+    """Write `df` in the order of its key and `order`, NULLs of which come last.
+
+    The order of rows that agree in all of it follows from their other columns.
+    """
+    spark = df.sparkSession
+    base = f"{shared_root(spark)}/scan-{uuid.uuid4().hex}"
+    line = [F.col(key).asc_nulls_first(), *(F.col(c).asc_nulls_last() for c in order), F.xxhash64(*df.columns).asc()]
+    # One file for each range, whatever the session says, so that its number tells the range.
+    df.repartitionByRange(*line).sortWithinPartitions(*line).write.option("maxRecordsPerFile", 0).parquet(f"{base}/rows")
+    read = spark.read.schema(df.schema).parquet(f"{base}/rows")
+    place = read.metadataColumn("_metadata")
+    first = F.shiftleft(F.split(place["file_name"], "-")[1].cast("bigint"), _FILE_BITS)
+    # A struct equals another with the same NULLs, so all keys meet in plain equality.
+    placed = read.select(
+        *df.columns, F.struct(F.col(key).alias("key")).alias(KEY), (first + F.floor(place["row_index"] / rows)).alias(SLICE),
+        (first + place["row_index"]).alias(POSITION), (place["row_index"] % rows == 0).alias("__begins"))
+    placed.filter("__begins").select(KEY).distinct().write.parquet(f"{base}/shared")
+    shared = spark.read.schema(placed.select(KEY).schema).parquet(f"{base}/shared")
+    return Ordered(placed.drop("__begins"), shared)
+
+
+def with_carry(
+    ordered: Ordered, local: Callable[[DataFrame], DataFrame], summary: Sequence[Column],
+    carry: Callable[[DataFrame, WindowSpec], DataFrame],
+) -> DataFrame:
+    """Rows after `local`, with the columns that `carry` finds for their slice; NULL where a key has one slice.
+
+    `local` sees slices apart, `summary` aggregates the rows of a key's slice after it, and `carry` selects
+    KEY, SLICE and more from the summaries, given the window over a key's slices.
+    """
+    shared = local(ordered.rows.join(ordered.shared, KEY, "left_semi"))
+    slices = shared.groupBy(KEY, SLICE).agg(*summary)
+    carried = carry(slices, Window.partitionBy(KEY).orderBy(SLICE))
+    return local(ordered.rows).join(carried, [KEY, SLICE], "left")
+
+
+def before(across: WindowSpec) -> WindowSpec:
+    """All earlier slices of the key."""
+    return across.rowsBetween(Window.unboundedPreceding, -1)
+
+
+def scan(
+    ordered: Ordered, previous: Mapping[str, Column] | None = None, running: Mapping[str, Column] | None = None,
+    latest: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Apply `scan(rows, slice column)` to rows cut into pieces of their order."""
-    return scan(order.cut(df, pieces), SLICE).drop(SLICE)
+    """Several scans of the same rows in one pass; each adds a column for each name.
+
+    `previous`: the value of the key's row before, NULL on the first one; the value is never NULL.
+    `running`: the sum of a number, never NULL, up to and including this row.
+    `latest`: the last value that is not NULL, up to and including this row.
+    """
+    previous, running, latest = previous or {}, running or {}, latest or {}
+    values = {f"__value{k}": value for k, value in enumerate([*previous.values(), *running.values(), *latest.values()])}
+    named = dict(zip([*previous, *running, *latest], values, strict=True))
+    upto = ordered.along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def local(rows: DataFrame) -> DataFrame:
+        return rows.withColumns(values).withColumns({
+            **{n: F.lag(named[n]).over(ordered.along) for n in previous},
+            **{n: F.sum(named[n]).over(upto) for n in running},
+            **{n: F.last(named[n], ignorenulls=True).over(upto) for n in latest},
+        })
+
+    summary = [
+        *(F.max_by(named[n], POSITION).alias(n) for n in previous), *(F.sum(named[n]).alias(n) for n in running),
+        *(F.max_by(F.col(named[n]), F.when(F.col(named[n]).isNotNull(), F.col(POSITION))).alias(n) for n in latest),
+    ]
+
+    def carry(slices: DataFrame, across: WindowSpec) -> DataFrame:
+        return slices.select(
+            KEY, SLICE, *(F.lag(n).over(across).alias(f"__carried_{n}") for n in previous),
+            *(F.sum(n).over(before(across)).alias(f"__carried_{n}") for n in running),
+            *(F.last(n, ignorenulls=True).over(before(across)).alias(f"__carried_{n}") for n in latest))
+
+    carried = with_carry(ordered, local, summary, carry)
+    done = carried.withColumns({
+        **{n: F.coalesce(F.col(n), F.col(f"__carried_{n}")) for n in (*previous, *latest)},
+        **{n: F.col(n) + F.coalesce(F.col(f"__carried_{n}"), F.lit(0)) for n in running},
+    })
+    return ordered.finish(done.drop(*values, *(f"__carried_{n}" for n in named)))
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -64,60 +130,3 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     for k in keys:
         match = match & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
     return left.join(renamed, match, how).drop(*[f"__r_{k}" for k in keys])
-
-
-def _ascending(columns: Sequence[str]) -> list[Column]:
-    return [F.col(c).asc_nulls_last() for c in columns]
-
-
-def _with_carry(
-    df: DataFrame, key: str, slice_col: str, summary: Column, carry: Callable[[Column, object], Column]
-) -> DataFrame:
-    """Attach `__carry`, computed over the key's slice summaries, to every row."""
-    slices = df.groupBy(key, slice_col).agg(summary.alias("__summary"))
-    across = Window.partitionBy(key).orderBy(*_ascending([slice_col]))
-    carried = slices.select(key, slice_col, carry(F.col("__summary"), across).alias("__carry"))
-    return null_safe_join(df, carried, [key, slice_col], "left")
-
-
-def previous_value(
-    df: DataFrame, key: str, order: Sequence[str], value: Column, out: str, slice_col: str
-) -> DataFrame:
-    """Value of the preceding row of the key (NULL on its first row); `value` is never NULL."""
-    local = F.lag(value).over(Window.partitionBy(key, slice_col).orderBy(*_ascending(order)))
-    rank = F.struct(*order)
-    linked = _with_carry(
-        df, key, slice_col, F.max_by(value, rank), lambda last, over: F.lag(last).over(over)
-    )
-    return linked.withColumn(out, F.coalesce(local, "__carry")).drop("__carry")
-
-
-def running_sum(
-    df: DataFrame, key: str, order: Sequence[str], value: str, out: str, slice_col: str
-) -> DataFrame:
-    """Sum of `value` from the key's first row up to and including this one."""
-    upto = Window.partitionBy(key, slice_col).orderBy(*_ascending(order))
-    local = F.sum(value).over(upto.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    linked = _with_carry(
-        df, key, slice_col, F.sum(value),
-        lambda total, over: F.sum(total).over(over.rowsBetween(Window.unboundedPreceding, -1)),
-    )
-    return linked.withColumn(out, local + F.coalesce("__carry", F.lit(0))).drop("__carry")
-
-
-def latest_value(
-    df: DataFrame, key: str, order: Sequence[str], value: str, out: str, slice_col: str
-) -> DataFrame:
-    """Last non-NULL `value` of the key up to and including this row."""
-    upto = Window.partitionBy(key, slice_col).orderBy(*_ascending(order))
-    local = F.last(value, ignorenulls=True).over(
-        upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    rank = F.when(F.col(value).isNotNull(), F.struct(*order))
-    linked = _with_carry(
-        df, key, slice_col, F.max_by(F.col(value), rank),
-        lambda last, over: F.last(last, ignorenulls=True).over(
-            over.rowsBetween(Window.unboundedPreceding, -1)
-        ),
-    )
-    return linked.withColumn(out, F.coalesce(local, "__carry")).drop("__carry")

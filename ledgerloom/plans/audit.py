@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.values import rate
 from ..operators.compare import aggregate_metrics, union_all
 from ..operators.history import match_counts
-from ..operators.scans import PIECES, Order, previous_value, running_sum, scan_in_order
+from ..operators.scans import ROWS, in_order, scan
 
 # Status domains.
 RUN_STATUSES = ("RUNNING", "SUCCESS", "FAILED")
@@ -139,50 +139,40 @@ def current_state(events: DataFrame, subject: str) -> DataFrame:
     )
 
 
-def transition_violations(events: DataFrame, subject: str, pieces: int = PIECES) -> DataFrame:
+def transition_violations(events: DataFrame, subject: str, rows: int = ROWS) -> DataFrame:
     """(subject, event_at, violation): only START then FINISH is allowed."""
-
-    def scan(rows: DataFrame, slice_col: str) -> DataFrame:
-        return previous_value(
-            rows, subject, ["event_at", "sequence"], F.struct("status"), "__previous", slice_col
-        )
-
     before = F.col("__previous")["status"]
     problem = (
         F.when((F.col("status") == "RUNNING") & before.isNotNull(), "started_twice")
         .when((F.col("status") != "RUNNING") & before.isNull(), "finished_without_start")
         .when((F.col("status") != "RUNNING") & (before != "RUNNING"), "finished_twice")
     )
-    scanned = scan_in_order(events, Order("event_at"), scan, pieces)
+    ordered = in_order(events, subject, ["event_at", "sequence"], rows)
+    scanned = scan(ordered, previous={"__previous": F.struct("status")})
     return scanned.select(subject, "event_at", problem.alias("violation")).filter("violation is not null")
 
 
-def run_state(runs_events: DataFrame, stages: DataFrame, pieces: int = PIECES) -> DataFrame:
+def run_state(runs_events: DataFrame, stages: DataFrame, rows: int = ROWS) -> DataFrame:
     """Current run state and the stages still active when the run finished."""
     state = current_state(runs_events, "run_id")
     intervals = stages.select(
         "run_id", F.col("started_at").alias("valid_from"), F.col("ended_at").alias("valid_to")
     )
-    counted = match_counts(state, intervals, "run_id", "ended_at", pieces)
+    counted = match_counts(state, intervals, "run_id", "ended_at", rows)
     return counted.select(
         "run_id", "status", "started_at", "ended_at", F.col("matches").alias("active_stages"),
         ((F.col("status") == "RUNNING") | (F.col("matches") == 0)).alias("valid_finish"),
     )
 
 
-def stage_attempts(stages: DataFrame, pieces: int = PIECES) -> DataFrame:
+def stage_attempts(stages: DataFrame, rows: int = ROWS) -> DataFrame:
     """Expected attempt number and whether the attempt was allowed (first, or after a failure)."""
     keyed = stages.select(
         "run_id", "stage_name", "stage_attempt_id", "attempt_number", "started_at", "status",
-        F.concat_ws("|", "run_id", "stage_name").alias("__chain"), F.lit(1).alias("__one"),
+        F.struct("run_id", "stage_name").alias("__chain"),
     )
-    order = ["started_at", "attempt_number"]
-
-    def scan(rows: DataFrame, slice_col: str) -> DataFrame:
-        linked = previous_value(rows, "__chain", order, F.struct("status"), "__before", slice_col)
-        return running_sum(linked, "__chain", order, "__one", "expected_attempt", slice_col)
-
-    scanned = scan_in_order(keyed, Order("started_at"), scan, pieces)
+    ordered = in_order(keyed, "__chain", ["started_at", "attempt_number"], rows)
+    scanned = scan(ordered, previous={"__before": F.struct("status")}, running={"expected_attempt": F.lit(1)})
     before = F.col("__before")["status"]
     return scanned.select(
         "run_id", "stage_name", "stage_attempt_id", "attempt_number",

@@ -97,20 +97,35 @@ def file_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.file_integrity(entries, manifest.dataset_files(spark, landed.source))
 
 
+def exact_text(name: str, kind: T.DataType) -> Column:
+    """A text that differs for any two different values, and is the same in every engine."""
+    col = F.col(name)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    if isinstance(kind, T.DateType):
+        return F.date_format(col, "yyyy-MM-dd")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        # The whole part, then 53 bits of what is left at a time; every step is exact.
+        rest, parts = col.cast("double"), []
+        for _ in range(3):
+            whole = F.floor(rest).cast("decimal(38,0)")
+            parts.append(whole.cast("string"))
+            rest = (rest - F.floor(rest).cast("double")) * float(1 << 53)
+        split = (F.abs(col) < float(1 << 62)) & ((F.abs(col) >= 2.0**-50) | (col == 0))
+        return F.when(split, F.concat_ws(":", *parts)).otherwise(F.lower(col.cast("string")))
+    return col.cast("string")
+
+
 def content_hash(df: DataFrame) -> DataFrame:
-    """One row (n, s): rows, and the sum of 60 bits of every row's MD5 over all columns, NULL told from empty."""
-    def text(name: str) -> Column:
-        kind, col = df.schema[name].dataType, F.col(name)
-        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            col = F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        elif isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
-            # Money and measures: exact at four decimals, however they are held.
-            col = F.round(col.cast("decimal(38,6)"), 4).cast("decimal(38,4)")
-        elif isinstance(kind, T.DateType):
-            col = F.date_format(col, "yyyy-MM-dd")
-        return F.coalesce(F.concat(F.lit("="), col.cast("string")), F.lit("-"))
-
-    number = F.conv(F.substring(F.md5(F.concat_ws("|", *[text(c) for c in sorted(df.columns)])), 1, 15), 16, 10)
+    """One row (n, s): rows, and the sum of 60 bits of every row's MD5 over all columns.
+
+    A column counts with the length of its text before it, so no value runs into the next one; NULL has none.
+    """
+    def counted(name: str) -> Column:
+        text = exact_text(name, df.schema[name].dataType)
+        return F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit("="), text), F.lit("-"))
+
+    number = F.conv(F.substring(F.md5(F.concat(*[counted(c) for c in sorted(df.columns)])), 1, 15), 16, 10)
     return df.agg(F.count("*").alias("n"), F.coalesce(F.sum(number.cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").alias("s"))
 
 
@@ -224,7 +239,7 @@ def partitioned_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def idempotent_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First write, replay in another order, replay with other content."""
+    """First write, replay in another order, replay without canceled orders; and what is stored afterwards."""
     path = _folder(spark, "protected-batch")
     orders = raw_entities(spark, sf_dir)("orders")
     steps = [
@@ -232,9 +247,11 @@ def idempotent_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("replay", batches.write_batch_once(orders.repartition("order_status", "order_id"), path)),
         ("changed", batches.write_batch_once(orders.filter("order_status <> 'canceled'"), path)),
     ]
-    stored = spark.read.schema(orders.schema).parquet(path).agg(F.count("*").alias("rows"))
+    stored = spark.read.schema(orders.schema).parquet(path).agg(
+        F.count("*").alias("rows"), F.count_if(F.col("order_status") == "canceled").alias("canceled"),
+        F.min("order_purchase_timestamp").alias("first_purchase"))
     listed = F.array(*[F.struct(F.lit(s).alias("step"), F.lit(o).alias("outcome")) for s, o in steps])
-    return stored.select(F.inline(listed), "rows")
+    return stored.select(F.inline(listed), "rows", "canceled", "first_purchase")
 
 
 def event_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:

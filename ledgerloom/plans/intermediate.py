@@ -10,15 +10,26 @@ from ..functions.values import total
 
 
 def items_by_order(items: DataFrame) -> DataFrame:
-    return items.groupBy("order_id").agg(
-        F.count("*").alias("item_count"),
-        F.count_distinct("product_id").alias("distinct_product_count"),
-        F.count_distinct("seller_id").alias("distinct_seller_count"),
+    """Items are summed per order and product first, so distinct products are a count of rows.
+
+    A product of an order rarely has several sellers; the few there are travel as a set.
+    """
+    gross = F.col("price") + F.col("freight_value")
+    per_product = items.groupBy("order_id", "product_id").agg(
+        F.count("*").alias("n"), F.collect_set("seller_id").alias("sellers"),
+        total("price").alias("price"), total("freight_value").alias("freight"), total(gross).alias("gross"),
+        F.min("shipping_limit_at").alias("first"), F.max("shipping_limit_at").alias("last"),
+    )
+    sellers = F.array_distinct(F.flatten(F.collect_set("sellers")))
+    return per_product.groupBy("order_id").agg(
+        F.sum("n").alias("item_count"),
+        F.count("product_id").alias("distinct_product_count"),
+        F.size(sellers).cast("bigint").alias("distinct_seller_count"),
         total("price").alias("item_revenue"),
-        total("freight_value").alias("freight_revenue"),
-        total(F.col("price") + F.col("freight_value")).alias("item_plus_freight"),
-        F.min("shipping_limit_at").alias("first_shipping_limit_at"),
-        F.max("shipping_limit_at").alias("last_shipping_limit_at"),
+        total("freight").alias("freight_revenue"),
+        total("gross").alias("item_plus_freight"),
+        F.min("first").alias("first_shipping_limit_at"),
+        F.max("last").alias("last_shipping_limit_at"),
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.values import MONEY, month_of, total
 from ..operators.history import asof_lookup, version_history
-from ..operators.scans import PIECES
+from ..operators.scans import ROWS
 from .intermediate import payment_difference, reconciliation_status
 
 GEOGRAPHY = ("customer_zip_code_prefix", "customer_city", "customer_state")
@@ -16,10 +16,10 @@ def surrogate_key(customer: Column, version: Column) -> Column:
     return F.md5(F.concat(customer, F.lit("|"), version.cast("string")))
 
 
-def dim_customer(enriched: DataFrame, pieces: int = PIECES) -> DataFrame:
+def dim_customer(enriched: DataFrame, rows: int = ROWS) -> DataFrame:
     """Type-2 geography history, one version per run of equal geography."""
     versions = version_history(
-        enriched, "customer_unique_id", "order_purchased_at", "order_id", GEOGRAPHY, pieces
+        enriched, "customer_unique_id", "order_purchased_at", "order_id", GEOGRAPHY, rows
     )
     return versions.select(
         surrogate_key(F.col("customer_unique_id"), F.col("version")).alias("customer_sk"),
@@ -58,7 +58,7 @@ def is_delivered() -> Column:
     return F.coalesce(F.col("order_status") == "delivered", F.lit(False))
 
 
-def fct_orders(enriched: DataFrame, customers: DataFrame, pieces: int = PIECES) -> DataFrame:
+def fct_orders(enriched: DataFrame, customers: DataFrame, rows: int = ROWS) -> DataFrame:
     """One row per order with its reconciliation and the customer version valid at purchase.
 
     Reconciliation is a projection of the same row, so the 1:1 join on order_id is not needed.
@@ -81,7 +81,7 @@ def fct_orders(enriched: DataFrame, customers: DataFrame, pieces: int = PIECES)
     )
     found = asof_lookup(
         facts, customers, "customer_unique_id", "order_purchased_at", ["customer_sk"],
-        "customer_version", pieces,
+        "customer_version", rows,
     )
     leading = ["order_id", "customer_id", "customer_unique_id", "customer_sk"]
     return found.select(*leading, *[c for c in facts.columns if c not in leading])

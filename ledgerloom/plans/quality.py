@@ -298,41 +298,62 @@ def _metric(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.agg(value.cast("bigint").alias("value")).select(F.lit(name).alias("metric"), "value")
 
 
-ADDITIVITY = (
-    "source_orders", "source_items", "item_distinct_orders", "monthly_orders", "customer_orders",
-    "seller_items", "seller_order_attributions", "category_items", "category_order_attributions",
-    "expected_seller_attributions", "expected_category_attributions",
-)
+def _attributions(items: DataFrame, products: DataFrame) -> DataFrame:
+    """(kind, orders, items) of the delivered items, read once: whole orders, orders by seller, orders by category.
+
+    An item counts in one group of each kind; a group is an order together with a seller or a category.
+    """
+    labels = products.select("product_id", F.struct(*CATEGORY).alias("__category"))
+    known = items.filter("is_delivered").join(labels, "product_id", "left")
+    by_seller = F.struct("seller_id", F.lit(None).cast(labels.schema["__category"].dataType).alias("category"))
+    by_category = F.struct(F.lit(None).cast(items.schema["seller_id"].dataType).alias("seller_id"), F.col("__category").alias("category"))
+
+    def of(kind: str, group: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.col("order_id"), group.alias("group"))
+
+    none = F.lit(None).cast(f"struct<seller_id:{items.schema['seller_id'].dataType.simpleString()},category:{labels.schema['__category'].dataType.simpleString()}>")
+    kinds = F.array(of("order", none), of("seller", by_seller), F.when(F.col("__category").isNotNull(), of("category", by_category)))
+    tagged = known.select(F.inline(F.filter(kinds, lambda k: k.isNotNull())))
+    groups = tagged.groupBy("kind", "order_id", "group").agg(F.count("*").alias("n"))
+    return groups.groupBy("kind").agg(
+        F.count_if((F.col("kind") != "order") | F.col("order_id").isNotNull()).alias("orders"), F.sum("n").alias("items"))
 
 
 def count_additivity(m: Model) -> DataFrame:
-    """One row with all counts when any pair of them disagrees."""
-    items = m["fct_order_items"].filter("is_delivered")
-    pairs = categorized_items(m["fct_order_items"], m["dim_product"]).select("order_id", *CATEGORY).distinct()
-    values = union_all([
-        _metric(m["fct_orders"].filter("is_delivered"), "source_orders", F.count("*")),
-        _metric(items, "source_items", F.count("*")),
-        _metric(items, "item_distinct_orders", F.count_distinct("order_id")),
-        _metric(items.select("order_id", "seller_id").distinct(), "expected_seller_attributions", F.count("*")),
-        _metric(pairs, "expected_category_attributions", F.count("*")),
-        _metric(m["monthly_revenue"], "monthly_orders", F.sum("delivered_orders")),
-        _metric(m["customer_revenue"], "customer_orders", F.sum("delivered_orders")),
-        _metric(m["seller_revenue"], "seller_items", F.sum("delivered_item_rows")),
-        _metric(m["seller_revenue"], "seller_order_attributions", F.sum("distinct_delivered_orders")),
-        _metric(m["category_revenue"], "category_items", F.sum("delivered_item_rows")),
-        _metric(m["category_revenue"], "category_order_attributions", F.sum("distinct_delivered_orders")),
-    ])
-    c = F.col
-    wrong = (
-        differs(c("source_orders"), c("item_distinct_orders"))
-        | differs(c("monthly_orders"), c("source_orders"))
-        | differs(c("customer_orders"), c("source_orders"))
-        | differs(c("seller_items"), c("source_items"))
-        | differs(c("category_items"), c("source_items"))
-        | differs(c("seller_order_attributions"), c("expected_seller_attributions"))
-        | differs(c("category_order_attributions"), c("expected_category_attributions"))
-    )
-    return named_values(values, ADDITIVITY).filter(wrong).select(*ADDITIVITY[:9])
+    """(scope, measure, actual, expected): counts of a mart, or of the item fact, that do not add up to their source.
+
+    Orders of a mart by month or customer are the delivered orders. A mart by seller or category has
+    every delivered item, and every order once for each of its sellers or categories.
+    """
+    def value(df: DataFrame, labels: Sequence[tuple[str, str]], column: Column, side: str) -> DataFrame:
+        """One number, as the actual or expected one of each (scope, measure)."""
+        where = F.array(*[F.struct(F.lit(x).alias("scope"), F.lit(y).alias("measure")) for x, y in labels])
+        return df.select(F.inline(where), column.cast("bigint").alias("value")).withColumn("side", F.lit(side))
+
+    def picked(kind: str, column: str) -> Column:
+        return F.when(F.col("kind") == kind, F.col(column))
+
+    sources = m["fct_orders"].filter("is_delivered").agg(F.count("*").alias("n"))
+    pairs = _attributions(m["fct_order_items"], m["dim_product"]).agg(*[
+        F.coalesce(F.max(picked(k, c)), F.lit(0)).alias(f"{k}_{c}") for k in ("order", "seller", "category") for c in ("orders", "items")])
+    counted = pairs.select(F.inline(F.array(*[
+        F.struct(F.lit(x).alias("scope"), F.lit(y).alias("measure"), F.col(c).alias("value"), F.lit(side).alias("side"))
+        for x, y, c, side in (
+            ("items", "orders", "order_orders", "actual"), ("seller", "items", "order_items", "expected"), ("category", "items", "order_items", "expected"),
+            ("seller", "orders", "seller_orders", "expected"), ("category", "orders", "category_orders", "expected"))])))
+    parts = [value(sources, [(x, "orders") for x in ("monthly", "customer", "items")], F.col("n"), "expected"), counted]
+    for scope in ("monthly", "customer"):
+        own = m[f"{scope}_revenue"].agg(F.sum("delivered_orders").alias("n"))
+        parts.append(value(own, [(scope, "orders")], F.col("n"), "actual"))
+    for scope in ("seller", "category"):
+        own = m[f"{scope}_revenue"].agg(F.sum("delivered_item_rows").alias("items"), F.sum("distinct_delivered_orders").alias("orders"))
+        both = F.array(*[F.struct(F.lit(scope).alias("scope"), F.lit(y).alias("measure"), F.col(y).cast("bigint").alias("value"), F.lit("actual").alias("side")) for y in ("items", "orders")])
+        parts.append(own.select(F.inline(both)))
+
+    def side(name: str) -> Column:
+        return F.max(F.when(F.col("side") == name, F.col("value"))).alias(name)
+
+    return union_all(parts).groupBy("scope", "measure").agg(side("actual"), side("expected")).filter(differs(F.col("actual"), F.col("expected")))
 
 
 MART_NAMES = ("monthly", "category", "seller", "customer")
@@ -391,30 +412,38 @@ CONTROL_TOTALS = (
 
 def scd2_control_totals(m: Model) -> DataFrame:
     """One row of totals and violation counters."""
-    dim = m["dim_customer"]
-    per_customer = dim.groupBy("customer_unique_id").agg(
-        F.count("*").alias("n"), F.count_if("is_current").alias("current"),
-    )
-    gaps = version_gaps(dim, "customer_unique_id", "customer_version")
+    c = F.col
+    # The scan over versions carries all columns, so the dimension is read for it alone.
+    checked = version_gaps(m["dim_customer"], "customer_unique_id", "customer_version")
+    sums = {
+        "current_rows": F.when(c("is_current"), 1).otherwise(0),
+        "noninitial_version_rows": F.when(c("customer_version") > 1, 1).otherwise(0),
+        "represented_orders": c("orders_in_version"),
+        "invalid_interval_violations": F.when(c("valid_to") <= c("valid_from"), 1).otherwise(0),
+        "boundary_violations": F.when(c("breaks_adjacency"), 1).otherwise(0),
+    }
+    numbers = [F.lit(1).alias("rows"), c("customer_version").alias("top"), *[v.cast("bigint").alias(n) for n, v in sums.items()]]
+    nothing = [F.lit(0).alias("rows"), F.lit(None).cast("bigint").alias("top"), *[F.lit(0).cast("bigint").alias(n) for n in sums]]
+    # Each version counts with its customer, and once more with its surrogate key.
+    tagged = checked.select(F.inline(F.array(
+        F.struct(F.lit("customer").alias("kind"), c("customer_unique_id").alias("id"), *numbers),
+        F.struct(F.lit("key").alias("kind"), c("customer_sk").alias("id"), *nothing))))
+    grouped = tagged.groupBy("kind", "id").agg(F.sum("rows").alias("rows"), F.max("top").alias("top"), *[F.sum(n).alias(n) for n in sums])
+    person, known = c("kind") == "customer", c("id").isNotNull()
+    of_dimension = grouped.agg(
+        F.sum("rows").alias("dimension_rows"), F.count_if((c("kind") == "key") & known).alias("distinct_customer_sk"),
+        F.count_if(person & known).alias("persistent_customers"), F.max("top").alias("max_customer_version"),
+        F.count_if(person & (c("rows") > 1)).alias("customers_with_multiple_versions"),
+        F.count_if(person & (c("current_rows") != 1)).alias("current_row_violations"), *[F.sum(n).alias(n) for n in sums])
     mapped = match_counts(
         m["orders_enriched"].select("order_id", "customer_unique_id", "order_purchased_at"),
-        dim, "customer_unique_id", "order_purchased_at",
-    ).groupBy("order_id").agg(F.sum("matches").alias("n"))
-    values = union_all([
-        _metric(dim, "dimension_rows", F.count("*")),
-        _metric(dim, "distinct_customer_sk", F.count_distinct("customer_sk")),
-        _metric(dim, "persistent_customers", F.count_distinct("customer_unique_id")),
-        _metric(dim, "current_rows", F.sum(F.when(F.col("is_current"), 1).otherwise(0))),
-        _metric(dim, "noninitial_version_rows", F.sum(F.when(F.col("customer_version") > 1, 1).otherwise(0))),
-        _metric(dim, "max_customer_version", F.max("customer_version")),
-        _metric(dim, "represented_orders", F.sum("orders_in_version")),
-        _metric(per_customer, "customers_with_multiple_versions", F.count_if(F.expr("n > 1"))),
-        _metric(per_customer, "current_row_violations", F.count_if(F.expr("current <> 1"))),
-        _metric(dim, "invalid_interval_violations", F.count_if(F.expr("valid_to <= valid_from"))),
-        _metric(gaps, "boundary_violations", F.count_if("breaks_adjacency")),
-        _metric(mapped, "order_mapping_violations", F.count_if(F.expr("n <> 1"))),
+        m["dim_customer"], "customer_unique_id", "order_purchased_at",
+    ).groupBy("order_id").agg(F.sum("matches").alias("n")).agg(F.count_if(c("n") != 1).alias("order_mapping_violations"))
+    rows = union_all([
+        metric_rows(of_dimension, [n for n in CONTROL_TOTALS if n != "order_mapping_violations"]),
+        metric_rows(mapped, ["order_mapping_violations"]),
     ])
-    return named_values(values, CONTROL_TOTALS)
+    return named_values(rows, CONTROL_TOTALS)
 
 
 def deviates(controls: DataFrame, expected: Mapping[str, object]) -> DataFrame:

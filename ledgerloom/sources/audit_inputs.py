@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..operators.scans import Order, running_sum, scan_in_order
+from ..operators.scans import in_order, scan
 from ..plans.audit import QUALITY_TEST, AuditTables, reconciliation_rows
 from .commerce import ENTITIES, days, seconds
 
@@ -28,12 +28,8 @@ def _text(column: str) -> Column:
 
 def numbered_events(events: DataFrame) -> DataFrame:
     """Events with their attempt number within (user, type)."""
-    keyed = events.withColumns({"__chain": F.concat_ws("|", "user_id", "event_type"), "__one": F.lit(1)})
-
-    def scan(rows: DataFrame, slice_col: str) -> DataFrame:
-        return running_sum(rows, "__chain", ["ts", "event_id"], "__one", "attempt", slice_col)
-
-    return scan_in_order(keyed, Order("ts"), scan).drop("__chain", "__one")
+    keyed = events.withColumn("__chain", F.struct("user_id", "event_type"))
+    return scan(in_order(keyed, "__chain", ["ts", "event_id"]), running={"attempt": F.lit(1)}).drop("__chain")
 
 
 def event_audit(table: Callable[[str], DataFrame]) -> AuditTables:

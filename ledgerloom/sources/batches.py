@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+
+from .store import remove_folder, swap_folder
 
 CREATED = "CREATED"
 IDENTICAL_REPLAY = "IDENTICAL_REPLAY"
@@ -49,20 +52,28 @@ def write_partitioned(df: DataFrame, path: str, ingest_date: str | None = None)
     spread.write.partitionBy("ingest_date", "batch_id").mode("append").parquet(path)
 
 
-def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row (rows, content): independent of row order, file layout and compression."""
+def fingerprint_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[Column]:
+    """Aggregates `rows` and `content`: independent of row order, file layout and compression."""
     names = sorted(columns or df.columns)
     parts = [p for c in names for p in (F.col(c), F.col(c).isNull())]
     digest = F.xxhash64(*parts).cast("decimal(38,0)")
-    return df.agg(
+    return [
         F.count("*").alias("rows"),
         F.coalesce(F.sum(digest), F.lit(0).cast("decimal(38,0)")).cast("decimal(38,0)").alias("content"),
-    )
+    ]
+
+
+def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row (rows, content)."""
+    return df.agg(*fingerprint_columns(df, columns))
+
+
+def _text(values: Mapping[str, object]) -> str:
+    return f"{values['rows']}:{values['content']}"
 
 
-def _value(df: DataFrame) -> str:
-    row = fingerprint(df).first()
-    return f"{row['rows']}:{row['content']}"
+def _stored_value(df: DataFrame, path: str) -> str:
+    return _text(fingerprint(df.sparkSession.read.schema(df.schema).parquet(path)).first().asDict())
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -73,17 +84,23 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def write_batch_once(df: DataFrame, path: str) -> str:
     """Create a batch, or say how it relates to the one already there; never overwrite.
 
-    A batch counts as present once its `_SUCCESS` marker exists: a run that died half-way is
-    written again.
+    The source is computed once: its rows are fingerprinted on their way into a folder beside the
+    batch, which then takes the batch's place or is dropped. A batch counts as present once its
+    `_SUCCESS` marker exists: a run that died half-way is written again.
     """
     spark = df.sparkSession
-    wanted = _value(df)
-    if _exists(spark, f"{path}/_SUCCESS"):
-        present = _value(spark.read.schema(df.schema).parquet(path))
-        return IDENTICAL_REPLAY if present == wanted else CONFLICT
-    df.write.mode("overwrite").parquet(path)
-    written = _value(spark.read.schema(df.schema).parquet(path))
-    return CREATED if written == wanted else MISMATCH
+    staged, seen = f"{path}.tmp-{uuid.uuid4().hex}", Observation()
+    try:
+        df.observe(seen, *fingerprint_columns(df)).write.parquet(staged)
+        wanted = _text(seen.get)
+        if _exists(spark, f"{path}/_SUCCESS"):
+            return IDENTICAL_REPLAY if _stored_value(df, path) == wanted else CONFLICT
+        if _stored_value(df, staged) != wanted:
+            return MISMATCH
+        swap_folder(spark, staged, path)
+        return CREATED
+    finally:
+        remove_folder(spark, staged)
 
 
 def append_events(events: DataFrame, path: str) -> None:

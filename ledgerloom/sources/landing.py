@@ -5,9 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F, types as T
 
-from .store import remove_folder, swap_folder
+from .store import remove_folder, shared_root, swap_folder
 
 # Tokens that mean "missing" in the source files.
 NA_TOKENS = (
@@ -33,51 +33,109 @@ def _present(name: str) -> Column:
     return F.when(~F.col(name).isin(*NA_TOKENS), F.col(name))
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Read CSV text with quoted newlines, missing-value tokens as NULL, and cast to the schema.
+def with_states(rows: DataFrame, window: WindowSpec, outside: Column, inside: Column) -> DataFrame:
+    """Add `before0` and `before1`, the state before each row by what it was before the window's first row."""
+    turns = F.when((outside == 1) & (inside == 0), 1).otherwise(0)
+    upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = rows.withColumn("__turned", F.sum(turns).over(upto))
+    # What a settling row leaves behind, and how often the state was turned until then.
+    left = F.when(outside == inside, F.struct(outside.alias("state"), F.col("__turned").alias("turned")))
+    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+    known = counted.withColumn("__left", left).withColumns({
+        "__settled": F.last("__left", ignorenulls=True).over(earlier), "__before": F.coalesce(F.lag("__turned").over(window), F.lit(0))})
+    fixed = F.col("__settled")
+    return known.withColumns({
+        f"before{s}": F.when(fixed.isNull(), (F.lit(s) + F.col("__before")) % 2)
+        .otherwise((fixed["state"] + F.col("__before") - fixed["turned"]) % 2).cast("int")
+        for s in (0, 1)
+    }).drop("__turned", "__left", "__settled", "__before")
+
+
+def _leaves_open(line: Column) -> Column:
+    """1 if a value is opened by a quote at its start and not closed, in a line that begins outside of values."""
+    return F.regexp_replace(line, '(^|,)"[^"]*"', "$1").rlike('(^|,)"').cast("int")
 
-    The header must name exactly the schema's columns.
+
+def scan_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of CSV files, written down: place, text and what is needed to tell where records begin.
+
+    Files are read in blocks of the usual size. A line is judged for both cases, a quoted value being
+    open before its block or not; `n0` and `n1` number the records that begin in the block in either case.
     """
-    fields = T.StructType.fromDDL(schema).fields
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
-    raw = spark.read.csv(
-        path, schema=text, header=True, enforceSchema=False, multiLine=True, escape='"',
-        mode="FAILFAST", encoding="UTF-8",
-    )
-    return raw.select(
-        *[_present(f.name).cast(f.dataType).alias(f.name) for f in fields],
-        F.col("_metadata.file_name").alias("_source_file"),
-        F.col("_metadata.file_path").alias("__path"),
-        F.col("_metadata.file_block_start").alias("__block"),
-    )
+    text = spark.read.option("lineSep", "\n").text(path)
+    place = text.metadataColumn("_metadata")
+    # Two quotes in a row change nothing: they are one within a value, or a value of their own.
+    plain = F.replace(F.col("value"), F.lit('""'), F.lit(""))
+    rest = F.substring(plain, F.locate('"', plain) + 1, F.length(plain))
+    lines = text.select(
+        F.col("value"), place["file_path"].alias("path"), place["file_name"].alias("file"), place["file_block_start"].alias("block"),
+        F.monotonically_increasing_id().alias("line"), _leaves_open(plain).alias("outside"),
+        F.when(plain.contains('"'), _leaves_open(F.concat(F.lit("x"), rest))).otherwise(1).alias("inside"))
+    along = Window.partitionBy("path", "block").orderBy("line")
+    judged = with_states(lines, along, F.col("outside"), F.col("inside"))
+    upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # A blank line between records is none.
+    filled = ~F.col("value").isin("", "\r")
+    return_to = f"{shared_root(spark)}/lines-{uuid.uuid4().hex}"
+    numbered = judged.withColumns({f"n{s}": F.sum(((F.col(f"before{s}") == 0) & filled).cast("bigint")).over(upto) for s in (0, 1)})
+    numbered.write.parquet(return_to)
+    return spark.read.schema(numbered.schema).parquet(return_to)
+
+
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """(path, file, number, record): the records of CSV files, numbered from 1 in each file.
+
+    Large files are read by many tasks; only records of several lines are put together by a shuffle.
+    A file that ends within a quoted value is an error.
+    """
+    lines = scan_lines(spark, path)
+    after = [F.when(F.col(f"before{s}") == 0, F.col("outside")).otherwise(F.col("inside")) for s in (0, 1)]
+    blocks = lines.groupBy("path", "block").agg(
+        *[F.max_by(after[s], "line").alias(f"after{s}") for s in (0, 1)], *[F.max(f"n{s}").alias(f"c{s}") for s in (0, 1)])
+    along = Window.partitionBy("path").orderBy("block")
+    entered = with_states(blocks, along, F.col("after0"), F.col("after1")).withColumnRenamed("before0", "open").drop("before1")
+    chosen = F.when(F.col("open") == 0, F.col("c0")).otherwise(F.col("c1"))
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    last = F.lead("block").over(along).isNull() & (F.when(F.col("open") == 0, F.col("after0")).otherwise(F.col("after1")) == 1)
+    placed = entered.select(
+        F.col("path").alias("__p"), F.col("block").alias("__b"), "open", F.coalesce(F.sum(chosen).over(earlier), F.lit(0)).alias("first"),
+        last.alias("torn")).withColumn("open", F.when(F.col("torn"), F.raise_error(F.concat(F.lit("A quoted value is not closed in "), F.col("__p"))).cast("int")).otherwise(F.col("open")))
+    known = lines.join(placed, (F.col("path") == F.col("__p")) & (F.col("block") == F.col("__b")))
+    inside = F.when(F.col("open") == 0, F.col("before0")).otherwise(F.col("before1"))
+    number = F.col("first") + F.when(F.col("open") == 0, F.col("n0")).otherwise(F.col("n1"))
+    judged = known.select("path", "file", "block", "line", "value", inside.alias("in"), number.alias("number"), F.when(inside == 0, F.col("outside")).otherwise(F.col("inside")).alias("out"))
+    judged = judged.filter((F.col("in") == 1) | ~F.col("value").isin("", "\r"))
+    whole = (F.col("in") == 0) & (F.col("out") == 0)
+    parts = judged.filter(~whole).groupBy("path", "file", "number").agg(F.sort_array(F.collect_list(F.struct("block", "line", "value"))).alias("parts"))
+    joined = parts.select("path", "file", "number", F.array_join(F.transform("parts", lambda p: p["value"]), "\n").alias("record"))
+    records = judged.filter(whole).select("path", "file", "number", F.col("value").alias("record")).unionByName(joined)
+    return records.withColumn("record", F.regexp_replace("record", "\r$", ""))
 
 
-def number_rows(rows: DataFrame) -> DataFrame:
-    """Add the 1-based `_file_row_number` without gathering a file in one task.
+def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Read CSV text with quoted newlines, missing-value tokens as NULL, and cast to the schema.
 
-    Each task numbers its own rows; a summary per file block gives what comes before it.
+    The header must name exactly the schema's columns. Adds `_source_file` and `_file_row_number`, which
+    counts the file's rows from 1 on.
     """
-    numbered = rows.withColumn("__id", F.monotonically_increasing_id())
-    blocks = numbered.groupBy("__path", "__block").agg(
-        F.min("__id").alias("__first"), F.count("*").alias("__n")
-    )
-    earlier = Window.partitionBy("__path").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select(
-        F.col("__path").alias("__p"), F.col("__block").alias("__b"), "__first",
-        F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"),
-    )
-    same = (F.col("__path") == F.col("__p")) & (F.col("__block") == F.col("__b"))
-    position = F.col("__id") - F.col("__first") + F.col("__before") + 1
-    return numbered.join(offsets, same).withColumn("_file_row_number", position.cast("bigint")).drop(
-        "__id", "__path", "__block", "__p", "__b", "__first", "__before"
-    )
+    fields = T.StructType.fromDDL(schema).fields
+    text = ", ".join(f"`{f.name}` string" for f in fields)
+    parsed = F.from_csv(F.regexp_replace("record", "^\ufeff", ""), text, {"escape": '"', "mode": "FAILFAST"})
+    rows = csv_records(spark, path).withColumn("row", parsed)
+    named = F.lit(True)
+    for f in fields:
+        named = named & F.col("row")[f.name].eqNullSafe(F.lit(f.name))
+    wrong = F.raise_error(F.concat(F.lit("The header does not fit the schema: "), F.col("record"))).cast("boolean")
+    body = rows.filter(F.when(F.col("number") > 1, True).when(named, False).otherwise(wrong))
+    values = body.select(*[F.col("row")[f.name].alias(f.name) for f in fields], F.col("file").alias("_source_file"), (F.col("number") - 1).alias("_file_row_number"))
+    return values.select(*[_present(f.name).cast(f.dataType).alias(f.name) for f in fields], "_source_file", "_file_row_number")
 
 
 def land(spark: SparkSession, path: str, schema: str, batch_id: str, loaded_at: str) -> DataFrame:
     """Landed rows of one entity with the four lineage columns."""
-    numbered = number_rows(read_csv(spark, path, schema))
+    rows = read_csv(spark, path, schema)
     columns = [f.name for f in T.StructType.fromDDL(schema).fields]
-    return numbered.select(
+    return rows.select(
         *columns, "_source_file", "_file_row_number",
         F.lit(loaded_at).cast("timestamp").alias("_loaded_at"), F.lit(batch_id).alias("_batch_id"),
     )

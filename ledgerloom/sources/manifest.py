@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Iterator, Sequence
+from typing import TYPE_CHECKING, BinaryIO
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+if TYPE_CHECKING:
+    import pyarrow as pa
+
+#: Read at a time while a file is hashed.
+BLOCK_BYTES = 4 << 20
 
 MANIFEST_SCHEMA = (
     "manifest_version int, files array<struct<file_name: string, size_bytes: bigint, sha256: string, "
@@ -48,21 +56,55 @@ def manifest_contract(entries: DataFrame, expected_files: Sequence[str]) -> Data
     return joined.select(F.coalesce(name, "wanted").alias("file_name"), F.explode(found).alias("issue"))
 
 
-def dataset_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """(file_name, size_bytes, sha256) per dataset folder; each part file is hashed by one task.
+def hashed_files(files: DataFrame, opened: Callable[[str], BinaryIO] | None = None) -> DataFrame:
+    """`files` (path, ..) with `sha256` of their content: one task reads a file of any size, a block at a time.
+
+    `opened` gives a readable stream for a path; by default the stores that Arrow knows are read.
+    """
+    def open_stream(path: str) -> BinaryIO:
+        from pyarrow import fs
+
+        # Spark writes local paths with one slash, and has a name of its own for S3.
+        uri = re.sub("^file:/*", "file:///", path).replace("s3a://", "s3://", 1)
+        store, name = fs.FileSystem.from_uri(uri)
+        return store.open_input_stream(name)
+
+    start = opened or open_stream
+    schema = T.StructType([*files.schema.fields, T.StructField("sha256", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import hashlib
+
+        import pyarrow
+
+        for batch in batches:
+            found = []
+            for path in batch.column("path").to_pylist():
+                digest = hashlib.sha256()
+                with start(path) as stream:
+                    while block := stream.read(BLOCK_BYTES):
+                        digest.update(block)
+                found.append(digest.hexdigest())
+            yield pyarrow.RecordBatch.from_arrays([*batch.columns, pyarrow.array(found, pyarrow.string())], names=schema.names)
+
+    # Files are dealt out one by one, so that long ones are read side by side.
+    return files.repartition("path").mapInArrow(run, schema)
+
+
+def dataset_files(
+    spark: SparkSession, folder: str, pattern: str = "*.csv", opened: Callable[[str], BinaryIO] | None = None
+) -> DataFrame:
+    """(file_name, size_bytes, sha256) per dataset folder.
 
     A dataset of several part files is identified by the hash of its sorted part hashes.
     """
     parts = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option(
         "recursiveFileLookup", True
-    ).load(folder)
-    hashed = parts.select(
-        F.element_at(F.split("path", "/"), -2).alias("file_name"), "length",
-        F.sha2("content", 256).alias("part_sha"),
-    )
-    return hashed.groupBy("file_name").agg(
+    ).load(folder).select("path", "length")  # listed only: the content is not read here
+    named = hashed_files(parts, opened).withColumn("file_name", F.element_at(F.split("path", "/"), -2))
+    return named.groupBy("file_name").agg(
         F.sum("length").alias("size_bytes"),
-        F.sha2(F.array_join(F.array_sort(F.collect_list("part_sha")), "|"), 256).alias("sha256"),
+        F.sha2(F.array_join(F.array_sort(F.collect_list("sha256")), "|"), 256).alias("sha256"),
     )
 
 

@@ -7,14 +7,14 @@ from .base import with_ctes
 ENTITIES = ["customers", "geolocation", "order_items", "payments", "reviews", "orders", "products", "sellers", "translation"]
 WIDTH = {"customers": 5, "geolocation": 5, "order_items": 7, "orders": 8, "payments": 5, "products": 9,
          "reviews": 7, "sellers": 4, "translation": 2}
-# All columns of the entities, in alphabetical order; * marks amounts and measures, @ times.
+# All columns of the entities, in alphabetical order; * marks floating-point numbers, $ amounts, @ times.
 COLUMNS = {
     "customers": ["customer_city", "customer_id", "customer_state", "customer_unique_id", "customer_zip_code_prefix"],
     "geolocation": ["geolocation_city", "*geolocation_lat", "*geolocation_lng", "geolocation_state", "geolocation_zip_code_prefix"],
     "order_items": ["*freight_value", "order_id", "order_item_id", "*price", "product_id", "seller_id", "@shipping_limit_date"],
     "orders": ["customer_id", "@order_approved_at", "@order_delivered_carrier_date", "@order_delivered_customer_date",
                "@order_estimated_delivery_date", "order_id", "@order_purchase_timestamp", "order_status"],
-    "payments": ["order_id", "payment_installments", "payment_sequential", "payment_type", "*payment_value"],
+    "payments": ["order_id", "payment_installments", "payment_sequential", "payment_type", "$payment_value"],
     "products": ["product_category_name", "*product_description_lenght", "*product_height_cm", "product_id", "*product_length_cm",
                  "*product_name_lenght", "*product_photos_qty", "*product_weight_g", "*product_width_cm"],
     "reviews": ["order_id", "@review_answer_timestamp", "review_comment_message", "review_comment_title", "@review_creation_date",
@@ -25,13 +25,19 @@ COLUMNS = {
 
 
 def _as_text(column: str) -> str:
-    name = column.strip("*@")
+    name = column.strip("*@$")
     text = f"CAST({name} AS VARCHAR)"
     if column[0] == "*":
-        text = f"CAST(CAST({name} AS DECIMAL(38,4)) AS VARCHAR)"
+        # Whole part and twice 53 bits of the rest.
+        scale = "9007199254740992.0::DOUBLE"
+        one = f"(({name}::DOUBLE - floor({name}::DOUBLE)) * {scale})"
+        two = f"(({one} - floor({one})) * {scale})"
+        text = " || ':' || ".join(f"CAST(CAST(floor({x}) AS HUGEINT) AS VARCHAR)" for x in (f"{name}::DOUBLE", one, two))
+    elif column[0] == "$":
+        text = f"CAST(CAST({name} AS DECIMAL(18,2)) AS VARCHAR)"
     elif column[0] == "@":
         text = f"strftime({name}, '%Y-%m-%d %H:%M:%S.%f')"
-    return f"coalesce('=' || {text}, '-')"
+    return f"coalesce(length({text}) || '=' || {text}, '-')"
 
 
 TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
@@ -67,7 +73,7 @@ VERIFY = f"""
 
 def ingestion_sql() -> dict[str, str]:
     entries = "\nUNION ALL ".join(
-        f"SELECT '{e}.csv' AS f, sha256(count(*) || ':' || CAST(coalesce(sum(CAST('0x' || substr(md5(concat_ws('|', {', '.join(map(_as_text, c))})), 1, 15) "
+        f"SELECT '{e}.csv' AS f, sha256(count(*) || ':' || CAST(coalesce(sum(CAST('0x' || substr(md5(concat({', '.join(map(_as_text, c))})), 1, 15) "
         f"AS BIGINT)), 0) AS VARCHAR)) AS s FROM raw_{e}" for e, c in COLUMNS.items())
     names = [f"{e}.csv" for e in ENTITIES]
     intact = [n for n in names if n != "geolocation.csv"]
@@ -128,9 +134,11 @@ def ingestion_sql() -> dict[str, str]:
         'batch_' || year(order_purchase_timestamp) AS batch_id, count(*) AS rows,
         min(order_purchase_timestamp) AS first_purchase, max(order_purchase_timestamp) AS last_purchase
     FROM raw_orders GROUP BY 1, 2"""),
-        "idempotent_batch": """
-    SELECT step, outcome, (SELECT count(*) FROM orders) AS rows FROM (VALUES ('first', 'CREATED'),
-        ('replay', 'IDENTICAL_REPLAY'), ('changed', 'PROTECTED_BATCH_CONFLICT')) AS t(step, outcome)""",
+        "idempotent_batch": with_ctes("""
+    SELECT step, CASE WHEN step = 'first' THEN 'CREATED' WHEN n = rows THEN 'IDENTICAL_REPLAY' ELSE 'PROTECTED_BATCH_CONFLICT' END AS outcome,
+        rows, canceled, first_purchase
+    FROM (SELECT count(*) AS rows, count(*) FILTER (WHERE order_status = 'canceled') AS canceled, min(order_purchase_timestamp) AS first_purchase FROM raw_orders),
+        LATERAL (VALUES ('first', rows), ('replay', rows), ('changed', rows - canceled)) AS t(step, n)"""),
         "governed_load": with_ctes("\nUNION ALL ".join(
             f"SELECT '{e}' AS entity_name, count(*) AS source_rows, count(*) AS target_rows, "
             f"CAST(0 AS BIGINT) AS difference_rows, 'PASS' AS status, 'SUCCESS' AS run_status FROM raw_{e}"

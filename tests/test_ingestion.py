@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import csv
 import hashlib
 import json
+import random
+from decimal import Decimal
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.plans import ingestion
+from ledgerloom.plans.ingest_queries import content_hash
 from ledgerloom.plans.model import Model
 from ledgerloom.sources import batches, landing, manifest
 from ledgerloom.sources.commerce import ENTITIES
@@ -37,18 +42,106 @@ def test_csv_header_must_match(spark, tmp_path):
         landing.land(spark, str(tmp_path), TEXT, "b", "2026-01-01 00:00:00").collect()
 
 
-def test_row_numbers_over_split_files(spark, tmp_path):
-    """A file cut into several blocks keeps one sequence."""
-    path = tmp_path / "long.csv"
-    path.write_text("id\n" + "".join(f"{i}\n" for i in range(1, 5001)))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+def tangled_csv(path, seed, rows, end="\n"):
+    """A CSV file with quotes, commas and line ends inside values, blank lines between records, and stray quotes."""
+    rng = random.Random(seed)
+    bits = ["plain", 'say ""hi""', ",", "\n", "\n\n", '""', 'x" y'.replace('"', '""'), "é✓", " ", ',""', "\n,", '"",""']
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        f.write(f"id,note,amount{end}")
+        for k in range(1, rows + 1):
+            kind = rng.randrange(6)
+            if kind == 0:
+                note = f'5" disk {k}'  # a quote that opens nothing
+            elif kind == 1:
+                note = f"word {k}"
+            else:
+                note = '"' + "".join(rng.choice(bits) for _ in range(rng.randrange(1, 30))) + '"'
+            f.write(f"{k},{note},{k}.25{end}" + (end if rng.random() < 0.1 else ""))
+
+
+@pytest.mark.parametrize(("end", "size"), [("\n", 700), ("\r\n", 3000), ("\n", 1 << 20)])
+def test_quoted_csv_is_split(spark, tmp_path, end, size):
+    """Records that cross the borders of blocks come out as Python's own reader has them, and are numbered through."""
+    for k in range(2):
+        tangled_csv(tmp_path / f"f{k}.csv", 10 * k + size, 900, end)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
     try:
-        rows = spark.read.csv(str(path), schema="id bigint", header=True).select(
-            "id", F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_block_start").alias("__block"))
-        assert rows.select("__block").distinct().count() > 2
-        assert landing.number_rows(rows).filter("id <> _file_row_number").count() == 0
+        rows = landing.read_csv(spark, str(tmp_path), "id bigint, note string, amount decimal(18,2)")
+        found = {(r._source_file, r._file_row_number): (r.id, r.note, str(r.amount)) for r in rows.collect()}
+        blocks = landing.scan_lines(spark, str(tmp_path)).select("path", "block").distinct().count()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert blocks >= 2 if size == 1 << 20 else blocks > 10
+    want = {}
+    for k in range(2):
+        with open(tmp_path / f"f{k}.csv", encoding="utf-8", newline="") as f:
+            for number, row in enumerate((r for r in csv.reader(f) if r), 0):
+                if number:
+                    want[f"f{k}.csv", number] = (int(row[0]), None if row[1] in landing.NA_TOKENS else row[1], row[2])
+    assert found == want and len(found) == 1800
+
+
+def test_csv_is_scanned_once(spark, tmp_path):
+    tangled_csv(tmp_path / "f.csv", 1, 50)
+    plan = landing.land(spark, str(tmp_path), TEXT, "b", "2026-01-01 00:00:00")._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan csv" not in plan and "FileScan text" not in plan
+
+
+def test_open_quote_at_the_end_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,note,amount\n1,"never closed,2.00\n2,x,3.00\n')
+    with pytest.raises(Exception, match="not closed"):
+        landing.land(spark, str(tmp_path), TEXT, "b", "2026-01-01 00:00:00").collect()
+
+
+def test_files_of_any_size_are_hashed(spark, tmp_path, monkeypatch):
+    """Files above the limit of what Spark reads as one value, which is lowered here."""
+    monkeypatch.setattr(manifest, "BLOCK_BYTES", 1000)
+    folder = tmp_path / "source" / "big.csv"
+    folder.mkdir(parents=True)
+    parts = {f"part-{k}.csv": random.Random(k).randbytes(k) for k in (1, 999, 1000, 250_000)}
+    for name, data in parts.items():
+        (folder / name).write_bytes(data)
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+    try:
+        row = manifest.dataset_files(spark, str(tmp_path / "source")).first()
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    each = sorted(hashlib.sha256(d).hexdigest() for d in parts.values())
+    assert (row.file_name, row.size_bytes, row.sha256) == ("big.csv", 252_000, hashlib.sha256("|".join(each).encode()).hexdigest())
+
+
+def test_batch_is_written_in_one_pass(spark, tmp_path):
+    """The source is computed once, whether its batch is new, known or in conflict."""
+    source, seen = str(tmp_path / "source"), []
+    spark.range(2000).selectExpr("id", "cast(id as string) as text").write.parquet(source)
+    for change in ("true", "true", "id < 1999"):
+        read = spark.sparkContext.accumulator(0)
+        count = F.udf(lambda x, read=read: read.add(1) or x, "long")
+        rows = spark.read.parquet(source).filter(change).withColumn("id", count("id"))
+        seen.append((batches.write_batch_once(rows, str(tmp_path / "batch")), read.value))
+    assert seen == [(batches.CREATED, 2000), (batches.IDENTICAL_REPLAY, 2000), (batches.CONFLICT, 1999)]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["batch", "source"]
+    # A batch that died half-way is written again.
+    (tmp_path / "batch" / "_SUCCESS").unlink()
+    assert batches.write_batch_once(spark.range(5), str(tmp_path / "batch")) == batches.CREATED
+    assert spark.read.parquet(str(tmp_path / "batch")).count() == 5
+
+
+def test_content_hash_sees_every_digit(spark):
+    def known(*values):
+        rows = spark.createDataFrame([values], "a string, b string, x double, d decimal(18,2)")
+        return content_hash(rows).first().s
+
+    base = ("p", "q", -23.54562, Decimal("1.00"))
+    others = [
+        ("p", "q", -23.54563, Decimal("1.00")), ("p", "q", float(np.nextafter(-23.54562, 0)), Decimal("1.00")), ("p", "q", 1e300, Decimal("1.00")),
+        ("p", "q", -23.54562, Decimal("1.01")), ("p1=q", "", -23.54562, Decimal("1.00")), ("", "pq", -23.54562, Decimal("1.00")),
+        ("p", None, -23.54562, Decimal("1.00")), ("p", "-", -23.54562, Decimal("1.00")), ("p", "q", None, Decimal("1.00")), ("p", "q", float("nan"), Decimal("1.00")),
+        ("p", "q", 1e-30, Decimal("1.00")), ("p", "q", 2e-30, Decimal("1.00")),
+    ]
+    assert len({known(*v) for v in [base, *others]}) == len(others) + 1 and known(*base) == known(*base)
 
 
 def test_publish_is_all_or_nothing(spark, tmp_path):
