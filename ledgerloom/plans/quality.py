@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.values import differs, total
 from ..operators.compare import (
     any_differs, count_metric, field_recon, full_outer, mismatched_groups, named_values,
-    spine_check, symmetric_diff, union_all,
+    metric_rows, spine_check, symmetric_diff, union_all,
 )
 from ..operators.history import match_counts, version_gaps
 from .marts import (
