@@ -9,10 +9,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from .scans import KEY, POSITION, ROWS, SLICE, before, in_order, scan, with_carry
 
 
-def sessions(
-    df: DataFrame, key: str, at: str, tiebreak: str, attributes: Sequence[str], rows: int = ROWS
-) -> DataFrame:
-    """Every observation with `starts_new_version` and its running `version` number.
+def _numbered(df: DataFrame, key: str, at: str, tiebreak: str, attributes: Sequence[str], rows: int) -> DataFrame:
+    """Every observation with `starts_new_version`, `version` and `__last`, the attributes of the key's row before.
 
     Within a slice a row's attributes are compared with those of the row before. A slice of a longer key
     hands over its first and last attributes and its number of changes; from these follow, over the
@@ -40,15 +38,23 @@ def sessions(
     ]
 
     def carry(slices: DataFrame, across: WindowSpec) -> DataFrame:
-        linked = slices.withColumn("before", F.lag("tail").over(across))
-        opened = linked.withColumn("__opens", F.when(F.col("before").isNull() | differs(F.col("head"), F.col("before")), 1).otherwise(0))
-        return opened.select(KEY, SLICE, "__opens", F.sum(F.col("inner") + F.col("__opens")).over(before(across)).alias("__earlier"))
+        linked = slices.withColumn("__tail", F.lag("tail").over(across))
+        opened = linked.withColumn("__opens", F.when(F.col("__tail").isNull() | differs(F.col("head"), F.col("__tail")), 1).otherwise(0))
+        return opened.select(KEY, SLICE, "__opens", "__tail", F.sum(F.col("inner") + F.col("__opens")).over(before(across)).alias("__earlier"))
 
     carried = with_carry(ordered, local, summary, carry)
     opens = F.coalesce("__opens", F.lit(1))
     return carried.select(
         key, at, tiebreak, *attributes, F.when(F.col("__first"), opens).otherwise(F.col("__changed")).alias("starts_new_version"),
-        (F.coalesce("__earlier", F.lit(0)) + opens + F.col("__changes")).cast("bigint").alias("version"))
+        (F.coalesce("__earlier", F.lit(0)) + opens + F.col("__changes")).cast("bigint").alias("version"),
+        F.coalesce("__previous", "__tail").alias("__last"))
+
+
+def sessions(
+    df: DataFrame, key: str, at: str, tiebreak: str, attributes: Sequence[str], rows: int = ROWS
+) -> DataFrame:
+    """Every observation with `starts_new_version` and its running `version` number."""
+    return _numbered(df, key, at, tiebreak, attributes, rows).drop("__last")
 
 
 def version_history(
@@ -56,22 +62,19 @@ def version_history(
 ) -> DataFrame:
     """One row per run of equal attributes: half-open [valid_from, valid_to) and row count.
 
-    Returning to an earlier state opens a new version. Attributes are constant inside a version,
-    so they are grouping columns and the rollup stays a hash aggregate.
+    Returning to an earlier state opens a new version. Attributes are constant inside a version, so
+    they are grouping columns. The first row of a version also counts, as its end, with the version before:
+    one hash aggregate gives starts and ends.
     """
-    numbered = sessions(df, key, at, tiebreak, attributes, rows)
-    versions = numbered.groupBy(key, "version", *attributes).agg(
-        F.min(at).alias("valid_from"), F.count("*").alias("observations")
-    )
-    # The start of the next version is this one's end: each version tells its predecessor.
-    names = [*attributes, "valid_from", "observations"]
-    own = F.struct("version", *names, F.lit(None).cast(versions.schema["valid_from"].dataType).alias("valid_to"))
-    told = F.struct(
-        (F.col("version") - 1).alias("version"), *[F.lit(None).cast(versions.schema[n].dataType).alias(n) for n in names], F.col("valid_from").alias("valid_to"))
-    both = versions.select(key, F.inline(F.array(own, told)))
-    # At most one of the rows of a version has each value, or has the same.
-    joined = both.groupBy(key, "version").agg(*[F.max(n).alias(n) for n in (*names, "valid_to")])
-    return joined.filter("version > 0")
+    numbered = _numbered(df, key, at, tiebreak, attributes, rows)
+    none = F.lit(None).cast(df.schema[at].dataType)
+    own = F.struct("version", *attributes, F.col(at).alias("at"), none.alias("end"), F.lit(1).alias("n"))
+    ended = F.struct(
+        (F.col("version") - 1).alias("version"), *[F.col("__last")[a].alias(a) for a in attributes], none.alias("at"), F.col(at).alias("end"), F.lit(0).alias("n"))
+    begins = (F.col("starts_new_version") == 1) & (F.col("version") > 1)
+    told = numbered.select(key, F.inline(F.when(begins, F.array(own, ended)).otherwise(F.array(own))))
+    return told.groupBy(key, "version", *attributes).agg(
+        F.min("at").alias("valid_from"), F.sum("n").alias("observations"), F.max("end").alias("valid_to"))
 
 
 def version_gaps(dim: DataFrame, key: str, version: str, rows: int = ROWS) -> DataFrame:

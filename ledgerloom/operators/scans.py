@@ -55,7 +55,7 @@ def in_order(df: DataFrame, key: str, order: Sequence[str], rows: int = ROWS) ->
     placed = read.select(
         *df.columns, F.struct(F.col(key).alias("key")).alias(KEY), (first + F.floor(place["row_index"] / rows)).alias(SLICE),
         (first + place["row_index"]).alias(POSITION), (place["row_index"] % rows == 0).alias("__begins"))
-    placed.filter("__begins").select(KEY).distinct().write.parquet(f"{base}/shared")
+    placed.filter("__begins").select(KEY).write.parquet(f"{base}/shared")
     shared = spark.read.schema(placed.select(KEY).schema).parquet(f"{base}/shared")
     return Ordered(placed.drop("__begins"), shared)
 

@@ -12,7 +12,8 @@ from ..functions.values import differs, is_true, rate, require_exact_money, tota
 from ..operators.compare import (
     aggregate_metrics, count_metric, full_outer, metric_rows, mismatched_groups, spine_check, union_all,
 )
-from ..operators.history import inside, interval_usage, match_counts, version_gaps
+from ..operators.history import inside, version_gaps
+from ..operators.scans import in_order, scan
 from .marts import CATEGORY, category_totals, monthly_revenue, seller_totals, surrogate_key
 from .model import Model
 from .quality import ITEM_MEASURES, ORDER_MEASURES, against_orders, customer_expected, mart_totals
@@ -23,59 +24,99 @@ def issues(metrics: DataFrame) -> DataFrame:
     return metrics.filter("value <> 0")
 
 
+def _history_events(dim: DataFrame, orders: DataFrame, facts: DataFrame) -> DataFrame:
+    """Starts and ends of versions, orders and facts as rows of one table, to be read in time order.
+
+    `step` opens or closes an interval, `keyed` only one with a surrogate key; `sign` takes the orders
+    before a start away and adds those before an end. A version that can contain nothing has a start of no effect.
+    """
+    c, at = F.col, "timestamp_ntz"
+    proper = F.coalesce(
+        c("customer_unique_id").isNotNull() & c("valid_from").isNotNull() & (c("valid_to").isNull() | (c("valid_to") > c("valid_from"))), F.lit(False))
+    key = c("customer_sk")
+
+    def mark(kind: str, moment: str, counts: Column, sign: int) -> Column:
+        step = F.when(counts, -sign).otherwise(0)
+        return F.struct(
+            F.lit(kind).alias("kind"), c(moment).cast(at).alias("at"), F.lit(0).alias("side"), F.lit(None).cast("string").alias("order_id"), key.alias("customer_sk"),
+            step.alias("step"), F.when(key.isNotNull(), step).otherwise(0).alias("keyed"), F.when(proper, sign).otherwise(0).alias("sign"), F.lit(0).alias("point"),
+            "valid_from", "valid_to", c("orders_in_version").alias("declared"))
+
+    marks = F.when(proper, F.array(mark("start", "valid_from", proper, -1), mark("end", "valid_to", c("valid_to").isNotNull(), 1))).otherwise(
+        F.array(mark("start", "valid_from", proper, -1)))
+    versions = dim.select("customer_unique_id", F.inline(marks))
+
+    def points(df: DataFrame, kind: str, sk: Column, point: int) -> DataFrame:
+        rest = {n: F.lit(None).cast(versions.schema[n].dataType).alias(n) for n in ("valid_from", "valid_to", "declared")}
+        return df.select(
+            "customer_unique_id", F.lit(kind).alias("kind"), c("order_purchased_at").cast(at).alias("at"), F.lit(1).alias("side"), "order_id", sk.alias("customer_sk"),
+            *[F.lit(0).alias(n) for n in ("step", "keyed", "sign")], F.lit(point).alias("point"), *rest.values())
+
+    return versions.unionByName(points(orders, "order", F.lit(None).cast("string"), 1)).unionByName(points(facts, "fact", key, 0))
+
+
 def scd2_suite(m: Model) -> DataFrame:
-    """Interval, version, surrogate-key and assignment metrics of the customer history."""
-    dim, enriched, facts = m["dim_customer"], m["orders_enriched"], m["fct_orders"]
+    """Interval, version, surrogate-key and assignment metrics of the customer history.
+
+    Versions, orders and facts go through one ordered scan; everything else is read from what it has written.
+    """
     c = F.col
     missing = F.lit(False)
     for name in ("customer_unique_id", "customer_sk", "customer_version", "valid_from", "is_current"):
         missing = missing | c(name).isNull()
     expected_sk = surrogate_key(c("customer_unique_id"), c("customer_version"))
-    of_dimension = aggregate_metrics(dim, {
+    of_dimension = aggregate_metrics(version_gaps(m["dim_customer"], "customer_unique_id", "customer_version"), {
         "null_required_fields": F.count_if(missing),
         "duplicate_surrogate_keys": F.count("*") - F.count_distinct("customer_sk"),
         "nonpositive_versions": F.count_if(c("customer_version") < 1),
         "invalid_intervals": F.count_if(c("valid_to") <= c("valid_from")),
         "current_flag_mismatches": F.count_if(differs(c("is_current"), c("valid_to").isNull())),
         "surrogate_key_mismatches": F.count_if(differs(c("customer_sk"), expected_sk)),
-    }, "dimension.")
-    of_sequence = aggregate_metrics(version_gaps(dim, "customer_unique_id", "customer_version"), {
         "nonsequential_versions": F.count_if(c("customer_version") != c("expected_version")),
         "interval_adjacency_mismatches": F.count_if(c("breaks_adjacency")),
     }, "dimension.")
-    orders = enriched.select("order_id", "customer_unique_id", "order_purchased_at")
-    at = ("customer_unique_id", "order_purchased_at")
-    used = interval_usage(orders, dim, *at, "customer_sk").withColumnRenamed("customer_sk", "u_sk")
-    recounted = dim.join(used, c("customer_sk") == c("u_sk"), "left")
-    of_usage = aggregate_metrics(recounted, {
-        "version_order_count_mismatches": F.count_if(
-            differs(c("orders_in_version"), F.coalesce(c("uses"), F.lit(0)))
-        ),
-    }, "dimension.")
-    keyed = dim.filter(c("customer_sk").isNotNull())
-    per_order = match_counts(orders, keyed, *at).groupBy("order_id").agg(F.sum("matches").alias("n"))
-    of_matches = aggregate_metrics(
-        per_order, {"missing_or_multiple_historical_matches": F.count_if(c("n") != 1)}, "fact."
+    ordered = in_order(_history_events(m["dim_customer"], m["orders_enriched"], m["fct_orders"]), "customer_unique_id", ["at", "side"])
+    placed = c("customer_unique_id").isNotNull() & c("at").isNotNull()
+    # Intervals around each point, and orders before each start or end.
+    value = (
+        F.when(c("kind") == "order", F.when(placed, c("open_keyed")).otherwise(0))
+        .when(c("kind") == "fact", F.when(placed, c("open")).otherwise(0)).otherwise(c("sign") * c("orders"))
     )
+    counted = scan(ordered, running={"open": c("step"), "open_keyed": c("keyed"), "orders": F.when(placed, c("point")).otherwise(0)})
+    about = F.when(c("kind").isin("start", "end"), "version").otherwise(c("kind"))
+    ident = F.when(about == "version", c("customer_sk")).when(about == "order", c("order_id"))
+    per_value = counted.groupBy(about.alias("about"), ident.alias("ident"), "declared").agg(
+        F.sum(value).alias("n"), F.count_if(c("kind") == "start").alias("versions"))
+    # Versions of one key can declare different numbers: each number comes with how many versions declare it.
+    per_ident = per_value.groupBy("about", "ident").agg(
+        F.sum("n").alias("n"), F.collect_list(F.when(c("versions") > 0, F.struct("declared", "versions"))).alias("declared"))
+    uses = F.when(c("ident").isNotNull(), c("n")).otherwise(0)
+    wrong = F.aggregate("declared", F.lit(0).cast("bigint"), lambda sum_, d: sum_ + F.when(d["declared"].eqNullSafe(uses), 0).otherwise(d["versions"]))
+    of_scan = per_ident.agg(
+        F.sum(F.when(c("about") == "version", wrong).otherwise(0)).alias("version_order_count_mismatches"),
+        F.count_if((c("about") == "order") & (c("n") != 1)).alias("missing_or_multiple_historical_matches"),
+        F.sum(F.when(c("about") == "fact", c("n")).otherwise(0)).alias("valid"))
     # A fact joined to every version valid at its time, less those that carry its own key.
-    narrow = facts.select("order_id", "customer_sk", *at)
-    valid = match_counts(narrow, dim, *at).agg(F.coalesce(F.sum("matches"), F.lit(0)).alias("n"))
-    versions = dim.select(
-        c("customer_sk").alias("d_sk"), c("customer_unique_id").alias("d_id"), "valid_from", "valid_to"
-    )
-    own = narrow.join(versions, c("customer_sk") == c("d_sk"), "left")
-    right = own.agg(
-        F.count_if(
-            (c("customer_unique_id") == c("d_id"))
-            & inside(c("order_purchased_at"), c("valid_from"), c("valid_to"))
-        ).alias("n")
-    )
-    wrong = valid.unionByName(right.select((-c("n")).alias("n"))).agg(F.sum("n").alias("incorrect_customer_sk"))
-    absent = aggregate_metrics(own, {"customer_sk_missing_dimension": F.count_if(c("d_sk").isNull())}, "fact.")
-    return union_all([
-        of_dimension, of_sequence, of_usage, of_matches,
-        metric_rows(wrong, ["incorrect_customer_sk"], "fact."), absent,
-    ])
+    versions = ordered.rows.filter("kind = 'start'").select(
+        c("customer_sk").alias("d_sk"), c("customer_unique_id").alias("d_id"), c("valid_from").alias("d_from"), c("valid_to").alias("d_to"))
+    own = ordered.rows.filter("kind = 'fact'").join(versions, c("customer_sk") == c("d_sk"), "left")
+    of_facts = own.agg(
+        F.count_if((c("customer_unique_id") == c("d_id")) & inside(c("at"), c("d_from"), c("d_to"))).alias("right"),
+        F.count_if(c("d_sk").isNull()).alias("customer_sk_missing_dimension"))
+
+    def named(row: DataFrame, values: Mapping[str, Column]) -> DataFrame:
+        return row.select(F.inline(F.array(*[
+            F.struct(F.lit(n).alias("metric"), v.cast("bigint").alias("value")) for n, v in values.items()])))
+
+    # Each row of totals is computed once; a metric with two parts is their sum.
+    parts = [
+        named(of_scan, {
+            "dimension.version_order_count_mismatches": F.coalesce("version_order_count_mismatches", F.lit(0)),
+            "fact.missing_or_multiple_historical_matches": c("missing_or_multiple_historical_matches"),
+            "fact.incorrect_customer_sk": F.coalesce("valid", F.lit(0))}),
+        named(of_facts, {"fact.incorrect_customer_sk": -c("right"), "fact.customer_sk_missing_dimension": c("customer_sk_missing_dimension")}),
+    ]
+    return of_dimension.unionByName(union_all(parts).groupBy("metric").agg(F.sum("value").alias("value")))
 
 
 def marts_suite(m: Model) -> DataFrame:
