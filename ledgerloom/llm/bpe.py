@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.llm.arrays import steps
-from ledgerloom.llm.common import held, share
+from ledgerloom.llm.common import held, share, tidy
 
 #: Text of one step: decoding it takes some fifty times as much memory.
 STEP = 512 << 10
@@ -262,4 +262,4 @@ def tokenize(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                 [*part.columns, *(pa.array(c, f.type) for c, f in zip(columns, added, strict=True))], names=[*part.schema.names, *added.names])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
-    return plain.mapInArrow(run, f"{fields}, n_tokens long, ids binary, decoded string")
+    return plain.mapInArrow(tidy(run), f"{fields}, n_tokens long, ids binary, decoded string")

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -62,6 +66,20 @@ def held(shared: Broadcast) -> object:
     return cloudpickle.loads(shared.value["code"])
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`run`, after which a worker gives back the memory it has freed: idle ones stay beside those at work."""
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        # Where the C library has it, the unused parts of its heap too.
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return tidied
+
+
 def text_key(text: Column | str) -> Column:
     """128-bit key of a whole text; NULL counts as empty."""
     return F.unhex(F.md5(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("binary")))

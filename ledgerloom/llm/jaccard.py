@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerloom.llm.arrays import (
     REPLY_DDL, Words, cuts, holds, in_rows, pack, repeated, replies, reply, steps, unpack, window_starts, windows,
 )
-from ledgerloom.llm.common import bucket_count, components, fresh, stored, text_key
+from ledgerloom.llm.common import bucket_count, components, fresh, stored, text_key, tidy
 
 SIZE = 5
 PERCENT = 75
@@ -300,7 +300,7 @@ def _tiled(lists: DataFrame, sets: DataFrame, percent: int, tile: int) -> DataFr
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     for side in ("a", "b"):
         pairs = pairs.join(sets.select(F.col("key").alias(side), F.col("n").alias(f"n_{side}"), F.col("tokens").alias(f"tokens_{side}")), side)
-    return pairs.select("a", "b", "n_a", "n_b", "tokens_a", "tokens_b").mapInArrow(_probe(percent), "a binary, b binary")
+    return pairs.select("a", "b", "n_a", "n_b", "tokens_a", "tokens_b").mapInArrow(tidy(_probe(percent)), "a binary, b binary")
 
 
 def _alike(percent: int) -> object:
@@ -311,9 +311,9 @@ def _alike(percent: int) -> object:
 def class_components(texts: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """(node, component) of the classes of `texts` (text) that link with others."""
     buckets = bucket_count(texts)
-    asked = texts.select("text").mapInArrow(_postings(size, buckets), "bucket int, tokens binary, whose binary, keys binary, long binary")
-    told = asked.repartitionById(buckets, "bucket").mapInArrow(_replies(buckets), REPLY_DDL)
-    sets = stored(told.repartitionById(buckets, "bucket").mapInArrow(_prefixes(percent), "key binary, n long, tokens binary, short array<bigint>"), "sets")
+    asked = texts.select("text").mapInArrow(tidy(_postings(size, buckets)), "bucket int, tokens binary, whose binary, keys binary, long binary")
+    told = asked.repartitionById(buckets, "bucket").mapInArrow(tidy(_replies(buckets)), REPLY_DDL)
+    sets = stored(told.repartitionById(buckets, "bucket").mapInArrow(tidy(_prefixes(percent)), "key binary, n long, tokens binary, short array<bigint>"), "sets")
     lists = sets.select("key", "n", F.explode("short").alias("token"))
     leads = lists.groupBy("token").agg(
         F.min(F.struct("key", "n")).alias("first"), F.min(F.struct(F.xxhash64("token", "key"), "key", "n")).alias("second"), F.count("*").alias("c"),
@@ -353,7 +353,7 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, t
     """
     kind = docs.schema[doc_id].dataType.simpleString()
     plain = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    known = stored(plain.mapInArrow(_identify(size), f"doc_id {kind}, n long, key binary"), "known")
+    known = stored(plain.mapInArrow(tidy(_identify(size)), f"doc_id {kind}, n long, key binary"), "known")
     classes = stored(known.filter("n > 0").groupBy("key", "n").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")), "classes")
     found = class_components(plain, size, percent)
     named = classes.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("group", F.coalesce("component", "key"))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.llm.arrays import steps
-from ledgerloom.llm.common import held, share
+from ledgerloom.llm.common import held, share, tidy
 
 BOUND = 5_000
 ORDERS = 3
@@ -178,7 +178,7 @@ def _counted(labelled: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(found), k, dtype=np.int32)), pa.array(found.astype(np.int32)), pa.array(counts[found].astype(np.int64))], names=["language", "class", "n"])
 
-    return labelled.mapInArrow(run, "language int, class int, n long").groupBy("language", "class").agg(F.sum("n").alias("n"))
+    return labelled.mapInArrow(tidy(run), "language int, class int, n long").groupBy("language", "class").agg(F.sum("n").alias("n"))
 
 
 def _right(labelled: DataFrame, model: Model) -> DataFrame:
@@ -199,7 +199,7 @@ def _right(labelled: DataFrame, model: Model) -> DataFrame:
                     [pa.array(np.full(wide, k, dtype=np.int32)), pa.array(np.arange(wide, dtype=np.int32)), pa.array(own.sum(axis=0).astype(np.int64)), pa.array(odds[language == k].sum(axis=0)), pa.array(np.full(wide, len(own), dtype=np.int64))],
                     names=["language", "position", "right", "odds", "texts"])
 
-    found = labelled.mapInArrow(run, "language int, position int, right long, odds long, texts long")
+    found = labelled.mapInArrow(tidy(run), "language int, position int, right long, odds long, texts long")
     return found.groupBy("language", "position").agg(F.sum("right").alias("right"), F.sum("odds").alias("odds"), F.sum("texts").alias("texts"))
 
 
@@ -257,4 +257,4 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 [*part.columns, *(pa.array(c, f.type) for c, f in zip(columns, added, strict=True))], names=[*part.schema.names, *added.names])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
-    return plain.mapInArrow(run, f"{fields}, lang_pred string, score double, ambiguous boolean")
+    return plain.mapInArrow(tidy(run), f"{fields}, lang_pred string, score double, ambiguous boolean")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerloom.llm.arrays import (
     REPLY_DDL, STEP_BYTES, Words, chain, cuts, holds, in_rows, mix, one_of_each, pack, repeated, replies, reply, steps, unpack, window_starts, windows,
 )
-from ledgerloom.llm.common import bucket_count, fresh, stored, text_key
+from ledgerloom.llm.common import bucket_count, fresh, stored, text_key, tidy
 
 WINDOW = 35
 _OTHER = np.uint64(0x5851F42D4C957F2D)
@@ -187,13 +187,13 @@ def repeat_spans(keyed: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     block = (window + 1) // 2
     buckets = bucket_count(keyed)
-    probes = keyed.mapInArrow(_probes(block, buckets), "bucket int, rolling binary, anchors binary, places binary, keys binary")
-    anchors = probes.repartitionById(buckets, "bucket").mapInArrow(_anchors(buckets), REPLY_DDL)
-    anchors = stored(anchors.repartitionById(buckets, "bucket").mapInArrow(_marks, "key binary, places binary"), "anchors")
+    probes = keyed.mapInArrow(tidy(_probes(block, buckets)), "bucket int, rolling binary, anchors binary, places binary, keys binary")
+    anchors = probes.repartitionById(buckets, "bucket").mapInArrow(tidy(_anchors(buckets)), REPLY_DDL)
+    anchors = stored(anchors.repartitionById(buckets, "bucket").mapInArrow(tidy(_marks), "key binary, places binary"), "anchors")
     near = keyed.join(anchors, "key").select("key", "text", "places")
-    found = near.mapInArrow(_candidates(window, block, buckets), "bucket int, hashes binary, second binary, often binary, places binary, keys binary")
-    found = found.repartitionById(buckets, "bucket").mapInArrow(_matches(buckets), REPLY_DDL)
-    return stored(found.repartitionById(buckets, "bucket").mapInArrow(_spans(window), "key binary, spans array<int>"), "spans")
+    found = near.mapInArrow(tidy(_candidates(window, block, buckets)), "bucket int, hashes binary, second binary, often binary, places binary, keys binary")
+    found = found.repartitionById(buckets, "bucket").mapInArrow(tidy(_matches(buckets)), REPLY_DDL)
+    return stored(found.repartitionById(buckets, "bucket").mapInArrow(tidy(_spans(window)), "key binary, spans array<int>"), "spans")
 
 
 def _cleaned(text: str, spans: list[int]) -> tuple[int, int, str]:
