@@ -14,7 +14,8 @@ text with a constant share of the pages loses importance as a host grows.
 Blocks below LEAST (where the layout never changes: on eight ninths of the pages) are removed from each
 page, unless that would leave nothing of it (pages that are copies of each other). With fewer than PAGES
 pages a host tells nothing. Nothing is removed for its importance inside an article, `<main>` or
-role=main; a part that only a class or id calls content is no such mark. Elements whose tag, role,
+role=main; a part that only a class or id calls content is no such mark. There, running text stays whatever
+its class, and other elements go only by a class or id that says nothing else (`share-box`, not `share-price`). Elements whose tag, role,
 class or id says menu, header, footer, sidebar, notice, advert, form, comment and so on have no
 importance at all, with all they hold (branches go by these only: importance is that of single blocks
 and is not summed up over subtrees); where a page marks its article (or else its main part), what
@@ -23,7 +24,8 @@ lies outside has none either; elsewhere lists and blocks that are mostly links h
 Statistics are partial sums per few megabytes of pages, so a host with a third of all pages is no hot
 group; what comes back per host are its unimportant blocks only, and no page has many of those.
 
-NULL or empty html gives an empty text. A url without a host is a host of its own name. Rows are
+Parsing takes time in proportion to the page, however deep or broken its tags are. NULL or empty html gives an
+empty text. A url without a host is a host of its own name. Rows are
 handled one by one; repeated rows give repeated results. Extra columns are dropped.
 """
 
@@ -32,7 +34,7 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -65,6 +67,10 @@ DROPPED = frozenset(
     "script style noscript template svg math canvas iframe object audio video map head title nav footer aside form fieldset button select textarea input datalist "
     "menu dialog search".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar status note".split())
+#: Elements of running text: inside an article no class or id takes them away.
+RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre q cite em strong b i span a code figure figcaption table tbody thead tfoot tr td th".split())
+#: What else a class or id may be made of that says what a part of an article is for.
+SHAPES = frozenset("area bar block body bottom box btn button buttons container content group head heading inner item items left link links list main new panel right row section slot small stack top wrap wrapper".split())
 #: Words of a class or id that say what an element is for.
 WORDS = frozenset(
     "ad ads adbox adslot adsense advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies "
@@ -74,7 +80,10 @@ WORDS = frozenset(
 HEADERS = frozenset("header masthead site-header".split())
 CONTENT = frozenset("article content main post story entry".split())
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^"'>])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+_TAG = re.compile(r"""<!--|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^"'>])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+#: The same for pages whose quotes don't match: a tag ends at the next bracket, whatever its quotes. Used after so many such tags.
+_PLAIN_TAG = re.compile(r"""<!--|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>()()()""", re.S)
+MISMATCHED = 16
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -86,10 +95,12 @@ def digest(*parts: object) -> int:
 
 
 class Element:
-    __slots__ = ("tag", "path", "dropped", "inside", "link", "children")
+    """An open element; `block` is the place on the stack of the innermost block it is in, itself included."""
 
-    def __init__(self, tag: str, path: int, dropped: bool, inside: int, link: bool) -> None:
-        self.tag, self.path, self.dropped, self.inside, self.link, self.children = tag, path, dropped, inside, link, []
+    __slots__ = ("tag", "path", "dropped", "inside", "link", "children", "block")
+
+    def __init__(self, tag: str, path: int, dropped: bool, inside: int, link: bool, block: int) -> None:
+        self.tag, self.path, self.dropped, self.inside, self.link, self.children, self.block = tag, path, dropped, inside, link, [], block
 
 
 class Page:
@@ -102,7 +113,9 @@ class Page:
         self.blocks: list[tuple[str, int, bool, int, int]] = []
         self.nodes: list[tuple[int, int]] = []
         self.known: dict[tuple, int] = {}
-        self.stack = [Element("", 0, False, 0, False)]
+        self.stack = [Element("", 0, False, 0, False, 0)]
+        # Where on the stack each tag is open: nothing has to be searched, however deep elements lie.
+        self.open_at: defaultdict[str, list[int]] = defaultdict(list)
         self.text: list[str] = []
         self.linked = 0
         self._parse(source)
@@ -111,27 +124,36 @@ class Page:
         if self.text:
             text = " ".join("".join(self.text).split())
             if text:
-                top = next(e for e in reversed(self.stack) if e.tag in BLOCK or not e.tag)
                 state = self.stack[-1]
+                top = self.stack[state.block]
                 self.blocks.append((text, top.path, state.dropped, state.inside, self.linked))
             self.text, self.linked = [], 0
 
     def _pop(self, to: int) -> None:
         while len(self.stack) > to:
             gone = self.stack.pop()
+            self.open_at[gone.tag].pop()
             if gone.tag in BLOCK and not gone.dropped:
                 self.nodes.append((gone.path, digest(*gone.children)))
 
     def _parse(self, source: str) -> None:
-        done, size = 0, len(source)
+        done, size, broken = 0, len(source), 0
+        # What follows the last closing bracket holds no tag, only text.
+        last = source.rfind(">") + 1
         while done < size:
-            found = _TAG.search(source, done)
+            found = (_TAG if broken < MISMATCHED else _PLAIN_TAG).search(source, done, last) if done < last else None
             if found is None:
-                self._add(source[done:])
+                rest = source.find("<!--", max(done, last))
+                self._add(source[done:size if rest < 0 else rest])
                 break
             if found.start() > done:
                 self._add(source[done:found.start()])
             done = found.end()
+            if found.group() == "<!--":
+                end = source.find("-->", done)
+                done = size if end < 0 else end + 3
+                continue
+            broken += found.group(5) is not None and bool(found.group(5))
             tag = found.group(2) or found.group(5)
             if not tag:
                 continue
@@ -158,41 +180,30 @@ class Page:
             self.linked += len(text)
 
     def _close(self, tag: str) -> None:
-        block = tag in BLOCK
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k].tag == tag:
-                if block or self.stack[k].dropped != self.stack[k - 1].dropped:
-                    self._flush()
-                self._pop(k)
-                return
-            if not block and self.stack[k].tag in BLOCK:
-                return
-        if block:
+        block, open_at = tag in BLOCK, self.open_at[tag]
+        # An inline element ends only inside the block it began in.
+        if open_at and (block or open_at[-1] > self.stack[-1].block):
+            k = open_at[-1]
+            if block or self.stack[k].dropped != self.stack[k - 1].dropped:
+                self._flush()
+            self._pop(k)
+        elif block:
             self._flush()
 
     def _open(self, tag: str, raw: str) -> None:
         if tag in BLOCK:
             self._flush()
-            if tag in ENDS_P:
-                for k in range(len(self.stack) - 1, 0, -1):
-                    if self.stack[k].tag == "p":
-                        self._pop(k)
-                        break
-                    if self.stack[k].tag in BLOCK:
-                        break
+            around = self.stack[-1].block
+            if tag in ENDS_P and self.stack[around].tag == "p":
+                self._pop(around)
             if tag in SIBLINGS:
-                same, holder = SIBLINGS[tag]
-                for k in range(len(self.stack) - 1, 0, -1):
-                    if self.stack[k].tag in holder:
-                        break
-                    if self.stack[k].tag in same:
-                        self._pop(k)
-                        break
+                same, holder = (max((self.open_at[t][-1] for t in tags if self.open_at[t]), default=0) for tags in SIBLINGS[tag])
+                if same > holder:
+                    self._pop(same)
         if tag in VOID:
             return
         above = self.stack[-1]
-        kind = self._kind(tag, raw)
-        named, dropped, header, main = kind
+        named, dropped, header, main = self._kind(tag, raw, above.inside >= MARKED)
         inside = max(above.inside, ARTICLE if tag == "article" else main)
         dropped = above.dropped or dropped or (header and not above.inside)
         if dropped != above.dropped:
@@ -200,8 +211,10 @@ class Page:
         path = above.path
         if tag in BLOCK:
             path = self._path(above.path, named)
-            next(e for e in reversed(self.stack) if e.tag in BLOCK or not e.tag).children.append(named)
-        self.stack.append(Element(tag, path, dropped, inside, above.link or tag == "a"))
+            self.stack[above.block].children.append(named)
+        place = len(self.stack)
+        self.open_at[tag].append(place)
+        self.stack.append(Element(tag, path, dropped, inside, above.link or tag == "a", place if tag in BLOCK else above.block))
 
     def _path(self, above: int, named: str) -> int:
         found = self.known.get((above, named))
@@ -209,8 +222,11 @@ class Page:
             found = self.known[above, named] = digest(above, named)
         return found
 
-    def _kind(self, tag: str, raw: str) -> tuple[str, bool, bool, int]:
-        """Name of the style, whether the element is no content, is a header, what it says of the main part."""
+    def _kind(self, tag: str, raw: str, marked: bool) -> tuple[str, bool, bool, int]:
+        """Name of the style, whether the element is no content, is a header, what it says of the main part.
+
+        In a marked main part (`marked`) a class or id counts only if it says nothing else, and not for running text.
+        """
         if not raw or raw.isspace():
             return tag, tag in DROPPED, tag == "header", MARKED if tag == "main" else 0
         named, words, dropped = tag, set(), tag in DROPPED
@@ -220,7 +236,10 @@ class Page:
             if name == "class":
                 named = f"{tag}.{' '.join(sorted(value.split()))}"
             if name in ("class", "id") and tag not in ("html", "body", "main", "article"):
-                words.update(p.lower() for p in _PARTS.findall(value))
+                for token in value.split() if marked else [value]:
+                    parts = {p.lower() for p in _PARTS.findall(token)}
+                    if not marked or (tag not in RUNNING and all(p in WORDS or p in SHAPES or p.isdigit() for p in parts)):
+                        words |= parts
             elif name == "role":
                 roles = set(value.lower().split())
                 dropped |= bool(roles & ROLES)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -162,3 +163,27 @@ def test_page_counts_once_for_a_node_with_several_layouts(spark):
     rows = [(k, "http://layouts.example/", f"<body>{lines.format(k)}<div>note<p>own {k} e</p></div></body>") for k in range(4)]
     for r in webtext.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect():
         assert r.text == " ".join(f"own {r.page_id} {x}" for x in "bcde")
+
+
+@pytest.mark.parametrize("source", [
+    "<a " * 340_000, "<b>" * 100_000 + "</i>" * 100_000, "<span>" * 100_000 + "<p>" * 50_000, "<a \"'>" * 150_000, "<!-- " * 200_000,
+    "<i><div>" + "<b>" * 100_000 + "</i>" * 100_000 + "</b>" * 100_000, "<" * 1_000_000, "<li>" * 200_000, "<td><tr>" * 100_000,
+])
+def test_broken_pages_take_time_in_proportion(source):
+    start = time.perf_counter()
+    webtext.Page(source)
+    assert time.perf_counter() - start < 20
+
+
+def test_article_text_stays_whatever_its_class():
+    page = """<article><p>one</p><div class="related-work">two</div><p class="social">three</p><h2 class="share-price">four</h2>
+    <section id="comment-on-law">five</section><div class="share">no</div><div class="comments-list">no</div><ul class="related-links"><li>no</ul>six</article>"""
+    assert webtext.Page(page).content() == "one two three four five six"
+    outside = """<div class="related-work">no</div><p class="social">no</p><div>yes</div>"""
+    assert webtext.Page(outside).content() == "yes"
+
+
+def test_text_after_the_last_tag():
+    assert webtext.Page("<p>a</p>b < c <!-- gone").content() == "a b < c"
+    assert webtext.Page("no tags & no < brackets").content() == "no tags & no < brackets"
+    assert webtext.Page("<p>a<!-- x > y --> b</p><!---->c").content() == "a b c"
