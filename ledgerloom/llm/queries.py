@@ -15,6 +15,26 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+OP1_SQL = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+), lowest AS (
+    SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+), counted AS (
+    SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT e.vec_id, coalesce(n_links, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN lowest USING (vec_id) LEFT JOIN counted USING (vec_id)
+"""
+
+
 def op2_voronoi_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
     return topk.search(rows, F.col("vec_id") % 100 == 0)
@@ -87,6 +107,25 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+OP5_SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+    SELECT r, i, md5(array_to_string(words[i:i + 34], ' ')) AS sequence FROM docs, LATERAL unnest(range(1, len(words) - 33)) AS places(i)
+), again AS (
+    SELECT r, i FROM windows WHERE sequence IN (SELECT sequence FROM windows GROUP BY sequence HAVING count(*) > 1)
+), gone AS (
+    SELECT DISTINCT r, i + k AS place FROM again, range(0, 35) AS steps(k)
+), placed AS (
+    SELECT r, generate_subscripts(words, 1) AS place, unnest(words) AS word FROM docs
+), kept AS (
+    SELECT r, string_agg(word, ' ' ORDER BY place) AS text, count(*) AS n FROM placed ANTI JOIN gone USING (r, place) GROUP BY r
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return webtext.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -114,6 +153,28 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
 
 
+OP9_SQL = r"""
+WITH RECURSIVE docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), shingles AS (
+    SELECT DISTINCT r, md5(array_to_string(words[i:i + 4], ' ')) AS shingle
+    FROM docs, LATERAL unnest(range(1, greatest(len(words) - 3, least(len(words), 1) + 1))) AS places(i)
+), sizes AS (
+    SELECT r, count(*) AS n FROM shingles GROUP BY r
+), shared AS (
+    SELECT a.r AS a, b.r AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.r <> b.r GROUP BY a.r, b.r
+), links AS (
+    SELECT s.a, s.b FROM shared s JOIN sizes x ON x.r = s.a JOIN sizes y ON y.r = s.b WHERE 100 * s.n >= 75 * (x.n + y.n - s.n)
+), reach AS (
+    SELECT r AS a, r AS b FROM docs UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+), lowest AS (
+    SELECT reach.a AS r, min(d.doc_id) AS component_id FROM reach JOIN docs d ON d.r = reach.b GROUP BY reach.a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM docs JOIN lowest USING (r) LEFT JOIN sizes USING (r)
+"""
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sources with the same share of characters, at the size of the input: the whole mixture is shuffled and written, its copies are returned."""
     return stored(mixing.mix(documents(spark, sf_dir)), "mixture").select("doc_id", "source", "n_copies", "copy_no", "shuffle_key")
@@ -229,4 +290,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_voronoi_topk": OP2_SQL, "op3_chat_format": OP3_SQL, "op10_source_mixing": OP10_SQL, "op11_phrase_collocations": OP11_SQL, "op13_fill_in_middle": OP13_SQL}
+    return {
+        "op1_embedding_near_dedup": OP1_SQL, "op2_voronoi_topk": OP2_SQL, "op3_chat_format": OP3_SQL, "op5_substring_dedup": OP5_SQL, "op9_ngram_jaccard_join": OP9_SQL,
+        "op10_source_mixing": OP10_SQL, "op11_phrase_collocations": OP11_SQL, "op13_fill_in_middle": OP13_SQL,
+    }

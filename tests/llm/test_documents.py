@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerloom.llm import bpe, common, jaccard, language, mixing, queries, scoring, substring
-from tests.llm.brute import corpus, jaccard as plain_jaccard, jaccard_roots, repeats, words
+from tests.llm.brute import corpus, jaccard as plain_jaccard, jaccard_roots, prose, repeats, words
 
 SCHEMA = "doc_id long, text string"
 WORD_BPE = os.path.join(queries.TOKENIZERS, queries.VOCABULARY)
@@ -179,6 +179,57 @@ def test_scores(spark):
     assert all(r.score < 0 and math.isfinite(r.score) for r in found)
 
 
+def plain_scores(rows):
+    """Deleted interpolation without hashes, chunks or rounded ratios."""
+    tokens = [[None, *(w.lower() for w in words(t)), 0] for _, t in rows]  # None starts, 0 ends
+    folds = [fold(i, 10) for i, _ in rows]
+
+    def counts(part):
+        pair = Counter(p for own in part for p in zip(own, own[1:], strict=False))
+        word = Counter(w for own in part for w in own[1:])
+        return word, pair, {**word, None: len(part)}
+
+    def parts(known, v, w):
+        word, pair, context = known
+        c = context.get(v, 0)
+        return (c.bit_length(), [1 / (len(word) + 1), word[w] / max(sum(word.values()), 1), pair[v, w] / c if c else 0.0])
+
+    kept = counts([t for t, f in zip(tokens, folds, strict=True) if f > 1])
+    seen = {}
+    for own, f in zip(tokens, folds, strict=True):
+        if f == 1:
+            for v, w in zip(own, own[1:], strict=False):
+                bucket, p = parts(kept, v, w)
+                seen.setdefault(bucket, []).append(p)
+    mixture = {}
+    for bucket, events in seen.items():
+        weights, events = np.array([0.1, 0.9, 0.0] if bucket == 0 else scoring.DEFAULT), np.array(events)
+        for _ in range(scoring.ROUNDS):
+            share = events * weights
+            weights = np.maximum((share / share.sum(axis=1, keepdims=True)).mean(axis=0), (1e-6, 0, 0))
+            weights /= weights.sum()
+        mixture[bucket] = weights
+    whole = counts([t for t, f in zip(tokens, folds, strict=True) if f > 0])
+    out = []
+    for own in tokens:
+        found = [parts(whole, v, w) for v, w in zip(own, own[1:], strict=False)]
+        out.append(sum(math.log10(np.dot(mixture.get(b, (0.1, 0.9, 0.0) if b == 0 else scoring.DEFAULT), p)) for b, p in found))
+    return out
+
+
+@pytest.mark.parametrize("chunk", [scoring.CHUNK_BYTES, 5_000])
+def test_model_score(spark, monkeypatch, chunk):
+    """Steps of an eighth of a doubling in the weights' events move a score by a hundredth at most. Texts may be longer than a chunk."""
+    monkeypatch.setattr(scoring, "CHUNK_BYTES", chunk)
+    rows = [r for r in corpus() if r[0] is not None and r[0] != 301]
+    rows += [(1000 + k, " ".join(prose(k, 60, 40))) for k in range(150)]
+    docs = frame(spark, [(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, at long")
+    found = scoring.score(docs, queries.fold("doc_id", 10) != 0, queries.fold("doc_id", 10) == 1)
+    score = {r["at"]: r["score"] for r in found.collect()}
+    want = plain_scores(rows)
+    assert all(abs(score[k] - w) <= 0.01 * abs(w) for k, w in enumerate(want))
+
+
 def test_scores_sum_to_one():
     rng = np.random.default_rng(1)
     word = rng.integers(1, 50, 20)
@@ -284,3 +335,20 @@ def test_mixing_query_shuffles_whole_documents(spark, tmp_path):
     assert got(mixture, *returned.columns) == got(returned, *returned.columns)
     texts = {r[0]: r[1] for r in rows}
     assert all(texts[r.doc_id] == r.text for r in mixture.collect())
+
+
+def test_held_out_languages(spark):
+    """Whole documents of the given tables that the model hasn't learned from."""
+    sf_dir = "/root/testdata/sf0.001"
+    if not os.path.exists(sf_dir):
+        pytest.skip("no given tables here")
+    said = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    found = [r for r in queries.op7_language_id(spark, sf_dir).collect() if r.held_out and said[r.doc_id] is not None and r.lang_pred != "und"]
+    right = [r.lang_pred == said[r.doc_id] for r in found]
+    assert len(right) > 20 and sum(right) >= 0.95 * len(right) and sum(r.ambiguous for r in found) <= 0.05 * len(found) + 1
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    done = corpus_pipeline.run(spark, str(tmp_path))
+    assert done.collect() == [] and "ids" in done.columns
