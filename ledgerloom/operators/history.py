@@ -101,9 +101,13 @@ def asof_lookup(
     payload: Sequence[str],
     version: str,
     rows: int = ROWS,
+    ident: str | None = None,
 ) -> DataFrame:
     """Attach `payload` of the version valid at `at`; facts without one are dropped.
 
+    `ident` names a column that tells facts apart, if there is one. Then only key, time and it go
+    through the scan, and the other columns of a fact are joined to what was found.
+
     Versions of a key must not overlap (see `match_counts` for the check). Facts and version
     starts are merged in time order and the last start wins, which costs one pass per key instead
     of comparing every fact with every version of its key.
@@ -115,7 +119,8 @@ def asof_lookup(
         F.col(version).alias("__version"),
         F.struct(*dict.fromkeys(["valid_from", "valid_to", *payload])).alias("__start"),
     )
-    arrivals = facts.filter(F.col(key).isNotNull() & F.col(at).isNotNull()).withColumns(
+    narrow = facts if ident is None else facts.select(ident, key, at)
+    arrivals = narrow.filter(F.col(key).isNotNull() & F.col(at).isNotNull()).withColumns(
         {"__at": F.col(at), "__side": F.lit(1)}
     )
     merged = arrivals.unionByName(starts, allowMissingColumns=True)
@@ -124,7 +129,10 @@ def asof_lookup(
     matched = found.filter(
         (F.col("__side") == 1) & inside(F.col(at), valid["valid_from"], valid["valid_to"])
     )
-    return matched.select(*facts.columns, *[valid[p].alias(p) for p in payload])
+    if ident is None:
+        return matched.select(*facts.columns, *[valid[p].alias(p) for p in payload])
+    hits = matched.select(F.col(ident).alias("__ident"), *[valid[p].alias(p) for p in payload])
+    return facts.join(hits, F.col(ident) == F.col("__ident")).drop("__ident")
 
 
 def _proper(dim: DataFrame, key: str) -> DataFrame:

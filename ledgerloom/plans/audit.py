@@ -129,11 +129,20 @@ def audit_invariants(t: AuditTables) -> DataFrame:
 
 
 def current_state(events: DataFrame, subject: str) -> DataFrame:
-    """Latest lifecycle event per subject; events are (subject, event_at, sequence, status, ...)."""
+    """State per subject; events are (subject, event_at, sequence, status, ...).
+
+    The first end counts, else the first start: of several writers that end the same subject one wins,
+    by time and then by event id where events have one.
+    """
     rest = [c for c in events.columns if c != subject]
-    newest = F.max_by(F.struct(*rest), F.struct("event_at", "sequence"))
-    started = F.min(F.when(F.col("status") == "RUNNING", F.col("event_at")))
-    return events.groupBy(subject).agg(newest.alias("e"), started.alias("started_at")).select(
+    place = F.struct(*[c for c in ("event_at", "event_id", "sequence", "status") if c in rest])
+    over = F.col("status") != "RUNNING"
+
+    def first(condition: Column) -> Column:
+        return F.min_by(F.struct(*rest), F.when(condition, place))
+
+    started = F.min(F.when(~over, F.col("event_at")))
+    return events.groupBy(subject).agg(F.coalesce(first(over), first(~over)).alias("e"), started.alias("started_at")).select(
         subject, "e.status", "started_at",
         F.when(F.col("e.status") != "RUNNING", F.col("e.event_at")).alias("ended_at"),
     )

@@ -81,7 +81,7 @@ def fct_orders(enriched: DataFrame, customers: DataFrame, rows: int = ROWS) -> D
     )
     found = asof_lookup(
         facts, customers, "customer_unique_id", "order_purchased_at", ["customer_sk"],
-        "customer_version", rows,
+        "customer_version", rows, ident="order_id",
     )
     leading = ["order_id", "customer_id", "customer_unique_id", "customer_sk"]
     return found.select(*leading, *[c for c in facts.columns if c not in leading])

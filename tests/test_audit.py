@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.plans import audit, benchmark, governed
+from ledgerloom.sources import audit_log
 from ledgerloom.sources.audit_log import AuditError, AuditLog
 from ledgerloom.sources.commerce import ENTITIES
 from tests.golden import BATCH, golden_raw
@@ -142,3 +145,63 @@ def test_duration_does_not_depend_on_the_session_time_zone(spark, zone):
         assert card.first().duration_seconds == 10800.25
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+class Overtaken(AuditLog):
+    """A writer to whom something happens between the check of a move and its event."""
+
+    def __init__(self, *args, meanwhile):
+        super().__init__(*args)
+        self.meanwhile = [meanwhile]
+
+    def _append_row(self, name, *values):
+        while self.meanwhile:
+            self.meanwhile.pop()()
+        super()._append_row(name, *values)
+
+
+def test_two_writers_at_once_have_one_winner(spark, tmp_path, monkeypatch):
+    """Both find their move allowed; the earlier one counts, the other one is told."""
+    clock = iter(datetime(2026, 1, 1) + timedelta(seconds=k) for k in range(100))
+    monkeypatch.setattr(audit_log, "_now", lambda: next(clock))
+    log = AuditLog(spark, str(tmp_path))
+    run_id = log.start_run("p", "dev")
+    late = [AuditError]
+
+    def quick(act):
+        """Done by another writer, with an earlier time than the one that is waiting."""
+        monkeypatch.setattr(audit_log, "_now", lambda: datetime(2025, 12, 31))
+        try:
+            late[0] = act()
+        finally:
+            monkeypatch.setattr(audit_log, "_now", lambda: next(clock))
+
+    # Two first attempts of one stage.
+    with pytest.raises(AuditError, match="another writer"):
+        Overtaken(spark, str(tmp_path), meanwhile=lambda: quick(lambda: log.start_stage(run_id, "load"))).start_stage(run_id, "load")
+    stages = log.stages(run_id).collect()
+    assert [(r.stage_attempt_id, r.attempt_number, r.status) for r in stages] == [(late[0], 1, "RUNNING")]
+    # Two ends of the attempt, then of the run.
+    with pytest.raises(AuditError, match="another writer"):
+        Overtaken(spark, str(tmp_path), meanwhile=lambda: quick(lambda: log.finish_stage(run_id, late[0], "SUCCESS"))).finish_stage(run_id, late[0], "FAILED", "E", "late")
+    row = log.stages(run_id).first()
+    assert (row.status, row.error_type) == ("SUCCESS", None)
+    with pytest.raises(AuditError, match="another writer"):
+        Overtaken(spark, str(tmp_path), meanwhile=lambda: quick(lambda: log.finish_run(run_id, "SUCCESS"))).finish_run(run_id, "FAILED", "E", "late")
+    assert log.runs(run_id).first().status == "SUCCESS"
+    # One winner in the derived state as well, and the loser in the list of violations.
+    state = audit.run_state(log.read("run_events"), log.stages()).collect()
+    assert [(r.run_id, r.status) for r in state] == [(run_id, "SUCCESS")]
+    assert [r.violation for r in audit.transition_violations(log.read("run_events"), "run_id").collect()].count("finished_twice") == 1
+
+
+def test_a_writer_overtaken_later_learns_with_its_next_move(spark, tmp_path, monkeypatch):
+    """An event with an earlier time that arrives afterwards takes the place of the first one."""
+    log = AuditLog(spark, str(tmp_path))
+    run_id = log.start_run("p", "dev")
+    mine = log.start_stage(run_id, "load")
+    monkeypatch.setattr(audit_log, "_now", lambda: datetime(2020, 1, 1))
+    log._append_row("stage_events", "theirs", run_id, "load", 1, datetime(2020, 1, 1), 1, "RUNNING", None, None, "e")
+    with pytest.raises(AuditError, match="the stage is unknown"):
+        log.finish_stage(run_id, mine, "SUCCESS")
+    assert [r.stage_attempt_id for r in log.stages(run_id).collect()] == ["theirs"]

@@ -143,9 +143,11 @@ def test_asof_lookup(spark, size):
     rows = observations(11)
     history = version_history(spark.createDataFrame(rows, SCHEMA), "k", "at", "id", ["zip", "city"])
     facts = observations(12)
-    got = asof_lookup(
-        spark.createDataFrame(facts, SCHEMA).select("k", "at", "id"), history, "k", "at", ["version"], "version", size
-    )
+    rows_in = spark.createDataFrame(facts, SCHEMA)
+    got = asof_lookup(rows_in.select("k", "at", "id"), history, "k", "at", ["version"], "version", size)
+    wide = asof_lookup(rows_in, history, "k", "at", ["version"], "version", size, ident="id")
+    assert wide.columns == [*rows_in.columns, "version"]
+    assert sorted(tuple(r) for r in wide.select("id", "version").collect()) == sorted(tuple(r) for r in got.select("id", "version").collect())
     brute = {
         (x[2], v[1]) for x in facts for v in brute_history(rows)
         if x[0] is not None and x[0] == v[0] and v[4] <= x[1] and (v[5] is None or x[1] < v[5])
