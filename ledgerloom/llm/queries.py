@@ -221,15 +221,19 @@ WITH pieces AS (
     SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
     FROM pieces, (VALUES (1), (2), (3), (4)) AS sizes(k), LATERAL unnest(range(1, len(w) - k + 2)) AS places(i)
 ), f AS (
-    SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY lang, k, phrase HAVING k = 1 OR count(*) >= 30
+    SELECT lang, k, phrase, lang || chr(10) || phrase AS name, count(*) AS f FROM grams GROUP BY lang, k, phrase HAVING k = 1 OR count(*) >= 30
 ), totals AS (
     SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
 ), candidates AS (
     SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1
+), halves AS (
+    SELECT *, lang || chr(10) || array_to_string(w[1:j], ' ') AS head, lang || chr(10) || array_to_string(w[j + 1:k], ' ') AS tail
+    FROM candidates, LATERAL unnest(range(1, k)) AS places(j)
+), parts AS (
+    SELECT name, f FROM f WHERE f >= 30
 ), cuts AS (
-    SELECT c.lang, c.k, c.phrase, c.a, j, l.f AS l, r.f AS r, ((2000000::HUGEINT * c.a) // (l.f + r.f))::BIGINT AS score
-    FROM (SELECT *, array_to_string(w[1:j], ' ') AS head, array_to_string(w[j + 1:k], ' ') AS tail FROM candidates, LATERAL unnest(range(1, k)) AS places(j)) c
-    JOIN f l ON l.lang = c.lang AND l.phrase = c.head AND l.k = c.j JOIN f r ON r.lang = c.lang AND r.phrase = c.tail AND r.k = c.k - c.j
+    SELECT h.lang, h.k, h.phrase, h.a, j, l.f AS l, r.f AS r, ((2000000::HUGEINT * h.a) // (l.f + r.f))::BIGINT AS score
+    FROM halves h JOIN parts l ON l.name = h.head JOIN parts r ON r.name = h.tail
 ), weakest AS (
     SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
 ), inner_phrases AS (
