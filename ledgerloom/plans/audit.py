@@ -131,18 +131,17 @@ def audit_invariants(t: AuditTables) -> DataFrame:
 def current_state(events: DataFrame, subject: str) -> DataFrame:
     """State per subject; events are (subject, event_at, sequence, status, ...).
 
-    The first end counts, else the first start: of several writers that end the same subject one wins,
-    by time and then by event id where events have one.
+    Without event ids it is the latest event. Events with an id come from writers that may do the same at
+    the same time: of several ends the first counts, by time and then by id.
     """
     rest = [c for c in events.columns if c != subject]
-    place = F.struct(*[c for c in ("event_at", "event_id", "sequence", "status") if c in rest])
-    over = F.col("status") != "RUNNING"
-
-    def first(condition: Column) -> Column:
-        return F.min_by(F.struct(*rest), F.when(condition, place))
-
+    over, whole = F.col("status") != "RUNNING", F.struct(*rest)
+    state = F.max_by(whole, F.struct("event_at", "sequence"))
+    if "event_id" in rest:
+        place = F.struct("event_at", "event_id")
+        state = F.coalesce(F.min_by(whole, F.when(over, place)), F.min_by(whole, place))
     started = F.min(F.when(~over, F.col("event_at")))
-    return events.groupBy(subject).agg(F.coalesce(first(over), first(~over)).alias("e"), started.alias("started_at")).select(
+    return events.groupBy(subject).agg(state.alias("e"), started.alias("started_at")).select(
         subject, "e.status", "started_at",
         F.when(F.col("e.status") != "RUNNING", F.col("e.event_at")).alias("ended_at"),
     )

@@ -164,13 +164,14 @@ def test_two_writers_at_once_have_one_winner(spark, tmp_path, monkeypatch):
     """Both find their move allowed; the earlier one counts, the other one is told."""
     clock = iter(datetime(2026, 1, 1) + timedelta(seconds=k) for k in range(100))
     monkeypatch.setattr(audit_log, "_now", lambda: next(clock))
+    between = iter(datetime(2026, 1, 1) + timedelta(milliseconds=k) for k in range(500, 600))
     log = AuditLog(spark, str(tmp_path))
     run_id = log.start_run("p", "dev")
     late = [AuditError]
 
     def quick(act):
         """Done by another writer, with an earlier time than the one that is waiting."""
-        monkeypatch.setattr(audit_log, "_now", lambda: datetime(2025, 12, 31))
+        monkeypatch.setattr(audit_log, "_now", lambda: next(between))
         try:
             late[0] = act()
         finally:
