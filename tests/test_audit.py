@@ -206,3 +206,19 @@ def test_a_writer_overtaken_later_learns_with_its_next_move(spark, tmp_path, mon
     with pytest.raises(AuditError, match="the stage is unknown"):
         log.finish_stage(run_id, mine, "SUCCESS")
     assert [r.stage_attempt_id for r in log.stages(run_id).collect()] == ["theirs"]
+
+
+def test_evidence_sends_no_side_that_grows_to_the_driver(spark):
+    from ledgerloom.sources.audit_inputs import evidence_audit
+    from ledgerloom.sources.commerce import ENTITIES
+
+    people = spark.range(1, 2001).selectExpr("id as c_custkey", "cast(id % 7 - 1 as double) as c_acctbal")
+    tables, requests, expected, verdicts = evidence_audit(lambda name: people)
+    workflow = audit.Workflow("raw_ingestion", "raw_load", ENTITIES)
+    recovery = audit.recovery_evidence(tables, requests, expected, workflow)
+    found = (
+        audit.ingestion_evidence(tables, requests, expected, ENTITIES), recovery,
+        audit.recovery_decisions(recovery, verdicts, tables.stage_runs))
+    for df in found:
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+        assert df.count() == 2000
