@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
 from ..operators.compare import union_all
 from ..sources import batches, landing, manifest
@@ -46,14 +46,13 @@ def export_source(spark: SparkSession, sf_dir: str) -> Landed:
     counts = []
     for entity in ENTITIES:
         body = raw(entity).drop(*LINEAGE)
-        landing.write_csv(body, f"{found.source}/{entity}.csv")
-        names = F.array(*map(F.lit, body.columns))
-        counts.append(body.agg(F.count("*").alias("data_rows")).select(
-            F.lit(f"{entity}.csv").alias("file_name"), "data_rows",
-            F.lit(len(body.columns)).alias("column_count"), names.alias("columns"),
-        ))
+        # Rows are counted while they are written, so an entity is built once.
+        seen = Observation()
+        landing.write_csv(body.observe(seen, F.count(F.lit(1)).alias("data_rows")), f"{found.source}/{entity}.csv")
+        counts.append((f"{entity}.csv", seen.get["data_rows"], len(body.columns), body.columns))
     files = manifest.dataset_files(spark, found.source)
-    manifest.write_manifest(union_all(counts).join(files, "file_name"), found.manifest)
+    listed = spark.createDataFrame(counts, "file_name string, data_rows bigint, column_count int, columns array<string>")
+    manifest.write_manifest(listed.join(files, "file_name"), found.manifest)
     tables = {
         e: landing.land(spark, f"{found.source}/{e}.csv", landing.RAW_SCHEMAS[e], BATCH, LOADED) for e in ENTITIES
     }

@@ -100,7 +100,8 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     placed = entered.select(
         F.col("path").alias("__p"), F.col("block").alias("__b"), "open", F.coalesce(F.sum(chosen).over(earlier), F.lit(0)).alias("first"),
         last.alias("torn")).withColumn("open", F.when(F.col("torn"), F.raise_error(F.concat(F.lit("A quoted value is not closed in "), F.col("__p"))).cast("int")).otherwise(F.col("open")))
-    known = lines.join(placed, (F.col("path") == F.col("__p")) & (F.col("block") == F.col("__b")))
+    # One row per block of a file: the lines need not move to meet it.
+    known = lines.join(F.broadcast(placed), (F.col("path") == F.col("__p")) & (F.col("block") == F.col("__b")))
     inside = F.when(F.col("open") == 0, F.col("before0")).otherwise(F.col("before1"))
     number = F.col("first") + F.when(F.col("open") == 0, F.col("n0")).otherwise(F.col("n1"))
     judged = known.select("path", "file", "block", "line", "value", inside.alias("in"), number.alias("number"), F.when(inside == 0, F.col("outside")).otherwise(F.col("inside")).alias("out"))

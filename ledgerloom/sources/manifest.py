@@ -87,8 +87,10 @@ def hashed_files(files: DataFrame, opened: Callable[[str], BinaryIO] | None = No
                 found.append(digest.hexdigest())
             yield pyarrow.RecordBatch.from_arrays([*batch.columns, pyarrow.array(found, pyarrow.string())], names=schema.names)
 
-    # Files are dealt out one by one, so that long ones are read side by side.
-    return files.repartition("path").mapInArrow(run, schema)
+    # Files are dealt out one by one, so that long ones are read side by side. A number has to be named:
+    # adaptive execution goes by the size of the paths, and would put all files into one task.
+    tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return files.repartition(tasks).mapInArrow(run, schema)
 
 
 def dataset_files(

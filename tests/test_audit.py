@@ -210,7 +210,6 @@ def test_a_writer_overtaken_later_learns_with_its_next_move(spark, tmp_path, mon
 
 def test_evidence_sends_no_side_that_grows_to_the_driver(spark):
     from ledgerloom.sources.audit_inputs import evidence_audit
-    from ledgerloom.sources.commerce import ENTITIES
 
     people = spark.range(1, 2001).selectExpr("id as c_custkey", "cast(id % 7 - 1 as double) as c_acctbal")
     tables, requests, expected, verdicts = evidence_audit(lambda name: people)

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.plans import ingestion
+from ledgerloom.plans import ingest_queries, ingestion
 from ledgerloom.plans.ingest_queries import content_hash
 from ledgerloom.plans.model import Model
 from ledgerloom.sources import batches, landing, manifest
@@ -176,6 +176,40 @@ def test_manifest(spark, tmp_path):
     assert {r.issue for r in manifest.manifest_contract(entries, ["b.csv"]).collect()} == {"missing_file", "unexpected_file"}
 
 
+def test_files_are_hashed_side_by_side(spark, tmp_path):
+    for i in range(8):
+        (tmp_path / f"{i}.csv").write_text(str(i))
+    files = spark.createDataFrame([(f"file://{tmp_path}/{i}.csv",) for i in range(8)], "path string")
+    rows = manifest.hashed_files(files).select("path", "sha256", F.spark_partition_id().alias("task")).collect()
+    assert {r.sha256 for r in rows} == {hashlib.sha256(str(i).encode()).hexdigest() for i in range(8)}
+    assert len({r.task for r in rows}) > 1
+
+
+def test_lines_stay_where_they_are(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id\n1\n"2\n3"\n')
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        records = landing.csv_records(spark, str(tmp_path))
+        assert "SortMergeJoin" not in records._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.number, r.record) for r in records.collect()) == [(1, "id"), (2, "1"), (3, '"2\n3"')]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_export_counts_what_it_writes(spark, monkeypatch):
+    raw = golden_raw(spark)
+    raw["sellers"] = raw["sellers"].limit(0)
+    monkeypatch.setattr(ingest_queries, "raw_entities", lambda *_: raw.__getitem__)
+    monkeypatch.setattr(ingest_queries, "ENTITIES", ("translation", "sellers"))
+    monkeypatch.setattr(ingest_queries.landing, "land", lambda spark, path, *_: spark.range(1))
+    found = ingest_queries.export_source(spark, "golden")
+    ingest_queries._landed.clear()
+    rows = {r.file_name: (r.data_rows, r.column_count) for r in manifest.read_manifest(spark, found.manifest).collect()}
+    assert rows["translation.csv"] == (2, 2)
+    assert rows.get("sellers.csv", (0, 4)) == (0, 4)
+
+
 def test_batch_id(spark):
     entries = spark.createDataFrame([("b.csv", "22"), ("a.csv", "11")], "file_name string, sha256 string")
     digest = hashlib.sha256(b"a.csv:11|b.csv:22").hexdigest()
