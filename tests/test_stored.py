@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import DataFrame
 
-from ledgerloom.plans import intermediate
+from ledgerloom.plans import intermediate, suites
 from ledgerloom.plans.model import BUCKETS
 from ledgerloom.sources.store import table_writer
 
@@ -62,6 +62,12 @@ def test_stored_tables_meet_by_order_without_a_shuffle(spark, golden, no_broadca
         assert golden[name].filter(f"{key} is not null").groupBy(key).count().filter("count > 1").isEmpty(), name
 
 
+def test_lineage_shuffles_only_what_was_not_stored_by_order(spark, golden, no_broadcast):
+    # Seven when every layer, and both sides of each comparison, were dealt by order.
+    assert shuffles(suites.lineage_suite(golden)) <= 3
+    assert suites.issues(suites.lineage_suite(golden)).isEmpty()
+
+
 def test_a_table_in_buckets_is_read_back_whole(spark, tmp_path):
     write = table_writer(spark, str(tmp_path))
     df = spark.range(1000).selectExpr("nullif(id, 7) as id", "cast(id as string) as text", "timestamp_ntz'2020-01-01 00:00:00' as at")
