@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import DataFrame
 
-from ledgerloom.plans import intermediate, suites
+from ledgerloom.plans import intermediate, quality, suites
 from ledgerloom.plans.model import BUCKETS
 from ledgerloom.sources.store import table_writer
 
@@ -74,3 +74,11 @@ def test_a_table_in_buckets_is_read_back_whole(spark, tmp_path):
     back = write("some", df, "id")
     assert back.schema.simpleString() == df.schema.simpleString()
     assert sorted(back.collect(), key=str) == sorted(df.collect(), key=str)
+
+
+def test_matches_are_counted_without_the_surrogate_key(golden, monkeypatch):
+    seen = []
+    count = quality.match_counts
+    monkeypatch.setattr(quality, "match_counts", lambda facts, *rest: seen.append(facts.columns) or count(facts, *rest))
+    assert quality.scd2_mapping(golden).isEmpty()
+    assert seen == [["order_id", "customer_unique_id", "order_purchased_at"]]
