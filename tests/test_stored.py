@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.plans import intermediate, quality, suites
 from ledgerloom.plans.model import BUCKETS
@@ -82,3 +83,17 @@ def test_matches_are_counted_without_the_surrogate_key(golden, monkeypatch):
     monkeypatch.setattr(quality, "match_counts", lambda facts, *rest: seen.append(facts.columns) or count(facts, *rest))
     assert quality.scd2_mapping(golden).isEmpty()
     assert seen == [["order_id", "customer_unique_id", "order_purchased_at"]]
+
+
+def test_items_are_compared_before_their_order_is_looked_up(spark, golden, no_broadcast):
+    facts = golden["fct_order_items"]
+    first = facts.selectExpr("min(struct(order_id, order_item_id)) as k").first()["k"]
+    wrong = (F.col("order_id") == first["order_id"]) & (F.col("order_item_id") == first["order_item_id"])
+    odd = facts.withColumn("merchandise_value", F.when(wrong, F.col("merchandise_value") + 1).otherwise(F.col("merchandise_value")).cast("decimal(18,2)"))
+    odd = odd.withColumn("is_delivered", F.when(F.col("order_id") == first["order_id"], ~F.col("is_delivered")).otherwise(F.col("is_delivered")))
+    suite = suites.marts_suite(golden.replace(fct_order_items=odd))
+    found = {r["metric"]: r["value"] for r in suite.collect()}
+    assert found["order_items.field_mismatches"] == facts.filter(F.col("order_id") == first["order_id"]).count()
+    plan = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(suite._jdf.queryExecution(), "formatted")
+    widths = [int(n) for n in re.findall(r"Exchange\nInput \[(\d+)\]: .*\nArguments: hashpartitioning\(a_order_id#\d+, ", plan) if n]
+    assert 3 in widths, widths
