@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.compare import field_recon
+from ledgerloom.operators.compare import field_recon, spine_check
 from ledgerloom.plans import intermediate, marts, quality
 
 from .test_stored import no_broadcast, shuffles  # noqa: F401
@@ -79,3 +79,22 @@ def test_attributions_count_groups_of_every_kind(spark):
         "order_orders": 2, "order_items": 7, "seller_orders": 5, "seller_items": 7, "category_orders": 4, "category_items": 5}
     none = quality._attributions(items.filter(F.lit(False)), products).first()
     assert set(none) == {0}
+
+
+@pytest.mark.parametrize("check", (quality.fact_spine, quality.reconciliation_spine, quality.enriched_spine))
+def test_only_orders_of_one_table_are_moved(golden, no_broadcast, check):  # noqa: F811
+    plan = check(golden)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.index("Exchange hashpartitioning") < plan.index("Join")
+
+
+@pytest.mark.parametrize("left, right, expected", (
+    (["a", "a", "b"], ["b", "c", "c"], {("a", "missing"), ("c", "unexpected")}),
+    (["a", None, None], ["a", None], set()),
+    (["a", None], ["a"], {(None, "missing")}),
+    (["a"], [None, None], {("a", "missing"), (None, "unexpected")}),
+))
+def test_keys_of_one_side_are_told_once(spark, left, right, expected):
+    sides = (spark.createDataFrame([(k, 1) for k in keys], "k string, v int") for keys in (left, right))
+    found = [tuple(r) for r in spine_check(*sides, "k", "missing", "unexpected").collect()]
+    assert len(found) == len(expected) and set(found) == expected
