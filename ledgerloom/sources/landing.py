@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F, types as T
 
 from .store import remove_folder, shared_root, swap_folder
@@ -56,6 +57,48 @@ def _leaves_open(line: Column) -> Column:
     return F.regexp_replace(line, '(^|,)"[^"]*"', "$1").rlike('(^|,)"').cast("int")
 
 
+def _along_blocks(path: Column, block: Column, outside: Column, inside: Column, filled: Column) -> Column:
+    """Per line: `before0` and `before1`, the state before it by what it was before its block, and `n0` and `n1`,
+    the records begun in the block until then in either case.
+
+    A task reads the lines of a block one after the other, so nothing is moved or sorted, and what is held is a
+    batch without its text and the state reached.
+    """
+    @F.arrow_udf("before0 int, before1 int, n0 bigint, n1 bigint")
+    def along(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        import numpy as np
+        from pyarrow import compute
+
+        place, state, begun = None, [0, 1], [0, 0]
+        for paths, starts, *columns in batches:
+            out, back, some = (c.to_numpy(zero_copy_only=False) for c in columns)
+            rows = len(paths)
+            fresh = np.zeros(rows, bool)
+            for c in (paths, starts):
+                fresh[1:] |= compute.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
+            fresh[0] = place != (paths[0].as_py(), starts[0].as_py())
+            place = (paths[rows - 1].as_py(), starts[rows - 1].as_py())
+            before, begins = np.empty((2, rows), np.int32), np.empty((2, rows), np.int64)
+            cuts = sorted({0, rows, *np.flatnonzero(fresh).tolist()})
+            for first, end in zip(cuts, cuts[1:]):
+                if fresh[first]:
+                    state, begun = [0, 1], [0, 0]
+                here = slice(first, end)
+                settles = out[here] == back[here]
+                turns = np.cumsum((out[here] == 1) & ~settles)
+                # What a settling line leaves behind counts from then on, turned as often as lines did since.
+                at = np.maximum.accumulate(np.where(settles, np.arange(end - first), -1))
+                left = out[here][at] + turns - turns[at]
+                for s in (0, 1):
+                    after = np.where(at >= 0, left, state[s] + turns) % 2
+                    before[s, here] = np.concatenate(([state[s]], after[:-1]))
+                    begins[s, here] = begun[s] + np.cumsum((before[s, here] == 0) & some[here])
+                    state[s], begun[s] = int(after[-1]), int(begins[s, end - 1])
+            yield pa.StructArray.from_arrays([pa.array(x) for x in (*before, *begins)], ["before0", "before1", "n0", "n1"])
+
+    return along.asNondeterministic()(path, block, outside, inside, filled)
+
+
 def scan_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of CSV files, written down: place, text and what is needed to tell where records begin.
 
@@ -67,17 +110,16 @@ def scan_lines(spark: SparkSession, path: str) -> DataFrame:
     # Two quotes in a row change nothing: they are one within a value, or a value of their own.
     plain = F.replace(F.col("value"), F.lit('""'), F.lit(""))
     rest = F.substring(plain, F.locate('"', plain) + 1, F.length(plain))
+    quoted = F.col("value").contains('"')
     lines = text.select(
         F.col("value"), place["file_path"].alias("path"), place["file_name"].alias("file"), place["file_block_start"].alias("block"),
-        F.monotonically_increasing_id().alias("line"), _leaves_open(plain).alias("outside"),
-        F.when(plain.contains('"'), _leaves_open(F.concat(F.lit("x"), rest))).otherwise(1).alias("inside"))
-    along = Window.partitionBy("path", "block").orderBy("line")
-    judged = with_states(lines, along, F.col("outside"), F.col("inside"))
-    upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        F.monotonically_increasing_id().alias("line"), F.when(quoted, _leaves_open(plain)).otherwise(0).alias("outside"),
+        F.when(quoted & plain.contains('"'), _leaves_open(F.concat(F.lit("x"), rest))).otherwise(1).alias("inside"))
     # A blank line between records is none.
     filled = ~F.col("value").isin("", "\r")
+    judged = lines.withColumn("along", _along_blocks(*map(F.col, ("path", "block", "outside", "inside")), filled))
     return_to = f"{shared_root(spark)}/lines-{uuid.uuid4().hex}"
-    numbered = judged.withColumns({f"n{s}": F.sum(((F.col(f"before{s}") == 0) & filled).cast("bigint")).over(upto) for s in (0, 1)})
+    numbered = judged.select(*lines.columns, "along.*")
     numbered.write.parquet(return_to)
     return spark.read.schema(numbered.schema).parquet(return_to)
 
@@ -110,7 +152,7 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     parts = judged.filter(~whole).groupBy("path", "file", "number").agg(F.sort_array(F.collect_list(F.struct("block", "line", "value"))).alias("parts"))
     joined = parts.select("path", "file", "number", F.array_join(F.transform("parts", lambda p: p["value"]), "\n").alias("record"))
     records = judged.filter(whole).select("path", "file", "number", F.col("value").alias("record")).unionByName(joined)
-    return records.withColumn("record", F.regexp_replace("record", "\r$", ""))
+    return records.withColumn("record", F.when(F.col("record").contains("\r"), F.regexp_replace("record", "\r$", "")).otherwise(F.col("record")))
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -121,7 +163,8 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """
     fields = T.StructType.fromDDL(schema).fields
     text = ", ".join(f"`{f.name}` string" for f in fields)
-    parsed = F.from_csv(F.regexp_replace("record", "^\ufeff", ""), text, {"escape": '"', "mode": "FAILFAST"})
+    record = F.col("record")
+    parsed = F.from_csv(F.when(record.startswith("\ufeff"), F.substring(record, 2, F.length(record))).otherwise(record), text, {"escape": '"', "mode": "FAILFAST"})
     rows = csv_records(spark, path).withColumn("row", parsed)
     named = F.lit(True)
     for f in fields:

@@ -83,6 +83,43 @@ def test_quoted_csv_is_split(spark, tmp_path, end, size):
     assert found == want and len(found) == 1800
 
 
+def test_lines_stay_with_the_task_that_reads_them(spark, tmp_path):
+    """Judging lines neither moves nor sorts them: a written file holds what one task has read, in the order of the file."""
+    tangled_csv(tmp_path / "f.csv", 3, 2000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        lines = landing.scan_lines(spark, str(tmp_path))
+        found = lines.select(F.input_file_name().alias("f"), F.shiftright("line", 33).alias("task"), "line").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    tasks = {r.f: [x.task for x in found if x.f == r.f] for r in found}
+    assert len(tasks) > 10 and all(len(set(t)) == 1 for t in tasks.values())
+    assert len({t[0] for t in tasks.values()}) == len(tasks)
+    assert all([x.line for x in found if x.f == f] == sorted(x.line for x in found if x.f == f) for f in tasks)
+
+
+@pytest.mark.parametrize("rows", [1, 7, 10_000])
+def test_states_go_on_from_batch_to_batch(spark, tmp_path, rows):
+    """States and numbers within a block do not depend on how its lines are handed to Python; small files share a task."""
+    for k in range(4):
+        tangled_csv(tmp_path / f"f{k}.csv", 50 + k, 60)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    try:
+        lines = landing.scan_lines(spark, str(tmp_path)).orderBy("file", "block", "line").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    place, state, begun = None, [], []
+    for r in lines:
+        if (r.file, r.block) != place:
+            place, state, begun = (r.file, r.block), [0, 1], [0, 0]
+        begun = [n + (s == 0 and r.value != "") for n, s in zip(begun, state)]
+        assert ([r.before0, r.before1], [r.n0, r.n1]) == (state, begun)
+        state = [r.inside if s else r.outside for s in state]
+    assert len({r.file for r in lines}) == 4 and {r.before0 for r in lines} == {0, 1}
+
+
 def test_csv_is_scanned_once(spark, tmp_path):
     tangled_csv(tmp_path / "f.csv", 1, 50)
     plan = landing.land(spark, str(tmp_path), TEXT, "b", "2026-01-01 00:00:00")._jdf.queryExecution().executedPlan().toString()
